@@ -3,17 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from grafloom.llm import simhash
-from grafloom.llm.common import load
+from grafloom.llm import decontaminate, langid, sharding, simhash, token_count, url_filter, warc
+from grafloom.llm.common import load, scratch_path
+
+N_SHARDS = 40
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(load(spark, sf_dir, "pages"))
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.assign(load(spark, sf_dir, "documents"), N_SHARDS, keep=["doc_id"])
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(load(spark, sf_dir, "pages")).drop("payload", "url")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").withColumn("held_out", langid.held_out())
+    model = langid.train(docs.where("not held_out"))
+    return langid.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.token_counts(load(spark, sf_dir, "documents"), token_count.tokenizer_path(), scratch_path(spark, "token-cache"))
+
+
 QUERIES = {
+    "op1_url_filters": op1_url_filters,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_sharding": op4_sharding,
+    "op5_decontamination": op5_decontamination,
+    "op8_warc": op8_warc,
+    "op9_language_id": op9_language_id,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}
