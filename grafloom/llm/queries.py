@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grafloom.llm import decontaminate, langid, sharding, simhash, token_count, url_filter, warc
+from grafloom.llm import decontaminate, html_extract, langid, mixing, quality_rules, sharding, simhash, token_count, url_filter, warc
 from grafloom.llm.common import load, scratch_path
 
 N_SHARDS = 40
+#: Wanted shares of tokens by domain, see mixing.label_domains.
+TARGET_WEIGHTS = {"clean": 0.96, "low": 0.03, "toxic": 0.01}
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +21,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(load(spark, sf_dir, "pages"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.assign(load(spark, sf_dir, "documents"), N_SHARDS, keep=["doc_id"])
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -28,6 +34,15 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.train(docs, load(spark, sf_dir, "labels")))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(load(spark, sf_dir, "documents"), mixing.label_domains(load(spark, sf_dir, "labels")), TARGET_WEIGHTS)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(load(spark, sf_dir, "pages")).drop("payload", "url")
 
@@ -45,8 +60,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_html_extraction": op3_html_extraction,
     "op4_sharding": op4_sharding,
     "op5_decontamination": op5_decontamination,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_mixing": op7_mixing,
     "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
