@@ -23,10 +23,12 @@ from grafloom.llm.common import ascii_lower, bare, materialise, words
 MOST_LABELLED = 8000
 #: Words with the most information on the domains that it knows, and least documents of each.
 MOST_WORDS, LEAST_DOCS = 256, 8
+#: And least information of a word, in nats over the labelled documents: more than chance gives any of 100,000 words.
+LEAST_WORTH = 12
 #: Posteriors are multiples of one part in so many.
 GRID = 256
-#: Steps of the fit, at most, and the relative gap at which it ends.
-MOST_STEPS, GAP = 40, 1e-4
+#: Steps of the fit, at most, and the part of the budget by which expected tokens may miss when it ends.
+MOST_STEPS, GAP = 40, 2e-4
 SYMBOLS = "#*$%&|<>!"
 
 
@@ -92,7 +94,7 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     chosen = []
     if domains:
         per = per.groupBy("w").agg(F.sum("count").alias("n"), *[n[d].alias(f"n{i}") for i, d in enumerate(domains)]).where(F.col("n") >= LEAST_DOCS)
-        chosen = per.withColumn("worth", worth).where(F.col("worth") > 3).orderBy(F.desc("worth"), "w").limit(MOST_WORDS).collect()
+        chosen = per.withColumn("worth", worth).where(F.col("worth") > LEAST_WORTH).orderBy(F.desc("worth"), "w").limit(MOST_WORDS).collect()
     known = {r["w"]: shares({d: r[f"n{i}"] for i, d in enumerate(domains)}, 2) for r in chosen}
     return Classifier(domains, [log(sizes[d] / total) for d in domains], known, bins)
 
@@ -155,7 +157,9 @@ def fit_rates(judged: DataFrame, domains: list[str], weights: Mapping[str, float
         if max(abs(a - b) for a, b in zip(now, want, strict=True)) <= GAP * budget:
             break
         steps.append([(a - b) / m if m > 0 else 0.0 for a, b, m in zip(now, want, held, strict=True)])
-        now = [*profiles.withColumn("r", _rate(steps, k)).select(*[mass(i, F.col("r")).alias(str(i)) for i in range(k)]).first()]
+        before, now = now, [*profiles.withColumn("r", _rate(steps, k)).select(*[mass(i, F.col("r")).alias(str(i)) for i in range(k)]).first()]
+        if max(abs(a - b) for a, b in zip(now, before, strict=True)) <= GAP / 4 * budget:  # targets out of reach end here
+            break
     return _rate(steps, k), {d: x / max(sum(now), 1e-12) for d, x in zip(domains, now, strict=True)}
 
 

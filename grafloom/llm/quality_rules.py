@@ -69,7 +69,10 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
         p0, n0, best = (inside & bad).sum(), (inside & ~bad).sum(), (0.0, None, None)
         base = log2(p0 / (p0 + n0))
         for feature, values in x.items():
-            for bound in np.unique(np.quantile(values[inside], np.linspace(0, 1, MOST_THRESHOLDS), method="lower")):
+            seen = np.unique(values[inside])
+            at = np.unique(np.linspace(0, len(seen) - 1, MOST_THRESHOLDS).astype(int))[:-1]
+            at = np.union1d(at, np.searchsorted(seen, np.quantile(values[inside], np.linspace(0, 1, MOST_THRESHOLDS), method="lower")))
+            for bound in (seen[at[at < len(seen) - 1]] + seen[at[at < len(seen) - 1] + 1]) / 2:  # halfway to the next value, clear of either class
                 for above in (True, False):
                     c = Condition(feature, above, float(bound))
                     now = inside & c.covers(x)
@@ -92,6 +95,16 @@ def _prune(rule: Rule, x: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
     return max((rule[:i] for i in range(1, len(rule) + 1)), key=lambda r: (worth(r), -len(r)))
 
 
+def _tightest(rule: Rule) -> Rule:
+    """The rule without conditions that another one implies."""
+    best = {}
+    for c in rule:
+        key = (c.feature, c.above)
+        if key not in best or (c.bound > best[key].bound) == c.above:
+            best[key] = c
+    return tuple(best.values())
+
+
 def learn(x: dict[str, np.ndarray], bad: np.ndarray, seed: int = 3, most_rules: int = 12) -> list[Rule]:
     """An ordered list of rules for the bad rows; none if there are too few of either class."""
     rules, left = [], np.ones(len(bad), dtype=bool)
@@ -108,7 +121,7 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, seed: int = 3, most_rules:
         seen = inside & part
         if inside.sum() < LEAST_COVER or (inside & bad).sum() < LEAST_PRECISION * inside.sum() or (seen & bad).sum() < LEAST_PRECISION * seen.sum():
             break
-        rules.append(rule)
+        rules.append(_tightest(rule))
         left &= ~inside
     return rules
 
