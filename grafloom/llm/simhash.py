@@ -4,7 +4,7 @@ Links are found by deletion variants. A fingerprint is cut into so few segments
 fingerprints within the allowed distance, one segment differs by at most one bit; each segment
 is indexed once for each of its bits with that bit masked, and equal keys make candidates.
 Dense classes would fill index buckets with pairs, so links are contracted first: a star on the
-unmasked segments (each fingerprint against its bucket's smallest) gives classes, and the full
+unmasked segments (each fingerprint against its bucket's smallest and largest) gives classes, and the full
 index then compares only members of different classes. No link between classes can be missed:
 both ends share a bucket, and at least one of them is outside the bucket's most frequent class.
 """
@@ -73,6 +73,17 @@ def _near(a: str, b: str, distance: int) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= distance
 
 
+def _once(distance: int) -> Column:
+    """Holds for one of the keys that the near fingerprints fp and fp_ share: of their first segment with at most one differing bit, that bit's, else the first."""
+    x, at = F.col("fp").bitwiseXOR(F.col("fp_")), F.shiftright("k", 33)
+    out, before = F.lit(False), F.lit(True)
+    for i, (first, bits) in enumerate(segments(distance)):
+        part = F.shiftrightunsigned(x, first).bitwiseAND(F.lit((1 << bits) - 1))
+        out |= before & (F.shiftright(at, 6) == i) & ((part != 0) | (at % BITS == 0))
+        before &= F.bit_count(part) > 1
+    return out
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (u, v): root is the smallest node of its component.
 
@@ -103,7 +114,7 @@ def classes(prints: DataFrame, distance: int = 4) -> DataFrame:
     if distance < 2:
         raise ValueError("distance must be 2 at least")
     star = prints.select("fp", F.explode(_keys(F.col("fp"), distance, False)).alias("k"))
-    centre = star.groupBy("k").agg(F.min("fp").alias("c"))
+    centre = star.groupBy("k").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("k", F.explode(F.array("lo", "hi")).alias("c"))
     near = star.join(centre, "k").where((F.col("fp") != F.col("c")) & _near("fp", "c", distance))
     first = connected(near.select(F.col("fp").alias("u"), F.col("c").alias("v")))
     first = materialise(prints.join(first, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("c")), "classes")
@@ -114,7 +125,7 @@ def classes(prints: DataFrame, distance: int = 4) -> DataFrame:
     index = index.select("k", "fp", "c", F.count("*").over(own).alias("n")).select("k", "fp", "c", F.max(F.struct("n", "c")).over(bucket)["c"].alias("most"))
     index = materialise(index, "variants")
     rest = index.where("c <> most").select("k", F.col("fp").alias("fp_"), F.col("c").alias("c_"))
-    links = rest.join(index, "k").where((F.col("c") != F.col("c_")) & _near("fp", "fp_", distance)).select(F.col("c_").alias("u"), F.col("c").alias("v"))
+    links = rest.join(index, "k").where((F.col("c") != F.col("c_")) & _near("fp", "fp_", distance) & _once(distance)).select(F.col("c_").alias("u"), F.col("c").alias("v"))
     merged = connected(links)
     return first.join(merged, F.col("c") == F.col("node"), "left").select("fp", F.coalesce("root", "c").alias("root"))
 
