@@ -1,7 +1,7 @@
 """Operators over edges: closures, lineage, inverses, chains, neighbourhoods, look-ups.
 
-Closures expand from a start set, one join a level, each level written down when a graph is deep
-(`checkpoint()` on the folder that all executors share); they end when a level finds nothing new.
+Closures expand from a start set, one join a level; each level is written to the folder that all
+executors share, so that plans stay short, and they end when a level finds nothing new.
 """
 
 from __future__ import annotations
@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Levels after which a closure's plan is cut by a checkpoint.
-CUT_EVERY = 8
+from grafloom.scratch import materialise
 
 
 def closure(edges: DataFrame, start: DataFrame, most_depth: int = 100) -> DataFrame:
@@ -18,22 +17,17 @@ def closure(edges: DataFrame, start: DataFrame, most_depth: int = 100) -> DataFr
 
     Raises RuntimeError if `most_depth` levels don't suffice.
     """
-    spark = edges.sparkSession
-    e = edges.select(F.col("child").alias("__c"), F.col("parent").alias("__p")).distinct()
-    found = start.select(F.col("node").alias("origin"), "node").distinct().withColumn("depth", F.lit(0))
-    last = found
-    can_cut = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    e = materialise(edges.select(F.col("child").alias("__c"), F.col("parent").alias("__p")).distinct(), "edges")
+    last = found = materialise(start.select(F.col("node").alias("origin"), "node").distinct().withColumn("depth", F.lit(0)), "level")
     for depth in range(1, most_depth + 2):
         step = last.join(e, F.col("node") == F.col("__c")).select("origin", F.col("__p").alias("node")).distinct()
-        step = step.join(found, ["origin", "node"], "left_anti").withColumn("depth", F.lit(depth))
-        if can_cut and depth % CUT_EVERY == 0:
-            step = step.checkpoint()
-        if step.isEmpty():
-            return found.where("depth > 0")
+        last = materialise(step.join(found, ["origin", "node"], "left_anti").withColumn("depth", F.lit(depth)), "level")
+        if last.isEmpty():
+            break
         if depth > most_depth:
             raise RuntimeError(f"paths longer than {most_depth}")
-        found, last = found.unionByName(step), step
-    return found
+        found = found.unionByName(last)
+    return found.where("depth > 0")
 
 
 def lineage(edges: DataFrame, nodes: DataFrame, ranks: DataFrame, most_depth: int = 60) -> DataFrame:
