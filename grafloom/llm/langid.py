@@ -27,7 +27,7 @@ MIX, SPREAD = 0x9E3779B1, 0x85EBCA6B
 SAMPLE_PER_LANGUAGE, MOST_LANGUAGES = 600, 256
 #: Characters whose n-grams are counted at once.
 CHUNK = 1 << 20
-LETTER = re.compile(r"[^\W\d_]")
+CANDIDATE = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 
 
@@ -63,13 +63,18 @@ class Model:
         return self.vector(buckets, counts) @ self.weights[buckets] + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if text is None or not self.languages or not LETTER.search(text):
+        if text is None or not self.languages or not has_letter(text):
             return UNDETERMINED, 0.0
         p = softmax(self.logits(*ngram_counts(text)) / self.temperature)
         best = int(p.argmax())
         return self.languages[best], float(p[best])
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter of any script; signs such as superscript digits aren't."""
+    return any(c.isalpha() for m in CANDIDATE.finditer(text) for c in m.group())
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max())
     return e / e.sum()

@@ -70,4 +70,32 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_URL = """SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)"""
+
+#: Where SQL can express an operator's whole result. Learned models (op3, op6, op7, op9), XXH64 (op2) and tokenizers (op10) have none.
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_filters": f"""
+        WITH u AS ({_URL}), r(h, p, v) AS (VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block'))
+        SELECT page_id, host, path, h || p AS rule, coalesce(v, CASE WHEN regexp_matches(host || path, '/(ads|adserver|banners|login|wp-admin)/') THEN 'block' ELSE 'allow' END) AS verdict
+        FROM u LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+        QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC) = 1""",
+    "op4_sharding": """
+        WITH t(tab) AS (SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) FROM range(256) x(n)),
+        d AS (SELECT doc_id, coalesce(text, '') AS text, octet_length(encode(coalesce(text, ''))) + 16 AS size FROM documents),
+        c AS (SELECT d.doc_id, size, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT)), lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS crc FROM d, t),
+        s AS (SELECT doc_id, size, crc, sum(size) OVER () AS whole, sum(size) OVER (ORDER BY doc_id, crc, size ROWS UNBOUNDED PRECEDING) - size AS before FROM c),
+        p AS (SELECT *, least(39, ((before * 2 + size) * 40 // (whole * 2)))::INTEGER AS shard FROM s)
+        SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY before) - 1 AS slot, NULL::INTEGER AS grown_shard FROM p""",
+    "op5_decontamination": r"""
+        WITH i AS (SELECT DISTINCT item_id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+        iw AS (SELECT item_id, text, least(5, len(w)) AS k, list_distinct(list_transform(range(1, len(w) - least(5, len(w)) + 2), lambda j: array_to_string(w[j : j + least(5, len(w)) - 1], ' '))) AS want FROM i WHERE len(w) > 0),
+        x AS (SELECT item_id, text, k, len(want) AS n_item, unnest(want) AS shingle FROM iw),
+        d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+        y AS (SELECT DISTINCT r, doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda j: array_to_string(w[j : j + k - 1], ' '))) AS shingle FROM d, (SELECT DISTINCT k FROM iw) WHERE len(w) >= k)
+        SELECT doc_id, item_id, count(*) AS n_shared, n_item, round(count(*) / n_item, 6) AS containment FROM x JOIN y USING (k, shingle) GROUP BY r, doc_id, item_id, x.text, n_item HAVING count(*) >= 0.8 * n_item - 1e-9""",
+    "op8_warc": """
+        WITH h AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS hex, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS best FROM pages)
+        SELECT page_id, n::BIGINT AS payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(hex, (i // 4 * 5 + 1)::INTEGER, 5))::BIGINT >> (15 - i % 4 * 5)) & 31) + 1)::INTEGER, 1)), '') AS payload_digest,
+            CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> best THEN best END AS refers_to FROM h""",
+}

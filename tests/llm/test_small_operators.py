@@ -154,7 +154,7 @@ def test_languages(spark):
     right = queries.op9_language_id(spark, "/root/testdata/sf0.01").join(df, "doc_id").where("held_out")
     assert right.where("lang = lang_pred").count() >= 0.98 * right.count()
     model = langid.train(df.where(~langid.held_out()))
-    odd = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "12 + 3 !", "x"), (4, "The thing is of that nature", "x"), (None, "é", "x")], "doc_id long, text string, score string")
+    odd = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "12 + 3² _ ½ !", "x"), (4, "The thing is of that nature", "x"), (None, "é", "x")], "doc_id long, text string, score string")
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(odd, model).collect()}
     assert [got[i] for i in (1, 2, 3)] == [("und", 0.0)] * 3 and got[4][0] == "en" and 0 < got[None][1] <= 1
     assert langid.train(df.limit(0)).predict("text") == ("und", 0.0)
