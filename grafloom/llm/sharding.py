@@ -64,5 +64,6 @@ def assign(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
 
 
 def write_shards(assigned: DataFrame, path: str) -> None:
-    """Writes a folder shard=N for each shard, its rows in order of slot."""
-    assigned.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Writes a folder shard=N for each shard; its files hold consecutive slots, in order. A shard is written by as many tasks as its rows need."""
+    n = int(assigned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    assigned.repartitionByRange(n, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -115,7 +115,8 @@ def judge(pages: DataFrame, rules: Iterable[Rule] = RULES, own_rules: Iterable[R
     host, path = split_url(F.col("__url"))
     rows = rows.select("id", host.alias("host"), path.alias("path"))
     wanted = sorted({t for r in [*rules, *own_rules] for t in r.tokens})
-    seen = rows.select(F.explode(F.split(F.concat("host", "path"), r"[/.]")).alias("t")).where(F.col("t").isin(wanted)).groupBy("t").count()
+    known = pages.sparkSession.createDataFrame([(t,) for t in wanted], "t string")
+    seen = rows.select(F.explode(F.split(F.concat("host", "path"), r"[/.]")).alias("t")).join(known, "t", "left_semi").groupBy("t").count()
     frequency = dict(seen.collect())  # at most the rules' tokens
 
     blocks = [(b, []) for b in _blocks(rules)] + [([], b) for b in _blocks(own_rules)]
