@@ -130,6 +130,16 @@ def classes(prints: DataFrame, distance: int = 4) -> DataFrame:
     return first.join(merged, F.col("c") == F.col("node"), "left").select("fp", F.coalesce("root", "c").alias("root"))
 
 
+def _linked(docs: DataFrame, id_col: str, text_col: str, distance: int, width: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(id, fp) of every row, and (fp, root, component_id) of every fingerprint."""
+    rows = bare(docs, id_col, text_col).toDF("id", "text")
+    rows = materialise(rows.select("id", _fingerprints("text", F.lit(width), F.lit(seed)).alias("fp")), "fingerprints")
+    prints = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    found = materialise(classes(prints.select("fp"), distance).join(prints, "fp"), "found")
+    least = found.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows, found.join(least, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4, width: int = 4, seed: int = 42) -> DataFrame:
     """One row per input row: the id (as it is), `fingerprint` (16 hex digits) and `component_id`, the smallest id of its class.
 
@@ -137,16 +147,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and a class of null ids only has a null component_id; repeated rows are all returned; an empty
     table gives no rows; further columns are not looked at.
     """
-    rows = bare(docs, id_col, text_col).toDF("id", "text")
-    rows = materialise(rows.select("id", _fingerprints("text", F.lit(width), F.lit(seed)).alias("fp")), "fingerprints")
-    prints = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
-    found = materialise(classes(prints.select("fp"), distance).join(prints, "fp"), "found")
-    least = found.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = found.join(least, "root").select("fp", "component_id")
+    rows, found = _linked(docs, id_col, text_col, distance, width, seed)
     return rows.join(found, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The input's rows and columns without those whose class has a smaller id. Rows with a null id stay, rows that repeat an id too."""
-    gone = near_duplicates(docs, id_col, text_col, **kw).where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4, width: int = 4, seed: int = 42) -> DataFrame:
+    """One row of each class, with all the input's columns: that of the smallest id.
+
+    Rows that share an id are one document: it goes if any of them is a copy of a smaller id, else its
+    smallest row stays. A class of null ids only keeps one row; null ids in other classes go.
+    """
+    rows, found = _linked(docs, id_col, text_col, distance, width, seed)
+    gone = rows.where("id is not null").join(found, "fp").where("id > component_id").select(F.col("id").alias("__id")).distinct()
+    key, same = F.col(f"`{id_col}`"), F.col(f"`{id_col}`") == F.col("__id")
+    kept = docs.where(key.isNotNull()).join(gone, same, "left_anti")
+    again = materialise(rows.where("id is not null").groupBy(F.col("id").alias("__id")).count().where("count > 1").select("__id"), "repeated")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if not again.isEmpty():
+        one = kept.join(again, same, "left_semi").groupBy(key.alias("__id")).agg(F.min(F.struct(*columns)).alias("__row")).select("__row.*")
+        kept = kept.join(again, same, "left_anti").unionByName(one)
+    if not rows.where("id is null").isEmpty():
+        alone = found.where("component_id is null").select(F.col("fp").alias("__fp"), F.col("root").alias("__root"))
+        none = docs.where(key.isNull()).withColumn("__print", _fingerprints(F.col(f"`{text_col}`"), F.lit(width), F.lit(seed))).join(alone, F.col("__print") == F.col("__fp"))
+        kept = kept.unionByName(none.groupBy("__root").agg(F.min(F.struct(*columns)).alias("__row")).select("__row.*"))
+    return kept

@@ -87,5 +87,7 @@ def test_dense_classes_lose_no_link(spark):
 def test_empty_and_deduplicate(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(empty).collect() == []
-    df = spark.createDataFrame([(1, "a b c d e"), (2, "A b c d e"), (3, "z y x w v u"), (None, "a b c d e")], "doc_id long, text string")
-    assert sorted(r["doc_id"] or 0 for r in simhash.deduplicate(df).collect()) == [0, 1, 3]
+    rows = [(1, "a b c d e"), (2, "A b c d e"), (3, "z y x w v u"), (3, "z y x w v u"), (None, "a b c d e"), (None, "q r s t u v w"), (None, "q r s t u v w"), (4, "unlike all the others here")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, root string")
+    assert sorted((str(r["doc_id"]), r["text"], r["root"]) for r in simhash.deduplicate(df).collect()) == [("1", "a b c d e", "clash"), ("3", "z y x w v u", "clash"), ("4", "unlike all the others here", "clash"), ("None", "q r s t u v w", "clash")]
+    assert simhash.deduplicate(empty).collect() == []
