@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from math import log
+from math import exp, log, log1p
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +25,8 @@ MOST_LABELLED = 8000
 MOST_WORDS, LEAST_DOCS = 256, 8
 #: And least information of a word, in nats over the labelled documents: more than chance gives any of 100,000 words.
 LEAST_WORTH = 12
+#: A word must be so many times likelier in some domain's documents: common words only tell languages and lengths apart.
+LEAST_LIFT = 3
 #: Posteriors are multiples of one part in so many.
 GRID = 256
 #: Steps of the fit, at most, and the part of the budget by which expected tokens may miss when it ends.
@@ -34,7 +36,7 @@ SYMBOLS = "#*$%&|<>!"
 
 @dataclass
 class Classifier:
-    """Log-probabilities: priors, of a word's presence, of a statistic's bin; lists run over the domains."""
+    """Logarithms: of the domains' probability when no word is there, of a word's odds, of a statistic's bin; lists run over the domains."""
 
     domains: list[str]
     prior: list[float]
@@ -94,9 +96,16 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     chosen = []
     if domains:
         per = per.groupBy("w").agg(F.sum("count").alias("n"), *[n[d].alias(f"n{i}") for i, d in enumerate(domains)]).where(F.col("n") >= LEAST_DOCS)
-        chosen = per.withColumn("worth", worth).where(F.col("worth") > LEAST_WORTH).orderBy(F.desc("worth"), "w").limit(MOST_WORDS).collect()
-    known = {r["w"]: shares({d: r[f"n{i}"] for i, d in enumerate(domains)}, 2) for r in chosen}
-    return Classifier(domains, [log(sizes[d] / total) for d in domains], known, bins)
+        lift = F.greatest(*[F.col(f"n{i}") / F.col("n") / (sizes[d] / total) for i, d in enumerate(domains)], F.lit(0.0))
+        chosen = per.withColumn("worth", worth).where(lift >= LEAST_LIFT).where(F.col("worth") > LEAST_WORTH).orderBy(F.desc("worth"), "w").limit(MOST_WORDS).collect()
+    # a word that is there counts as its odds, and every word's absence is part of the prior
+    known, prior = {}, [log(sizes[d] / total) for d in domains]
+    for r in chosen:
+        there = shares({d: r[f"n{i}"] for i, d in enumerate(domains)}, 2)
+        gone = [log1p(-exp(x)) for x in there]
+        known[r["w"]] = [a - b for a, b in zip(there, gone, strict=True)]
+        prior = [a + b for a, b in zip(prior, gone, strict=True)]
+    return Classifier(domains, prior, known, bins)
 
 
 def _summed(places: str, values: Column) -> Column:
@@ -139,8 +148,9 @@ def fit_rates(judged: DataFrame, domains: list[str], weights: Mapping[str, float
     """The rate of a row of `judged` (n_tokens, posterior) as an expression, and the domains' expected shares of tokens.
 
     Expected tokens of domain d are to be weights[d] of the budget; weights are scaled to sum to 1. The
-    budget is in tokens; if not given, it is the most for which no domain needs more than it has.
-    Domains that have no tokens are left out. No tokens at all: rates of 1.
+    budget is in tokens; if not given, it takes the domain of the largest weight just as it is, so that
+    its documents stay and the others are thinned, or repeated where they are scarce. Domains that have
+    no tokens are left out. No tokens at all: rates of 1.
     """
     k = len(domains)
     profiles = materialise(judged.groupBy("posterior").agg(F.sum("n_tokens").alias("t")), "profiles")
@@ -150,7 +160,8 @@ def fit_rates(judged: DataFrame, domains: list[str], weights: Mapping[str, float
     if not scale:
         return F.lit(1.0), {}
     share = [weights.get(d, 0.0) / scale if m > 0 else 0.0 for d, m in zip(domains, held, strict=True)]
-    budget = budget or min(m / s for m, s in zip(held, share, strict=True) if s > 0)
+    largest = max(range(k), key=lambda i: (share[i], -i))
+    budget = budget or held[largest] / share[largest]
     want, steps, now = [s * budget for s in share], [], held
     # with gaps relative to what a domain holds the Hessian's norm is 1 at most, so steps of length 1 descend
     for _ in range(MOST_STEPS):

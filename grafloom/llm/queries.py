@@ -10,7 +10,7 @@ from grafloom.llm.common import load, scratch_path
 
 N_SHARDS = 40
 #: Wanted shares of tokens by domain, see mixing.label_domains.
-TARGET_WEIGHTS = {"clean": 0.95, "low": 0.03, "toxic": 0.02}
+TARGET_WEIGHTS = {"clean": 0.96, "low": 0.02, "toxic": 0.02}
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
