@@ -12,12 +12,12 @@ from grafloom.llm import decontaminate, langid, mixing, sharding, simhash
 from grafloom.llm.common import load, materialise
 from grafloom.llm.queries import N_SHARDS, TARGET_WEIGHTS
 
-#: Documents whose calibrated probability of the predicted language is below this are rejected.
-LEAST_SCORE = 0.5
+#: Documents whose calibrated probability of the predicted language is below this are rejected: those of no language known, as short ones of a known language seldom score so low.
+LEAST_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that have a language: letters, and a prediction that is more likely than not."""
+    """Keeps the documents that have a language: letters, and a prediction that is not a mere guess."""
     model = langid.train(docs.where(~langid.held_out()))
     judged = langid.identify(docs, model)
     return judged.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
