@@ -79,12 +79,13 @@ def undirected(edges: DataFrame) -> DataFrame:
 
 def neighbourhood(edges: DataFrame, centre, hops: int = 2) -> tuple[DataFrame, DataFrame]:
     """The nodes (node, hop) within so many hops of the centre, either direction, and the edges between them."""
-    start = edges.sparkSession.createDataFrame([(centre,)], f"node {dict(edges.dtypes)['s']}")
-    both = undirected(edges)
-    found = start.withColumn("hop", F.lit(0))
+    found = last = edges.sparkSession.createDataFrame([(centre,)], f"node {dict(edges.dtypes)['s']}").withColumn("hop", F.lit(0))
     for hop in range(1, hops + 1):
-        step = both.join(found.select(F.col("node").alias("a")), "a", "left_semi").select(F.col("b").alias("node")).distinct()
-        found = found.unionByName(step.join(found, "node", "left_anti").withColumn("hop", F.lit(hop)))
+        # only the edges at the frontier are looked at, and only their far ends are made distinct
+        out = edges.join(last.select(F.col("node").alias("s")), "s", "left_semi").select(F.col("o").alias("node"))
+        into = edges.join(last.select(F.col("node").alias("o")), "o", "left_semi").select(F.col("s").alias("node"))
+        last = materialise(out.union(into).distinct().join(found, "node", "left_anti").withColumn("hop", F.lit(hop)), "hop")
+        found = found.unionByName(last)
     inside = edges.join(found.select(F.col("node").alias("s")), "s", "left_semi").join(found.select(F.col("node").alias("o")), "o", "left_semi")
     return found, inside
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from grafloom.functions import mining, terms
-from grafloom.operators import audit, entities, evidence, graph
+from grafloom.operators import audit, entities, evidence, graph, ingest
 from grafloom.operators import triples as T
 from grafloom.plans import views as V
 
@@ -192,3 +192,65 @@ def resolution_keys(spark, d):
     key = entities.resolution_key(("id", F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment"))), ("label", F.col("c_mktsegment")))
     rows = V.table(spark, d, "customer").select("c_custkey", key.alias("key"))
     return rows.select("c_custkey", F.split("key", ":")[1].alias("match"), F.when(F.col("key").startswith("id:"), 1).otherwise(2).alias("rank"))
+
+
+@query("""SELECT DISTINCT l_suppkey AS plant, lower(c_mktsegment) AS gene FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment LIKE 'B%' OR c_mktsegment LIKE 'M%'""")
+def gated_targets(spark, d):
+    """Plant to gene through three tables, for known genes."""
+    t = lambda n: V.table(spark, d, n)
+    plants = t("lineitem").select(F.col("l_suppkey").alias("plant"), F.col("l_orderkey").alias("ingredient"))
+    pairs = t("orders").select(F.col("o_orderkey").alias("ingredient"), F.col("o_custkey").alias("target"))
+    targets = t("customer").select(F.col("c_custkey").alias("target"), F.col("c_mktsegment").alias("symbol"))
+    genes = t("customer").where("c_mktsegment like 'B%' or c_mktsegment like 'M%'").select(F.col("c_mktsegment").alias("gene"))
+    return ingest.gated_targets(plants, pairs, targets, genes)
+
+
+@query("""SELECT n_nationkey, count(*) AS n FROM nation LEFT JOIN (SELECT DISTINCT s_nationkey AS k, s_suppkey FROM supplier) ON k = n_nationkey LEFT JOIN (SELECT DISTINCT c_nationkey AS k2, c_mktsegment FROM customer) ON k2 = n_nationkey GROUP BY 1""")
+def many_to_many(spark, d):
+    """Left joins that multiply rows (E3), counted."""
+    key = lambda c: F.concat(F.lit("n-"), F.col(c).cast("string"))
+    base = V.table(spark, d, "nation").select("n_nationkey", key("n_nationkey").alias("k"))
+    a = V.table(spark, d, "supplier").select(F.upper(key("s_nationkey")).alias("k"), "s_suppkey")
+    b = V.table(spark, d, "customer").select(key("c_nationkey").alias("k"), "c_mktsegment")
+    return ingest.many_to_many(base, (a, "k"), (b, "k")).groupBy("n_nationkey").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'Disease_ICD11_' || n_regionkey AS node, min(n_name) AS name, 'r' || n_regionkey AS category FROM nation GROUP BY n_regionkey""")
+def disease_nodes(spark, d):
+    """Nodes by code with the smallest name and a category without its number."""
+    n = V.table(spark, d, "nation").select(F.col("n_regionkey").cast("string").alias("code"), F.col("n_name").alias("name"), F.concat(F.lit("4. r"), F.col("n_regionkey").cast("string")).alias("category"))
+    return ingest.disease_nodes(n)
+
+
+@query("""SELECT c_custkey AS node, CASE WHEN c_acctbal > 5000 THEN 'rich' WHEN c_custkey % 2 = 0 THEN 'even' ELSE 'Unknown' END AS class FROM customer""")
+def classify_first(spark, d):
+    """The first class by priority, a fallback where there is none."""
+    c = V.table(spark, d, "customer").withColumnRenamed("c_custkey", "node")
+    classes = c.where("node % 2 = 0").select("node", F.lit("even").alias("class")).union(c.where("c_acctbal > 5000").select("node", F.lit("rich")))
+    return ingest.classify(c, classes, ["rich", "even"])
+
+
+@query("""SELECT DISTINCT p_name AS smiles, coalesce(s_name, 'N/A') AS plant FROM part LEFT JOIN (SELECT DISTINCT l_partkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_suppkey < 4) ON p_partkey = l_partkey""")
+def flat_export(spark, d):
+    """Compound strings with the labels of their plants."""
+    p, i, s = (V.table(spark, d, n) for n in ("part", "lineitem", "supplier"))
+    t = T.triples(
+        T.unpivot(p, V.node("p", "p_partkey"), {"smiles": terms.nt_literal(F.col("p_name"))}),
+        T.unpivot(i.where("l_suppkey < 4"), V.node("p", "l_partkey"), {"from": V.node("s", "l_suppkey")}),
+        T.unpivot(s, V.node("s", "s_suppkey"), {"label": terms.nt_literal(F.col("s_name"))}),
+    )
+    return ingest.flat_export(t, "smiles", "from", "label")
+
+
+@query(f"""SELECT s, 'brand' AS p, o FROM ({V.LITERALS_SQL}) WHERE p = 'size' UNION SELECT s, p, o FROM ({V.LITERALS_SQL}) WHERE p <> 'size'""")
+def consolidate_property(spark, d):
+    """Several predicates become one."""
+    return ingest.consolidate_property(V.literals(spark, d), ["size", "brand"], "brand")
+
+
+@query("""SELECT c_custkey AS node, CASE WHEN c_custkey % 3 = 0 THEN c_name WHEN c_custkey % 3 = 1 THEN c_mktsegment || ' x' END AS label FROM customer""")
+def missing_labels(spark, d):
+    """Labels made of genus and species where there is none."""
+    m = F.col("c_custkey") % 3
+    rows = V.table(spark, d, "customer").select(F.col("c_custkey").alias("node"), F.when(m == 0, F.col("c_name")).otherwise("nan").alias("label"), F.when(m == 1, F.col("c_mktsegment")).alias("genus"), F.when(m == 1, "x").alias("species"))
+    return ingest.missing_labels(rows).select("node", "label")
