@@ -104,10 +104,14 @@ def namespace(uri: str) -> str:
     return uri if uri.endswith(("#", "/")) else uri + "#"
 
 
+# Fixed value: what may not stand in an IRI after its authority, of the characters and ranges that RFC 3987 allows.
+BAD_IN_IRI = r"(%(?![0-9A-Fa-f]{2})|[^A-Za-z0-9\-._~!$&'()*+,;=:@/%?#\x{A0}-\x{D7FF}\x{F900}-\x{FDCF}\x{FDF0}-\x{FFEF}\x{10000}-\x{EFFFD}])"
+
+
 def iri_problem(c: Column) -> Column:
     """Why a bare IRI is invalid, or null: checked are the scheme, then path, query and fragment after any authority."""
     rest = F.regexp_replace(F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.\-]*:", ""), r"^//[^/?#]*", "")
-    odd = F.regexp_extract(rest, r"(%(?![0-9A-Fa-f]{2})|[^A-Za-z0-9\-._~!$&'()*+,;=:@/%?#\x{A0}-\x{D7FF}\x{F900}-\x{FDCF}\x{FDF0}-\x{FFEF}\x{10000}-\x{EFFFD}])", 1)
+    odd = F.regexp_extract(rest, BAD_IN_IRI, 1)
     return F.when(~c.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), "no scheme").when(odd != "", F.concat(F.lit("char "), odd)).when(F.length(F.regexp_replace(rest, "[^#]", "")) > 1, "two #")
 
 
