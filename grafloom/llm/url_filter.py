@@ -22,6 +22,8 @@ from grafloom.llm.common import ascii_lower, bare
 
 #: Characters of rules that one process holds; more are judged in blocks, a pass over the URLs each.
 BLOCK_CHARS = 16_000_000
+#: Tokens of rules that are sent to all executors to be counted.
+MOST_BROADCAST = 100_000
 
 
 @dataclass(frozen=True)
@@ -116,7 +118,11 @@ def judge(pages: DataFrame, rules: Iterable[Rule] = RULES, own_rules: Iterable[R
     rows = rows.select("id", host.alias("host"), path.alias("path"))
     wanted = sorted({t for r in [*rules, *own_rules] for t in r.tokens})
     known = pages.sparkSession.createDataFrame([(t,) for t in wanted], "t string")
-    seen = rows.select(F.explode(F.split(F.concat("host", "path"), r"[/.]")).alias("t")).join(known, "t", "left_semi").groupBy("t").count()
+    seen = rows.select(F.explode(F.split(F.concat("host", "path"), r"[/.]")).alias("t"))
+    if len(wanted) <= MOST_BROADCAST:
+        seen = seen.join(F.broadcast(known), "t", "left_semi").groupBy("t").count()
+    else:  # counted before they meet the rules' tokens, so that a frequent one is a few rows
+        seen = seen.groupBy("t").count().join(known, "t", "left_semi")
     frequency = dict(seen.collect())  # at most the rules' tokens
 
     blocks = [(b, []) for b in _blocks(rules)] + [([], b) for b in _blocks(own_rules)]
