@@ -230,18 +230,29 @@ def classify_first(spark, d):
     return ingest.classify(c, classes, ["rich", "even"])
 
 
-@query("""SELECT DISTINCT p_name AS smiles, coalesce(s_name, 'N/A') AS plant FROM part LEFT JOIN (SELECT DISTINCT l_partkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_suppkey < 4) ON p_partkey = l_partkey""")
-def flat_export(spark, d):
-    """Compound strings with the labels of their plants."""
-    p, i, s = (V.table(spark, d, n) for n in ("part", "lineitem", "supplier"))
+def _plants_of(spark, d, i):
+    """Compound strings with the labels of the plants that they come from by the rows i of lineitem."""
+    p, s = V.table(spark, d, "part"), V.table(spark, d, "supplier")
     t = T.triples(
         T.unpivot(p, V.node("p", "p_partkey"), {"smiles": terms.nt_literal(F.col("p_name"))}),
-        T.unpivot(i.where("l_suppkey < 4"), V.node("p", "l_partkey"), {"from": V.node("s", "l_suppkey")}),
+        T.unpivot(i, V.node("p", "l_partkey"), {"from": V.node("s", "l_suppkey")}),
         T.unpivot(s, V.node("s", "s_suppkey"), {"label": terms.nt_literal(F.col("s_name"))}),
     )
     return ingest.flat_export(t, "smiles", "from", "label")
 
 
+@query("""SELECT DISTINCT p_name AS smiles, coalesce(s_name, 'N/A') AS plant FROM part LEFT JOIN (SELECT DISTINCT l_partkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_suppkey < 4) ON p_partkey = l_partkey""")
+def flat_export(spark, d):
+    """P17 with the links of few plants, so that some compounds come out as 'N/A'. All links are in flat_export_whole."""
+    return _plants_of(spark, d, V.table(spark, d, "lineitem").where("l_suppkey < 4"))
+
+
+@query("""SELECT DISTINCT p_name AS smiles, coalesce(s_name, 'N/A') AS plant FROM part LEFT JOIN (SELECT DISTINCT l_partkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) ON p_partkey = l_partkey""")
+def flat_export_whole(spark, d):
+    """Compound strings with the labels of all their plants."""
+    return _plants_of(spark, d, V.table(spark, d, "lineitem"))
+
+
 @query(f"""SELECT s, 'brand' AS p, o FROM ({V.LITERALS_SQL}) WHERE p = 'size' UNION SELECT s, p, o FROM ({V.LITERALS_SQL}) WHERE p <> 'size'""")
 def consolidate_property(spark, d):
     """Several predicates become one."""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from grafloom.plans import io_queries
+from grafloom.plans import io_queries, more_queries
 from grafloom.sources import sinks
 
 
@@ -23,3 +23,11 @@ def test_shards_hold_all_suppliers(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(sinks, "write_shards", spy)
     assert found("json_shards") == [("1", 7), ("49", 8)] and sorted(written) == ["1", "49", "50", "999"]
+
+
+def test_flat_export_takes_all_plants(spark, tmp_path):
+    write(spark, tmp_path, "part", [(1, "C"), (2, "CC"), (3, "CCC")], "p_partkey long, p_name string")
+    write(spark, tmp_path, "lineitem", [(1, 3), (1, 4), (1, 4), (2, 999)], "l_partkey long, l_suppkey long")
+    d = write(spark, tmp_path, "supplier", [(3, "three"), (4, "four"), (999, "last")], "s_suppkey long, s_name string")
+    found = more_queries.QUERIES["flat_export_whole"](spark, d).collect()
+    assert sorted((r["smiles"], r["plant"]) for r in found) == [("C", "four"), ("C", "three"), ("CC", "last"), ("CCC", "N/A")]
