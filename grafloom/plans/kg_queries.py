@@ -550,9 +550,21 @@ def regex_extract(spark, d):
 
 @query("""SELECT doc_id, CASE WHEN regexp_matches(n, '[0-9]') THEN 'digits' WHEN regexp_matches(n, '[\\[\\]()]') THEN 'brackets' WHEN regexp_matches(' ' || lower(n) || ' ', ' seu | et ') THEN 'drug phrase' END AS reason FROM (SELECT doc_id, text[:60] AS n FROM documents)""")
 def junk_tag(spark, d):
+    """D12 on the first 60 characters. Whole texts are in junk_tag_whole."""
     return V.table(spark, d, "documents").select("doc_id", evidence.junk_reason(F.substring("text", 1, 60)).alias("reason"))
 
 
+_MARKERS_SQL = " ".join(f"WHEN contains(low, '{x}') THEN 'marker {x}'" for x in evidence.NON_PLANT_MARKERS)
+
+
+@query(rf"""SELECT doc_id, CASE WHEN low = '' THEN 'empty' {_MARKERS_SQL} WHEN regexp_matches(low, '[0-9]') THEN 'digits' WHEN regexp_matches(low, '[\[\]()]') THEN 'brackets' WHEN regexp_matches(' ' || low || ' ', ' seu | et ') THEN 'drug phrase'
+    WHEN w[1] IN {evidence.PART_NAMES} THEN 'part name' WHEN list_has_any(w, {list(evidence.ANIMAL_WORDS)}) THEN 'animal' WHEN list_has_any(w, {list(evidence.STRAIN_WORDS)}) THEN 'strain' END AS reason
+    FROM (SELECT doc_id, low, string_split(low, ' ') AS w FROM (SELECT doc_id, lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS low FROM documents))""")
+def junk_tag_whole(spark, d):
+    """D12 on whole texts."""
+    return V.table(spark, d, "documents").select("doc_id", evidence.junk_reason(F.col("text")).alias("reason"))
+
+
 @query("""SELECT event_id, key, (props::JSON ->> key)::VARCHAR AS value FROM (SELECT event_id, props, unnest(json_keys(props::JSON)) AS key FROM events)""")
 def json_map_explode(spark, d):
     return V.table(spark, d, "events").select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("key", "value"))

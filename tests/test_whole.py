@@ -1,8 +1,9 @@
 """The whole job, on rows that a prefix or a subset of ids would leave out."""
 
+from oracle import assert_same
 from pyspark.sql import functions as F
 
-from grafloom.plans import io_queries, more_queries
+from grafloom.plans import io_queries, kg_queries, more_queries
 from grafloom.sources import sinks
 
 
@@ -31,3 +32,11 @@ def test_flat_export_takes_all_plants(spark, tmp_path):
     d = write(spark, tmp_path, "supplier", [(3, "three"), (4, "four"), (999, "last")], "s_suppkey long, s_name string")
     found = more_queries.QUERIES["flat_export_whole"](spark, d).collect()
     assert sorted((r["smiles"], r["plant"]) for r in found) == [("C", "four"), ("C", "three"), ("CC", "last"), ("CCC", "N/A")]
+
+
+def test_junk_is_found_anywhere_in_a_text(spark, tmp_path):
+    ends = {"": None, " 7": "digits", " (x": "brackets", " et x": "drug phrase", " Yeast": "marker yeast", " shark": "animal", " isolate": "strain", " herba": None}
+    rows = [(i, "plain words " * 200 + "and" + end) for i, end in enumerate(ends)] + [(100, None), (101, " \n"), (102, "Radix  x")]
+    d = write(spark, tmp_path, "documents", rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["reason"] for r in kg_queries.QUERIES["junk_tag_whole"](spark, d).collect()}
+    assert found == dict(enumerate(ends.values())) | {100: None, 101: "empty", 102: "part name"}
