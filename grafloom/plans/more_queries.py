@@ -112,12 +112,23 @@ def xref_iris(spark, d):
     return rows.select("event_id", "source", made.alias("iri")).where("iri is not null")
 
 
+def _tiers(spark, d, text):
+    # judged before the join, so that no text is shuffled
+    rows = V.table(spark, d, "documents").select("doc_id", text.rlike("[0-9]").alias("digit")).join(V.table(spark, d, "labels").select("doc_id", "quality").distinct(), "doc_id", "left")
+    tier = evidence.decide(("junk", F.col("digit")), ("plant", F.col("quality") == 1), ("nonplant", F.col("quality") == 0), otherwise="possible")
+    return rows.select("doc_id", tier.alias("tier"))
+
+
 @query("""SELECT doc_id, CASE WHEN regexp_matches(text[:80], '[0-9]') THEN 'junk' WHEN quality = 1 THEN 'plant' WHEN quality = 0 THEN 'nonplant' ELSE 'possible' END AS tier FROM documents LEFT JOIN (SELECT DISTINCT doc_id, quality FROM labels) USING (doc_id)""")
 def triage(spark, d):
-    """An ordered decision over joined flags."""
-    rows = V.table(spark, d, "documents").join(V.table(spark, d, "labels").select("doc_id", "quality").distinct(), "doc_id", "left")
-    tier = evidence.decide(("junk", F.substring("text", 1, 80).rlike("[0-9]")), ("plant", F.col("quality") == 1), ("nonplant", F.col("quality") == 0), otherwise="possible")
-    return rows.select("doc_id", tier.alias("tier"))
+    """An ordered decision over joined flags (D11, M4), junk by the first 80 characters. Whole texts are in triage_whole."""
+    return _tiers(spark, d, F.substring("text", 1, 80))
+
+
+@query("""SELECT doc_id, CASE WHEN regexp_matches(text, '[0-9]') THEN 'junk' WHEN quality = 1 THEN 'plant' WHEN quality = 0 THEN 'nonplant' ELSE 'possible' END AS tier FROM documents LEFT JOIN (SELECT DISTINCT doc_id, quality FROM labels) USING (doc_id)""")
+def triage_whole(spark, d):
+    """An ordered decision over joined flags (D11, M4), junk by whole texts."""
+    return _tiers(spark, d, F.col("text"))
 
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'orders' WHEN c_custkey % 3 = 0 THEN 'nation' END AS source FROM customer""")

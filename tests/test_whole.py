@@ -40,3 +40,11 @@ def test_junk_is_found_anywhere_in_a_text(spark, tmp_path):
     d = write(spark, tmp_path, "documents", rows, "doc_id long, text string")
     found = {r["doc_id"]: r["reason"] for r in kg_queries.QUERIES["junk_tag_whole"](spark, d).collect()}
     assert found == dict(enumerate(ends.values())) | {100: None, 101: "empty", 102: "part name"}
+
+
+def test_triage_reads_whole_texts(spark, tmp_path):
+    late = "words " * 500 + "7"
+    write(spark, tmp_path, "documents", [(1, late), (2, "words"), (3, late), (4, None), (5, "words")], "doc_id long, text string")
+    d = write(spark, tmp_path, "labels", [(1, 1), (2, 1), (4, 0)], "doc_id long, quality int")
+    found = {r["doc_id"]: r["tier"] for r in more_queries.QUERIES["triage_whole"](spark, d).collect()}
+    assert found == {1: "junk", 2: "plant", 3: "junk", 4: "nonplant", 5: "possible"}
