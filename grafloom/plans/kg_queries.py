@@ -277,8 +277,7 @@ def bioactivities(spark, d):
 def name_fallback_join(spark, d):
     docs = V.table(spark, d, "documents")
     known = docs.groupBy(F.lower("lang").alias("key")).agg(F.min("doc_id").alias("value")).union(spark.createDataFrame([("the", 7)], "key string, value long"))
-    head = F.regexp_extract(terms.strip(F.col("text")), r"(?U)^(\S+(\s+\S+)?)", 1)
-    return evidence.fallback_join(docs.select("doc_id", head.alias("head")), evidence.name_keys(F.col("head")), known, "key", "value").select("doc_id", "value", "rank")
+    return evidence.fallback_join(docs.select("doc_id", "text"), evidence.name_keys(F.col("text")), known, "key", "value").select("doc_id", "value", "rank")
 
 
 @query("""WITH t AS (SELECT n_nationkey, n_name FROM nation WHERE n_nationkey < 10), r AS (SELECT c_custkey, c_nationkey, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey END AS k FROM customer)

@@ -54,11 +54,33 @@ def carry_over(spark, d):
 @query("""WITH a AS (SELECT DISTINCT left(text, 5) AS g FROM documents WHERE length(text) > 5), b AS (SELECT DISTINCT left(text, 5) AS g FROM benchmark)
     SELECT a.g || ' x' AS name, b.g || ' x' AS match FROM a JOIN b ON levenshtein(a.g, b.g) = 1 WHERE NOT contains(a.g, ' ') AND NOT contains(b.g, ' ') AND NOT regexp_matches(a.g || b.g, '\\s')""")
 def typo_rescue(spark, d):
-    """Names whose first word is one letter off a known one, blocked by the second."""
+    """E24 on heads of five characters, all of one epithet. Whole names are in typo_rescue_whole."""
     head = lambda t: V.table(spark, d, t).where("length(text) > 5").select(F.substring("text", 1, 5).alias("g")).distinct().where(~F.col("g").rlike(r"\s")).select(F.concat("g", F.lit(" x")).alias("name"))
     return evidence.typo_matches(head("documents"), head("benchmark"))
 
 
+#: A whole word.
+_WORD = r"\p{L}+"
+
+
+def _names_sql(table):
+    return f"SELECT DISTINCT regexp_extract(text, '({_WORD})[^\\p{{L}}]+({_WORD})', 1) AS g, regexp_extract(text, '({_WORD})[^\\p{{L}}]+({_WORD})', 2) AS e FROM {table} WHERE regexp_matches(text, '{_WORD}[^\\p{{L}}]+{_WORD}')"
+
+
+#: One character replaced, or one more on either side; DuckDB's levenshtein counts bytes.
+_SLIP_SQL = """(length(a.g) = length(b.g) AND a.g <> b.g AND len(list_filter(range(1, length(a.g) + 1), lambda i: left(a.g, i - 1) = left(b.g, i - 1) AND substr(a.g, i + 1) = substr(b.g, i + 1))) > 0
+    OR length(a.g) = length(b.g) + 1 AND len(list_filter(range(1, length(a.g) + 1), lambda i: left(a.g, i - 1) || substr(a.g, i + 1) = b.g)) > 0
+    OR length(b.g) = length(a.g) + 1 AND len(list_filter(range(1, length(b.g) + 1), lambda i: left(b.g, i - 1) || substr(b.g, i + 1) = a.g)) > 0)"""
+
+
+@query(f"""WITH a AS ({_names_sql('documents')}), b AS ({_names_sql('benchmark')}) SELECT a.g || ' ' || e AS name, b.g || ' ' || e AS match FROM a JOIN b USING (e) WHERE {_SLIP_SQL}""")
+def typo_rescue_whole(spark, d):
+    """Names, the first two whole words of a text, whose genus is one letter off a known one, blocked by the epithet."""
+    word = lambda i: F.regexp_extract("text", rf"({_WORD})[^\p{{L}}]+({_WORD})", i)
+    names = lambda t: V.table(spark, d, t).select(F.concat_ws(" ", word(1), word(2)).alias("name")).where("length(name) > 1").distinct()
+    return evidence.typo_matches(names("documents"), names("benchmark"))
+
+
 @query(f"""WITH l AS ({V.LITERALS_SQL}), x AS (SELECT p, coalesce(nullif(regexp_extract(o, '\\^\\^<(.*)>$', 1), ''), 'plain') AS dt FROM l WHERE starts_with(o, '"')) SELECT p, dt, count(*) AS n, 0::BIGINT AS na, 0::BIGINT AS inchikeys FROM x GROUP BY 1, 2""")
 def literal_profile(spark, d):
     return audit.literal_profile(V.literals(spark, d))

@@ -48,3 +48,21 @@ def test_triage_reads_whole_texts(spark, tmp_path):
     d = write(spark, tmp_path, "labels", [(1, 1), (2, 1), (4, 0)], "doc_id long, quality int")
     found = {r["doc_id"]: r["tier"] for r in more_queries.QUERIES["triage_whole"](spark, d).collect()}
     assert found == {1: "junk", 2: "plant", 3: "junk", 4: "nonplant", 5: "possible"}
+
+
+def test_typos_of_whole_names(spark, tmp_path):
+    """Short, long and late slips count; another epithet, two slips or none don't."""
+    docs = ["Aloa vera gel", "Chrysanthemun indicum, dried", "Salvla officinalis", "Salvla miltiorrhiza", "Pnx ginseng", "Älo vera", "Aloe vera", "Word", None, ""]
+    write(spark, tmp_path, "documents", list(enumerate(docs)), "doc_id long, text string")
+    known = ["Aloe vera", "Chrysanthemum indicum", "Salvia officinalis L.", "Panax ginseng"]
+    d = write(spark, tmp_path, "benchmark", list(enumerate(known)), "item_id long, text string")
+    make = more_queries.QUERIES["typo_rescue_whole"]
+    assert {tuple(r) for r in make(spark, d).collect()} == {("Aloa vera", "Aloe vera"), ("Chrysanthemun indicum", "Chrysanthemum indicum"), ("Salvla officinalis", "Salvia officinalis")}
+    assert_same(spark, make, more_queries.ORACLE_SQL["typo_rescue_whole"], d)
+
+
+def test_fallback_join_tries_the_whole_name(spark, tmp_path):
+    rows = [(1, "Aloe vera var x", "zz"), (2, "none", "aloe vera VAR x"), (3, "Aloe vera  other", "aloe vera"), (4, "The other one", "zz")]
+    d = write(spark, tmp_path, "documents", rows, "doc_id long, text string, lang string")
+    found = {r["doc_id"]: (r["value"], r["rank"]) for r in kg_queries.QUERIES["name_fallback_join"](spark, d).collect()}
+    assert found == {1: (2, 0), 2: (None, None), 3: (3, 1), 4: (7, 2)}
