@@ -30,14 +30,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that contain an item of the benchmark."""
-    return decontaminate.decontaminate(docs, load(spark, sf_dir, "benchmark"))
+    return decontaminate.without_items(docs, load(spark, sf_dir, "benchmark"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Thins the domains to the target weights: documents of no copy go; others stay once, as repeats would undo the second stage."""
-    mixed = mixing.mix(docs, mixing.label_domains(load(spark, sf_dir, "labels")), TARGET_WEIGHTS)
-    gone = mixed.where("copies = 0 and doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return mixing.thin(docs, mixing.label_domains(load(spark, sf_dir, "labels")), TARGET_WEIGHTS)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -141,6 +141,16 @@ def contained(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The input's rows and columns without documents that contain an item; rows with a null id stay."""
+    """The input's rows and columns without documents that contain an item; rows with a null id stay (`without_items` judges them too)."""
     gone = contained(docs, benchmark, id_col, **kw).select(F.col(f"`{id_col}`").alias("__gone")).distinct()
     return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+
+
+def without_items(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_text_col: str = "text", width: int = 5, threshold: float = 0.8, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The input's rows and columns without documents that contain an item, each judged by its own text: ids, also null ones, of documents and items aren't looked at."""
+    items = bare(benchmark, item_text_col).select(F.lit(0).alias("item"), F.col(f"`{item_text_col}`").alias("text"))
+    found = T.StructType([T.StructField(n, T.LongType()) for n in ("item", "n_shared", "n_item")])
+    for block in _blocks(items, "item", "text", block_chars):
+        shared = docs.sparkSession.sparkContext.broadcast(Index(block, width, threshold))
+        docs = docs.where(F.size(_searcher(shared, found)(F.col(f"`{text_col}`"))) == 0)
+    return docs

@@ -191,6 +191,21 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], id_c
     return rows.select(F.col("id").alias(id_col), "n_tokens", *domains, "rate", (F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("int")).cast("long").alias("copies"))
 
 
+def thin(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", seed: int = 11) -> DataFrame:
+    """The input's rows and columns without those of no copy by `mix`; a null id is made up for by the text's digest, so that such rows are thinned one by one."""
+    model = train(docs, labelled, id_col, text_col, domain_col)
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    digest = F.when(id_.isNull(), F.sha2(F.coalesce(text, F.lit("")), 256))
+    keyed = docs.select(F.struct(id_.alias("id"), digest.alias("digest")).alias("__key"), text)
+    judged = materialise(posteriors(keyed, model, "__key", text_col), "posteriors")
+    rate, _ = fit_rates(judged, model.domains, weights)
+    # hashes pass over nulls: an id's is the same as in mix
+    part = F.pmod(F.xxhash64("id.id", "id.digest", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    rows = judged.withColumn("rate", F.round(rate, 9))
+    gone = rows.where((F.col("rate") < 1) & (part >= F.col("rate"))).select(F.col("id.id").alias("__gone"), F.col("id.digest").alias("__digest")).distinct()
+    return docs.join(gone, id_.eqNullSafe(F.col("__gone")) & digest.eqNullSafe(F.col("__digest")), "left_anti")
+
+
 def label_domains(labels: DataFrame) -> DataFrame:
     """The table `labels` as (doc_id, domain): toxic, else low or clean by quality; rows with a null are left out."""
     rows = bare(labels, "doc_id", "quality", "toxic").where("quality is not null and toxic is not null")
