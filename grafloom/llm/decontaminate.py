@@ -1,10 +1,10 @@
 """Benchmark decontamination: which benchmark items lie, whole or nearly, inside which documents.
 
-Containment search by size partitions and MinHash. Items are partitioned by their number n of
-distinct word shingles. To reach containment t, a document must hold at least ceil(t n) of them,
-so it must hold one of any n - ceil(t n) + 1: the item's sketch is that many of its smallest shingle
-hashes (its bottom-k MinHash, k fixed by the size partition). Documents too small for a partition are
-passed over. A document's shingle hashes are looked up in the sketches, and each hit is verified by
+Containment search by MinHash. Of an item's n distinct word shingles a document must hold at least
+ceil(t n) to reach containment t, so it must hold one of any n - ceil(t n) + 1: the item's sketch is
+that many of its smallest shingle hashes (its bottom-k MinHash, k fixed by n). There are no partitions
+by size: items of one shingle width share a table of sketches, and no document is passed over for its
+size. A document's shingle hashes are looked up in the sketches, and each hit is verified by
 exact containment of shingles as words, so no item is missed and none is reported by chance.
 """
 
@@ -71,7 +71,6 @@ class Index:
             for h in sketch.tolist():
                 by[w][h].append(len(self.items) - 1)
         self.sketches = {w: (np.array(sorted(x), dtype=np.uint64), [x[h] for h in sorted(x)]) for w, x in by.items()}
-        self.least = min((need for _, _, need in self.items), default=0)
 
     def search(self, text: str | None) -> list[tuple[int, int, int]]:
         """(item, shared shingles, the item's shingles) for each item whose containment reaches the threshold."""
