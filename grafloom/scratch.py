@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,16 +13,28 @@ def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir, or in local mode a folder of our own."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="grafloom-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/grafloom/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; what is written there is deleted when the application ends."""
+    path = f"{shared_dir(spark)}/grafloom/{name}-{uuid.uuid4().hex}"
+    store, at = _file_system(spark, path)
+    if not store.exists(at.getParent()):
+        store.mkdirs(at.getParent())
+    store.mkdirs(at)  # only paths that exist can be marked
+    store.deleteOnExit(at)
+    store.delete(at, True)
+    return path
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -29,3 +42,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the table that `materialise` returned as df; nothing may read it any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/grafloom/" not in path:
+            raise ValueError(f"{path} is not an intermediate table")
+        store, at = _file_system(df.sparkSession, path)
+        store.delete(at, True)
