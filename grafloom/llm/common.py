@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grafloom.scratch import materialise, scratch_path, shared_dir
+from grafloom.scratch import discard, materialise, scratch_path, shared_dir
 
-__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "bare", "load", "materialise", "scratch_path", "shared_dir", "words"]
+__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "bare", "discard", "fresh", "load", "materialise", "scratch_path", "shared_dir", "words"]
 
 #: Words everywhere in this subpackage: runs of characters other than space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,3 +30,14 @@ def words(text: Column) -> Column:
 def bare(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that further columns of the input, whatever their names, can't clash."""
     return df.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be none of df's columns."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -9,7 +9,6 @@ URLs at hand; a URL's tokens fetch candidate rules, and only those run their reg
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -33,9 +32,12 @@ class Rule:
 
     @property
     def regex(self) -> str:
-        body = ".*".join(map(re.escape, self.pattern.split("*")))
-        body += "" if "/" in self.pattern else r"(?=/|\Z)"
-        return body if self.pattern.startswith("*") else r"(?:[^/]*\.)?" + body
+        """Each piece between `*` at its first place after the one before: as the end is open, a fit has this one too, so no piece is tried again and time is linear."""
+        first, *others = map(re.escape, self.pattern.split("*"))
+        pieces = [first if self.pattern.startswith("*") else r"(?:[^/]*?\.)??" + first, *(".*?" + x for x in others)]
+        if "/" not in self.pattern:
+            pieces[-1] += r"(?=/|\Z)"
+        return "".join(f"(?>{x})" for x in pieces)
 
     @property
     def tokens(self) -> list[str]:
@@ -60,23 +62,35 @@ def split_url(url: Column) -> tuple[Column, Column]:
 
 class RuleIndex:
     def __init__(self, rules: Iterable[Rule], frequency: dict[str, int]):
-        self.by: dict[str, list] = defaultdict(list)
+        self.by: dict[str, list[Rule]] = {}
+        self.compiled: dict[Rule, re.Pattern] = {}
         for rule in rules:
             token = min(rule.tokens, key=lambda t: (frequency.get(t, 0), t), default="")  # "": every URL's candidate
-            self.by[token].append((len(rule.pattern), rule, re.compile(rule.regex, re.DOTALL)))
+            self.by.setdefault(token, []).append(rule)
+
+    def __getstate__(self) -> dict:
+        return {"by": self.by, "compiled": {}}
+
+    def _fits(self, rule: Rule, key: str) -> bool:
+        """Whether the rule fits; its pattern is compiled when it is first a candidate in this process."""
+        regex = self.compiled.get(rule)
+        if regex is None:
+            regex = self.compiled[rule] = re.compile(rule.regex, re.DOTALL)
+        return regex.match(key) is not None
 
     def longest(self, host: str, path: str) -> Rule | None:
-        """The longest fitting rule; of equally long ones an allowing rule, then the first in order."""
+        """The longest fitting rule; of equally long ones an allowing rule, then the last in order of verdict and pattern."""
         key, best = host + path, None
         for token in {"", *re.split(r"[/.]", key)}:
-            for size, rule, regex in self.by.get(token, ()):
-                if (best is None or self._rank(rule) < self._rank(best)) and regex.match(key):
+            for rule in self.by.get(token, ()):
+                if (best is None or self._rank(rule) > self._rank(best)) and self._fits(rule, key):
                     best = rule
         return best
 
     @staticmethod
     def _rank(rule: Rule) -> tuple:
-        return -len(rule.pattern), rule.verdict, rule.pattern
+        """The order in which `judge` also compares the findings of different blocks."""
+        return len(rule.pattern), rule.verdict == "allow", rule.verdict, rule.pattern
 
 
 def _blocks(rules: Iterable[Rule]) -> list[list[Rule]]:
@@ -90,7 +104,7 @@ def _blocks(rules: Iterable[Rule]) -> list[list[Rule]]:
     return blocks
 
 
-FOUND = T.StructType([T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType()), T.StructField("own", T.StringType())])
+FOUND = T.StructType([T.StructField(n, T.StringType()) for n in ("rule", "verdict", "own_rule", "own_verdict")])
 
 
 def _runner(shared):
@@ -100,7 +114,7 @@ def _runner(shared):
     def run(host: pd.Series, path: pd.Series) -> pd.DataFrame:
         given, own = shared.value
         found = [(given.longest(h, p), own.longest(h, p)) for h, p in zip(host, path, strict=True)]
-        return pd.DataFrame([(a and a.pattern, a.verdict if a else None, b.verdict + " " + b.pattern if b else None) for a, b in found], columns=FOUND.names, dtype=object)
+        return pd.DataFrame([(a and a.pattern, a and a.verdict, b and b.pattern, b and b.verdict) for a, b in found], columns=FOUND.names, dtype=object)
 
     return run
 
@@ -109,8 +123,10 @@ def judge(pages: DataFrame, rules: Iterable[Rule] = RULES, own_rules: Iterable[R
     """One row per input row: the id, `host`, `path`, `rule` (of `rules`, or null) and `verdict`.
 
     A null URL, or one without `://`, has an empty host and path and fits no rule that names a host.
-    URLs that no rule fits get the verdict of the longest of `own_rules` that fits, else `default`. Repeated
-    rows are all returned, an empty table gives no rows, further columns are not looked at.
+    URLs that no rule fits get the verdict of the longest of `own_rules` that fits, else `default`. Of equally
+    long rules an allowing one wins, then the last by verdict and pattern, however the rules are cut into blocks.
+    URLs of any length are judged whole. Repeated rows are all returned, an empty table gives no rows, further
+    columns are not looked at.
     """
     rules, own_rules = list(rules), list(own_rules)
     rows = bare(pages, id_col, url_col).toDF("id", "__url")
@@ -132,5 +148,5 @@ def judge(pages: DataFrame, rules: Iterable[Rule] = RULES, own_rules: Iterable[R
     results = [F.col(f"__{n}") for n in range(len(blocks))]
     rank = lambda p, v: F.when(p.isNotNull(), F.struct(F.length(p).alias("n"), (v == "allow").alias("a"), v.alias("v"), p.alias("p")))
     best = F.greatest(*[rank(r["rule"], r["verdict"]) for r in results], F.lit(None).cast("struct<n:int,a:boolean,v:string,p:string>"))
-    mine = F.greatest(*[rank(F.substring_index(r["own"], " ", -1), F.substring_index(r["own"], " ", 1)) for r in results], F.lit(None).cast("struct<n:int,a:boolean,v:string,p:string>"))
+    mine = F.greatest(*[rank(r["own_rule"], r["own_verdict"]) for r in results], F.lit(None).cast("struct<n:int,a:boolean,v:string,p:string>"))
     return rows.select(F.col("id").alias(id_col), "host", "path", best["p"].alias("rule"), F.coalesce(best["v"], mine["v"], F.lit(default)).alias("verdict"))
