@@ -1,19 +1,19 @@
 """Benchmark decontamination: which benchmark items lie, whole or nearly, inside which documents.
 
-Containment search by MinHash. Of an item's n distinct word shingles a document must hold at least
-ceil(t n) to reach containment t, so it must hold one of any n - ceil(t n) + 1: the item's sketch is
-that many of its smallest shingle hashes (its bottom-k MinHash, k fixed by n). There are no partitions
-by size: items of one shingle width share a table of sketches, and no document is passed over for its
-size. A document's shingle hashes are looked up in the sketches, and each hit is verified by
-exact containment of shingles as words, so no item is missed and none is reported by chance.
+Size-partitioned containment search by MinHash. Of an item's n distinct word shingles a document must
+hold at least ceil(t n) to reach containment t, so it must hold one of any n - ceil(t n) + 1: the item's
+sketch is that many of its smallest shingle hashes (its bottom-k MinHash). Items are partitioned by
+the words of a shingle and by that needed number, in powers of two. A document is looked up only in the
+partitions whose least needed number its own shingles reach: short documents pass over the partitions
+of long items. Each hit is verified by exact containment of shingles as words, so no item is missed and
+none is reported by chance.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -23,13 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grafloom.llm.common import bare
+from grafloom.llm.common import bare, fresh, materialise
 
 #: Runs of letters and digits, compared in lower case.
 TOKEN = re.compile(r"[^\W_]+")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: Characters of items that are searched for at once; a larger benchmark takes more passes over the documents.
-BLOCK_CHARS = 32_000_000
+#: With sketches of five-word items an index takes about 4 bytes a character: 16 MB in the driver and in each worker.
+BLOCK_CHARS = 4_000_000
+#: Items whose shingles a worker keeps for the next verification.
+KEPT_ITEMS = 256
 
 
 def tokens(text: str | None) -> list[str]:
@@ -55,42 +58,73 @@ def hashes(found: list[str], width: int) -> np.ndarray:
     return out ^ (out >> np.uint64(31))
 
 
+def _needed(n: int, threshold: float) -> int:
+    return max(1, ceil(threshold * n - 1e-9))
+
+
+class Partition:
+    """Sketches of the items of one shingle width and one class of needed shingles, as two parallel arrays sorted by hash."""
+
+    def __init__(self, width: int, entries: list[tuple[int, np.ndarray, int]]):
+        self.width, self.least = width, min(need for _, _, need in entries)
+        owner = np.concatenate([np.full(len(sketch), item, dtype=np.int32) for item, sketch, _ in entries])
+        keys = np.concatenate([sketch for _, sketch, _ in entries])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owner = keys[order], owner[order]
+
+    def hits(self, h: np.ndarray) -> np.ndarray:
+        """Items one of whose sketch hashes is among the distinct hashes h."""
+        low, high = np.searchsorted(self.keys, h, "left"), np.searchsorted(self.keys, h, "right")
+        found = np.flatnonzero(high > low)
+        return np.unique(np.concatenate([self.owner[low[i] : high[i]] for i in found])) if len(found) else np.zeros(0, np.int32)
+
+
 class Index:
-    """The sketches of a block of items."""
+    """The partitions of a block of items, and the items' texts for verification."""
 
     def __init__(self, items: list[tuple[int, str]], width: int, threshold: float):
-        self.width, self.items, by = width, [], defaultdict(lambda: defaultdict(list))
+        self.width, self.threshold, self.items, by = width, threshold, [], {}
         for key, text in items:
             found = tokens(text)
             if not (want := shingles(found, width)):
                 continue
-            w = min(width, len(found))
-            need = max(1, ceil(threshold * len(want) - 1e-9))
-            self.items.append((key, want, need))
+            w, need = min(width, len(found)), _needed(len(want), threshold)
             sketch = np.sort(np.array([hashes(list(s), w)[0] for s in want], dtype=np.uint64))[: len(want) - need + 1]
-            for h in sketch.tolist():
-                by[w][h].append(len(self.items) - 1)
-        self.sketches = {w: (np.array(sorted(x), dtype=np.uint64), [x[h] for h in sorted(x)]) for w, x in by.items()}
+            by.setdefault((w, need.bit_length()), []).append((len(self.items), np.unique(sketch), need))
+            self.items.append((key, text))
+        self.partitions = [Partition(w, entries) for (w, _), entries in sorted(by.items())]
+        self.kept: dict[int, set] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"kept": {}}
+
+    def _want(self, item: int) -> set[tuple[str, ...]]:
+        if item not in self.kept:
+            if len(self.kept) >= KEPT_ITEMS:
+                self.kept.clear()
+            self.kept[item] = shingles(tokens(self.items[item][1]), self.width)
+        return self.kept[item]
 
     def search(self, text: str | None) -> list[tuple[int, int, int]]:
         """(item, shared shingles, the item's shingles) for each item whose containment reaches the threshold."""
         found = tokens(text)
-        if not found or not self.items:
+        if not found:
             return []
-        hits: set[int] = set()
-        for w, (sketch, owners) in self.sketches.items():
-            h = hashes(found, w)
-            at = np.minimum(np.searchsorted(sketch, h), len(sketch) - 1)
-            for i in np.unique(at[sketch[at] == h]).tolist():
-                hits.update(owners[i])
-        out, own = [], {}
+        mine, own, out, hits = {}, {}, [], set()
+        for p in self.partitions:
+            if len(found) - p.width + 1 < p.least:
+                continue
+            if p.width not in mine:
+                mine[p.width] = np.unique(hashes(found, p.width))
+            if len(mine[p.width]) >= p.least:
+                hits.update(p.hits(mine[p.width]).tolist())
         for i in sorted(hits):
-            key, want, need = self.items[i]
+            want = self._want(i)
             w = len(next(iter(want)))
             if w not in own:
                 own[w] = {tuple(found[j : j + w]) for j in range(len(found) - w + 1)}
-            if (shared := len(want & own[w])) >= need:
-                out.append((key, shared, len(want)))
+            if (shared := len(want & own[w])) >= _needed(len(want), self.threshold):
+                out.append((self.items[i][0], shared, len(want)))
         return out
 
 
@@ -120,36 +154,50 @@ def _searcher(shared, found: T.StructType):
 def contained(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 5, threshold: float = 0.8, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(id, item, `n_shared`, `n_item`, `containment`) for each document and item at `threshold` or more.
 
-    Items are taken in blocks of about `block_chars` characters, each broadcast and searched for in
-    one pass over the documents, so memory is bounded for any benchmark. Null or wordless documents
+    Items are taken in blocks of about `block_chars` characters, each broadcast and searched for in one
+    pass over the documents; of more than one block the findings are written out before the next is
+    sent, so memory is bounded for any benchmark. Whole texts of any length are searched. Null or wordless documents
     and items match nothing; an item of fewer words than `width` is one shingle; items of an equal id
     and different text count on their own; repeated documents are all returned; a null document id
-    is returned as null. Further columns are not looked at.
+    is returned as null; empty tables give no rows. Further columns are not looked at.
     """
     rows = bare(docs, id_col, text_col).toDF("doc", "text").where("text is not null")
     item_type = bare(benchmark, item_col).schema[0].dataType
     found = T.StructType([T.StructField("item", item_type), T.StructField("n_shared", T.LongType()), T.StructField("n_item", T.LongType())])
-    spark, out = docs.sparkSession, None
-    for block in chain(_blocks(benchmark, item_col, item_text_col, block_chars), [[]]):
-        if not block and out is not None:
-            break
-        shared = spark.sparkContext.broadcast(Index(block, width, threshold))
+    blocks, out = _blocks(benchmark, item_col, item_text_col, block_chars), []
+    block, after = next(blocks, []), None
+    while block is not None:
+        shared = docs.sparkSession.sparkContext.broadcast(Index(block, width, threshold))
         hits = rows.select("doc", F.explode(_searcher(shared, found)("text")).alias("x")).select("doc", "x.*")
-        out = hits if out is None else out.unionByName(hits)
+        after = next(blocks, None)
+        if out or after is not None:
+            hits = materialise(hits, "items")
+            shared.destroy()
+        out.append(hits)
+        block = after
+    out = reduce(DataFrame.unionByName, out)
     return out.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "n_shared", "n_item", F.round(F.col("n_shared") / F.col("n_item"), 6).alias("containment"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The input's rows and columns without documents that contain an item; rows with a null id stay (`without_items` judges them too)."""
-    gone = contained(docs, benchmark, id_col, **kw).select(F.col(f"`{id_col}`").alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    """The input's rows and columns without documents that contain an item, found by `contained` and dropped by id: rows that
+    share a found id go together, rows with a null id stay (`without_items` judges each row by its own text)."""
+    (name,) = fresh(docs, "gone")
+    gone = contained(docs, benchmark, id_col, **kw).select(F.col(f"`{id_col}`").alias(name)).distinct()
+    return docs.join(gone, F.col(f"`{id_col}`") == F.col(name), "left_anti")
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_text_col: str = "text", width: int = 5, threshold: float = 0.8, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The input's rows and columns without documents that contain an item, each judged by its own text: ids, also null ones, of documents and items aren't looked at."""
+    """The input's rows and columns without documents that contain an item, each judged by its own text: ids, also null ones, of documents and items aren't looked at.
+
+    Null, empty and wordless documents stay; repeated rows are judged alike; an empty benchmark drops nothing. Blocks
+    beyond the first two are judged after the rows that are left were written out.
+    """
     items = bare(benchmark, item_text_col).select(F.lit(0).alias("item"), F.col(f"`{item_text_col}`").alias("text"))
     found = T.StructType([T.StructField(n, T.LongType()) for n in ("item", "n_shared", "n_item")])
-    for block in _blocks(items, "item", "text", block_chars):
+    for n, block in enumerate(_blocks(items, "item", "text", block_chars)):
+        if n > 1:
+            docs = materialise(docs, "clean")
         shared = docs.sparkSession.sparkContext.broadcast(Index(block, width, threshold))
         docs = docs.where(F.size(_searcher(shared, found)(F.col(f"`{text_col}`"))) == 0)
     return docs
