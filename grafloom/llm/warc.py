@@ -14,7 +14,7 @@ import hashlib
 import uuid
 from collections.abc import Iterator
 from datetime import datetime, timezone
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyarrow import fs
@@ -36,17 +36,26 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def _name(row_id: str | None, digest: str) -> str:
+    """A record's id: the row's id, whatever its characters, and the payload's digest; that of a null id has another beginning."""
+    return f"<urn:x-row-without-id:{digest}>" if row_id is None else f"<urn:x-row:{quote(row_id, safe='')}:{digest}>"
+
+
+def _row_id(name: str | None) -> str | None:
+    return unquote(name.removeprefix("<urn:x-row:").rpartition(":")[0]) if name and name.startswith("<urn:x-row:") else None
+
+
 def record(source_id: str | None, url: str | None, payload: bytes, refers_to: str | None, date: str) -> bytes:
-    """A `response` record, or a `revisit` of `refers_to`, as one gzip member. The id of a row with a null id has an empty place."""
+    """A `response` record, or a `revisit` of `refers_to`, as one gzip member."""
     digest = base32_sha1(payload)
     head = [f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode(), b"" if refers_to is not None else payload]
     fields = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", f"<urn:x-row:{source_id or ''}:{digest}>"),
+        ("WARC-Record-ID", _name(source_id, digest)),
         ("WARC-Date", date),
         ("WARC-Target-URI", None if url is None else quote(url, safe="!#$%&'()*+,/:;=?@[]~")),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
-        ("WARC-Refers-To", None if refers_to is None else f"<urn:x-row:{refers_to}:{digest}>"),
+        ("WARC-Refers-To", None if refers_to is None else _name(refers_to, digest)),
         ("WARC-Profile", None if refers_to is None else "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
         ("Content-Type", "application/http; msgtype=response"),
         ("Content-Length", str(sum(map(len, head)))),
@@ -68,8 +77,7 @@ def parse(raw: bytes) -> dict:
     digest, revisit = fields["WARC-Payload-Digest"].removeprefix("sha1:"), fields["WARC-Type"] == "revisit"
     if not revisit and (len(payload) != length or base32_sha1(payload) != digest):
         raise ValueError("the payload doesn't match its digest")
-    row_id = lambda k: fields[k][1:-1].removeprefix("urn:x-row:").rpartition(":")[0] if k in fields else ""
-    return {"source_id": row_id("WARC-Record-ID") or None, "record_type": fields["WARC-Type"], "refers_to": row_id("WARC-Refers-To") or None, "payload_digest": digest, "payload_bytes": length, "payload": None if revisit else payload}
+    return {"source_id": _row_id(fields["WARC-Record-ID"]), "record_type": fields["WARC-Type"], "refers_to": _row_id(fields.get("WARC-Refers-To")), "payload_digest": digest, "payload_bytes": length, "payload": None if revisit else payload}
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0) -> DataFrame:
@@ -77,7 +85,8 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
 
     A null html is an empty payload. Of rows with equal payloads of at least `least_bytes` bytes the
     one with the largest id is a response and the others are revisits of it; shorter payloads are all
-    responses. Rows that repeat the largest id are all responses. A null id counts as the smallest; if all ids of a
+    responses. Rows that repeat the largest id are all responses, as no record refers to its own id. Ids may be
+    any text, payloads any length. A null id counts as the smallest; if all ids of a
     payload are null, all are responses. An empty table gives an empty index. Further columns are not looked at.
     """
     rows = bare(pages, id_col, url_col, html_col).toDF("id", "url", "html").select("id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("sha1", F.sha1("html"))
