@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grafloom.llm.common import bare, materialise
+from grafloom.llm.common import bare, discard, fresh, materialise
 
 BITS = 64
 #: Shingles whose bits are counted at once.
@@ -102,8 +102,9 @@ def connected(edges: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
-        e = materialise(small.select("x.u", "x.v").where("u <> v").distinct(), "edges")
-        was, before = state(e), was
+        before, e = (e, was), materialise(small.select("x.u", "x.v").where("u <> v").distinct(), "edges")
+        discard(before[0])
+        was, before = state(e), before[1]
         if was == before:
             break
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -152,22 +153,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4, width: int = 4, seed: int = 42) -> DataFrame:
-    """One row of each class, with all the input's columns: that of the smallest id.
+    """One row of each class, with all the input's columns: that of the smallest id; of equal ids, of the smallest fingerprint.
 
-    Rows that share an id are one document: it goes if any of them is a copy of a smaller id, else its
-    smallest row stays. A class of null ids only keeps one row; null ids in other classes go.
+    Rows are judged by their own text: an id that repeats with texts of different classes may stay more than
+    once, and of rows with an equal id and fingerprint the one that is smallest as JSON stays. Null ids
+    come last. Null or wordless texts have fingerprint zero and are one class; texts are read whole; an empty table gives no rows.
     """
     rows, found = _linked(docs, id_col, text_col, distance, width, seed)
-    gone = rows.where("id is not null").join(found, "fp").where("id > component_id").select(F.col("id").alias("__id")).distinct()
-    key, same = F.col(f"`{id_col}`"), F.col(f"`{id_col}`") == F.col("__id")
-    kept = docs.where(key.isNotNull()).join(gone, same, "left_anti")
-    again = materialise(rows.where("id is not null").groupBy(F.col("id").alias("__id")).count().where("count > 1").select("__id"), "repeated")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    if not again.isEmpty():
-        one = kept.join(again, same, "left_semi").groupBy(key.alias("__id")).agg(F.min(F.struct(*columns)).alias("__row")).select("__row.*")
-        kept = kept.join(again, same, "left_anti").unionByName(one)
-    if not rows.where("id is null").isEmpty():
-        alone = found.where("component_id is null").select(F.col("fp").alias("__fp"), F.col("root").alias("__root"))
-        none = docs.where(key.isNull()).withColumn("__print", _fingerprints(F.col(f"`{text_col}`"), F.lit(width), F.lit(seed))).join(alone, F.col("__print") == F.col("__fp"))
-        kept = kept.unionByName(none.groupBy("__root").agg(F.min(F.struct(*columns)).alias("__row")).select("__row.*"))
-    return kept
+    name_id, name_fp, name_row = fresh(docs, "id", "fp", "row")
+    placed = rows.join(found.select("fp", "root"), "fp")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "fp")
+    stays = materialise(placed.groupBy("root").agg(F.min(order).alias("x")).select(F.col("x.id").alias(name_id), F.col("x.fp").alias(name_fp)), "kept")
+    again = materialise(rows.groupBy("id").count().where("count > 1").select(F.col("id").alias(name_id)), "repeated")
+
+    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    same = key.eqNullSafe(F.col(name_id))
+    if again.isEmpty():
+        return docs.join(stays, same, "left_semi")
+    # ids that occur once need no second look at the text
+    once = docs.join(again, same, "left_anti").join(stays, same, "left_semi")
+    more = docs.join(again, same, "left_semi").withColumn(name_fp, _fingerprints(text, F.lit(width), F.lit(seed)))
+    both = stays.withColumnRenamed(name_fp, name_row)
+    more = more.join(both, same & (F.col(name_fp) == F.col(name_row)), "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = more.groupBy(key.alias(name_id), name_fp).agg(F.min_by(whole, F.to_json(whole)).alias(name_row)).select(f"{name_row}.*")
+    return once.unionByName(one)
