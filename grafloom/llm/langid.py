@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grafloom.llm.common import bare
+from grafloom.llm.common import bare, fresh
 
 LOG_BUCKETS = 15
 ORDERS = (1, 2, 3)
@@ -162,7 +162,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
         return pd.DataFrame([m.predict(t) for t in text], columns=["lang", "score"])
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    return docs.select(*kept, judge(F.col(f"`{text_col}`")).alias("__judged")).select(*kept, F.col("__judged.lang").alias("lang_pred"), F.col("__judged.score").alias("score"))
+    (judged,) = fresh(docs, "judged")
+    return docs.select(*kept, judge(F.col(f"`{text_col}`")).alias(judged)).select(*kept, F.col(judged)["lang"].alias("lang_pred"), F.col(judged)["score"].alias("score"))
 
 
 def held_out(id_col: str = "doc_id"):

@@ -15,22 +15,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grafloom.llm.common import materialise
+from grafloom.llm.common import fresh, materialise
 
 #: Bytes that a row counts besides its text.
 ROW_BYTES = 16
 
 
-def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fills __before and __row, the bytes and rows of the partition up to a row, in the order they come."""
-    total = rows = 0
-    for b in batches:
-        size = b.column("__size").to_numpy(zero_copy_only=False).astype(np.int64)
-        ends = total + np.cumsum(size)
-        arrays = {n: b.column(n) for n in b.schema.names} | {"__before": pa.array(ends - size, pa.int64()), "__row": pa.array(rows + np.arange(len(size)), pa.int64())}
-        yield pa.RecordBatch.from_arrays([arrays[n] for n in b.schema.names], schema=b.schema)
-        if len(size):
-            total, rows = int(ends[-1]), rows + len(size)
+def _running(size: str, before: str, row: str):
+    """A function that fills the columns `before` and `row`, the bytes and rows of the partition up to a row, in the order they come."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = rows = 0
+        for b in batches:
+            sizes = b.column(size).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = total + np.cumsum(sizes)
+            made = {before: pa.array(ends - sizes, pa.int64()), row: pa.array(rows + np.arange(len(sizes)), pa.int64())}
+            yield pa.RecordBatch.from_arrays([made.get(n, b.column(n)) for n in b.schema.names], schema=b.schema)
+            if len(sizes):
+                total, rows = int(ends[-1]), rows + len(sizes)
+
+    return run
 
 
 def assign(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -40,27 +44,29 @@ def assign(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
     (null: of none, 0). Shards hold consecutive ids, null ids first; a shard's bytes differ from an
     equal part by less than the largest row; `slot` counts a shard's rows from 0 in order. Ties of ids
     go by CRC, size and place in the input, so that repeated rows can be cut anywhere. Columns of the
-    input named like the four are replaced. An empty table gives no rows.
+    input named like the four are replaced. Texts may be of any length. An empty table gives no rows.
     """
     made = ("size", "text_crc32", "shard", "slot")
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made]
+    id_, size, crc, place, part, before, row, bytes_, rows_, whole, of, first = fresh(docs, "id", "size", "crc", "place", "part", "before", "row", "bytes", "rows", "whole", "of", "first")
     raw = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{id_col}`").alias("__id"), (F.octet_length(raw) + F.lit(ROW_BYTES)).cast("long").alias("__size"), F.crc32(raw).alias("__crc"), F.monotonically_increasing_id().alias("__place"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{id_col}`").alias(id_), (F.octet_length(raw) + F.lit(ROW_BYTES)).cast("long").alias(size), F.crc32(raw).alias(crc), F.monotonically_increasing_id().alias(place))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(n, "__id", "__crc", "__size", "__place").sortWithinPartitions("__id", "__crc", "__size", "__place").drop("__place", "__id")
-    rows = rows.withColumns({"__part": F.spark_partition_id(), "__before": F.lit(0).cast("long"), "__row": F.lit(0).cast("long")})
-    rows = materialise(rows.mapInArrow(_running, T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema])), "sorted")
+    order = [id_, crc, size, place]
+    rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).drop(place, id_)
+    rows = rows.withColumns({part: F.spark_partition_id(), before: F.lit(0).cast("long"), row: F.lit(0).cast("long")})
+    rows = materialise(rows.mapInArrow(_running(size, before, row), T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema])), "sorted")
 
     # one row a partition, so a broadcast of it is bounded by the partitions
-    order = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = rows.groupBy("__part").agg(F.sum("__size").alias("b"), F.count("*").alias("r"))
-    parts = parts.select("__part", F.coalesce(F.sum("b").over(order), F.lit(0)).alias("__b"), F.coalesce(F.sum("r").over(order), F.lit(0)).alias("__r"), F.sum("b").over(Window.partitionBy()).alias("__all"))
-    middle = (F.col("__b") + F.col("__before")) * 2 + F.col("__size")
-    shard = F.least(F.expr("__middle * cast({0} as decimal(20,0)) div (cast(__all as decimal(20,0)) * 2)".format(n_shards)).cast("int"), F.lit(n_shards - 1))
-    placed = rows.join(F.broadcast(parts), "__part").withColumn("__middle", middle.cast("decimal(20,0)")).withColumn("shard", shard)
-    first = placed.groupBy("shard").agg(F.min(F.col("__r") + F.col("__row")).alias("__first"))  # a row a shard
-    placed = placed.join(F.broadcast(first.withColumnRenamed("shard", "__shard")), F.col("shard") == F.col("__shard"))
-    return placed.select(*[F.col(f"`{c}`") for c in keep], F.col("__size").alias("size"), F.col("__crc").alias("text_crc32"), "shard", (F.col("__r") + F.col("__row") - F.col("__first")).cast("long").alias("slot"))
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(part).agg(F.sum(size).alias("b"), F.count("*").alias("r"))
+    parts = parts.select(part, F.coalesce(F.sum("b").over(earlier), F.lit(0)).alias(bytes_), F.coalesce(F.sum("r").over(earlier), F.lit(0)).alias(rows_), F.sum("b").over(Window.partitionBy()).alias(whole))
+    middle = f"(`{bytes_}` + `{before}`) * 2 + `{size}`"
+    shard = F.least(F.expr(f"cast({middle} as decimal(20,0)) * cast({n_shards} as decimal(20,0)) div (cast(`{whole}` as decimal(20,0)) * 2)").cast("int"), F.lit(n_shards - 1))
+    placed = rows.join(F.broadcast(parts), part).withColumn(of, shard).withColumn(row, F.col(rows_) + F.col(row))
+    begins = placed.groupBy(F.col(of).alias(id_)).agg(F.min(row).alias(first))  # a row a shard
+    placed = placed.join(F.broadcast(begins), F.col(of) == F.col(id_))
+    return placed.select(*[F.col(f"`{c}`") for c in keep], F.col(size).alias("size"), F.col(crc).alias("text_crc32"), F.col(of).alias("shard"), (F.col(row) - F.col(first)).cast("long").alias("slot"))
 
 
 def write_shards(assigned: DataFrame, path: str) -> None:
