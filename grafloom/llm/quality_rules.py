@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grafloom.llm.common import bare
+from grafloom.llm.common import bare, materialise
 from grafloom.llm.text_stats import with_stats
 
 #: Labelled rows that a list is learned from, at most: those of the smallest id hashes.
@@ -127,13 +127,14 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, seed: int = 3, most_rules:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_labelled: int = MOST_LABELLED) -> list[Rule]:
-    """Learns from at most `most_labelled` labelled ids (label 0 is bad); null ids, labels and texts are not learned from."""
+    """Learns from at most `most_labelled` labelled ids that are in `docs` (label 0 is bad); null ids, labels and texts are not learned from. An id of several rows is one example: that of the smallest statistics."""
     y = bare(labels, id_col, label_col).toDF("id", "y").where("id is not null and y is not null").groupBy("id").agg(F.min("y").alias("y"))
-    y = y.orderBy(F.xxhash64("id"), "id").limit(most_labelled)
-    rows = bare(docs, id_col, text_col).toDF("id", "text").where("text is not null").join(F.broadcast(y), "id")
-    found = with_stats(rows, "text").select("id", "y", *[F.expr(e).cast("double").alias(k) for k, e in FEATURES.items()]).collect()
+    rows = bare(docs, id_col, text_col).toDF("id", "text").where("text is not null")
+    y = materialise(y.join(rows.select("id"), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(most_labelled), "labels")
+    stats = with_stats(rows.join(F.broadcast(y), "id"), "text").select("id", "y", F.struct(*[F.expr(e).cast("double").alias(k) for k, e in FEATURES.items()]).alias("x"))
+    found = stats.groupBy("id", "y").agg(F.min("x").alias("x")).collect()
     found.sort(key=lambda r: r["id"])
-    return learn({k: np.array([r[k] for r in found], dtype=float) for k in FEATURES}, np.array([r["y"] == 0 for r in found], dtype=bool)) if found else []
+    return learn({k: np.array([r["x"][k] for r in found], dtype=float) for k in FEATURES}, np.array([r["y"] == 0 for r in found], dtype=bool)) if found else []
 
 
 def first_rule(rules: list[Rule]) -> Column:
@@ -150,7 +151,7 @@ def first_rule(rules: list[Rule]) -> Column:
 def judge(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id, the base statistics, `base_failed`, `rule` (first learned rule that covers it) and `kept`.
 
-    Null or wordless texts have no words and fail the base rules. Repeated rows are judged alike, null ids are
+    Null or wordless texts have no words and fail the base rules; texts of any length are read whole. Repeated rows are judged alike, null ids are
     returned, an empty table gives no rows, further columns are not looked at.
     """
     rows = with_stats(bare(docs, id_col, text_col).toDF("__id", "__text"), "__text").drop("__text")
