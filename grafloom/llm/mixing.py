@@ -1,7 +1,8 @@
 """Mixing to target weights with soft membership.
 
-A labelled table teaches a naive Bayes classifier, made of grouped counts, which gives every document
-posteriors over the domains. Nonnegative rates are then fitted by projected gradients on the squared
+A labelled table teaches a classifier, a multinomial logistic regression on telling words and binned
+statistics, calibrated by a temperature on labelled rows that it wasn't fitted on; its weights become an
+expression that gives every document posteriors over the domains. Nonnegative rates are then fitted by projected gradients on the squared
 relative gaps between expected and wanted domain tokens. Preconditioned by its tokens, a document's
 gradient depends on its posteriors only, so documents are summed by posterior profile first, every
 step is one aggregation over the profiles, and a document's rate is replayed from the steps' few
@@ -10,16 +11,17 @@ coefficients inside its own row: nothing is joined, broadcast or gathered by doc
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
-from dataclasses import dataclass
-from math import exp, log, log1p
+from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grafloom.llm.common import ascii_lower, bare, materialise, words
+from grafloom.llm.common import ascii_lower, bare, fresh, materialise, words
 
-#: Labelled rows that the classifier is fitted on, at most: those of the smallest id hashes.
+#: Labelled documents that the classifier is fitted on, at most: those of the smallest id hashes.
 MOST_LABELLED = 8000
 #: Words with the most information on the domains that it knows, and least documents of each.
 MOST_WORDS, LEAST_DOCS = 256, 8
@@ -27,21 +29,31 @@ MOST_WORDS, LEAST_DOCS = 256, 8
 LEAST_WORTH = 12
 #: A word must be so many times likelier in some domain's documents: common words only tell languages and lengths apart.
 LEAST_LIFT = 3
+#: Every so many-th labelled document is kept from the fit, for the temperature and for `Classifier.reliability`.
+HELD_OUT = 5
+#: Steps of the regression, and its penalty on squared weights.
+FIT_STEPS, PENALTY = 400, 3e-4
 #: Posteriors are multiples of one part in so many.
 GRID = 256
-#: Steps of the fit, at most, and the part of the budget by which expected tokens may miss when it ends.
-MOST_STEPS, GAP = 40, 2e-4
+#: Steps of the rates' fit, at most, and the part of the budget by which expected tokens may miss when it ends.
+MOST_STEPS, GAP = 60, 2e-4
 SYMBOLS = "#*$%&|<>!"
+PUNCTUATION = ".,;:?" + SYMBOLS
+BINS = ("b_symbols", "b_upper", "b_distinct")
 
 
 @dataclass
 class Classifier:
-    """Logarithms: of the domains' probability when no word is there, of a word's odds, of a statistic's bin; lists run over the domains."""
+    """Weights of the domains' scores: of none, of a word that is there, of a statistic's bin; lists run over the domains.
+
+    `reliability` gives, for labelled documents that were not learned from, the mean posteriors by true domain.
+    """
 
     domains: list[str]
     prior: list[float]
     words: dict[str, list[float]]
     bins: dict[str, dict[int, list[float]]]
+    reliability: dict[str, dict[str, float]] = field(default_factory=dict)
 
 
 def _bins() -> dict[str, Column]:
@@ -57,55 +69,80 @@ def _bins() -> dict[str, Column]:
 def _features(df: DataFrame, vocabulary: list[str] | None) -> DataFrame:
     """df(id, text, ...) with n_tokens (words), the binned statistics and __known: its words, or those of the vocabulary."""
     text = F.coalesce("text", F.lit(""))
-    df = df.withColumn("__w", words(ascii_lower(F.translate(text, ".,;:!?", "      "))))
+    df = df.withColumn("__w", words(ascii_lower(F.translate(text, PUNCTUATION, " " * len(PUNCTUATION)))))
     length = F.length(text)
     df = df.withColumns({"n_tokens": F.size("__w").cast("long"), "__n_symbols": length - F.length(F.translate(text, SYMBOLS, "")), "__n_upper": length - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "")), "__d": F.array_distinct("__w")}).drop("__w")
     df = df.withColumns({"__n_distinct": F.size("__d"), "__known": F.col("__d") if vocabulary is None else F.array_intersect("__d", F.array(*map(F.lit, vocabulary)).cast("array<string>"))}).drop("__d")
     return df.withColumns(_bins()).drop("__n_symbols", "__n_upper", "__n_distinct")
 
 
+def softmax(z: np.ndarray) -> np.ndarray:
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def regression(x: np.ndarray, y: np.ndarray, k: int, steps: int = FIT_STEPS, penalty: float = PENALTY) -> np.ndarray:
+    """Weights (features + 1, k) of least penalised cross-entropy by accelerated gradients; the last row, the bias, has no penalty."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    w = ahead = np.zeros((x.shape[1], k))
+    shrink = np.r_[np.full(x.shape[1] - 1, penalty), 0][:, None]
+    rate = 1 / (0.5 * float(np.linalg.norm(x.T @ x / len(x), 2)) + penalty)
+    want = np.eye(k)[y]
+    for n in range(steps):
+        g = x.T @ (softmax(x @ ahead) - want) / len(x) + shrink * ahead
+        w, before = ahead - rate * g, w
+        ahead = w + n / (n + 3) * (w - before)
+    return w
+
+
 def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", most_labelled: int = MOST_LABELLED) -> Classifier:
-    """Fits on rows of `labelled` with a non-null id and domain; an id of two domains counts as the smaller. At most 64 domains."""
+    """Fits on labelled ids that are in `docs`, with a non-null domain; an id of two domains counts as the smaller, an id of several rows as one of them. At most 64 domains."""
     y = bare(labelled, id_col, domain_col).toDF("id", "y").where("id is not null and y is not null").groupBy("id").agg(F.min("y").alias("y"))
-    y = y.orderBy(F.xxhash64("id"), "id").limit(most_labelled)
-    rows = bare(docs, id_col, text_col).toDF("id", "text").join(F.broadcast(y), "id")
-    found = materialise(_features(rows, None).drop("text"), "labelled")
+    rows = bare(docs, id_col, text_col).toDF("id", "text")
+    y = materialise(y.join(rows.select("id"), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(most_labelled), "labels")
+    known = [*BINS, "__known"]
+    found = _features(rows.join(F.broadcast(y), "id"), None).groupBy("id", "y").agg(F.min(F.struct(*known)).alias("x"))
+    found = materialise(found.select("id", "y", "x.*"), "labelled")
     sizes = dict(found.groupBy("y").count().limit(65).collect())
     domains = sorted(sizes)
     if len(domains) > 64:
         raise ValueError("more than 64 domains")
-    total = sum(sizes.values())
-
-    def shares(counts: Mapping[str, int], kinds: int) -> list[float]:
-        return [log((counts.get(d, 0) + 0.5) / (sizes[d] + 0.5 * kinds)) for d in domains]
-
-    bins: dict[str, dict[int, list[float]]] = {}
-    for b in _bins() if domains else ():
-        counts: dict[int, dict[str, int]] = {}
-        for r in found.groupBy(F.col(b).alias("b"), "y").count().collect():
-            counts.setdefault(r["b"], {})[r["y"]] = r["count"]
-        bins[b] = {k: shares(v, len(counts)) for k, v in sorted(counts.items())}
+    if len(domains) < 2:
+        return Classifier(domains, [0.0] * len(domains), {}, {}, {d: {d: 1.0} for d in domains})
 
     # words by how far their share in some domain is from their share in all, in nats a document
+    total = sum(sizes.values())
     per = found.select("y", F.explode("__known").alias("w")).groupBy("w", "y").count()
     n = {d: F.coalesce(F.sum(F.when(F.col("y") == d, F.col("count"))), F.lit(0)) for d in domains}
     worth = F.lit(0.0)
     for i, d in enumerate(domains):
         share = F.col(f"n{i}") / sizes[d]
         worth += F.col(f"n{i}") * F.log((share + 1e-9) / (F.col("n") / total + 1e-9))
-    chosen = []
-    if domains:
-        per = per.groupBy("w").agg(F.sum("count").alias("n"), *[n[d].alias(f"n{i}") for i, d in enumerate(domains)]).where(F.col("n") >= LEAST_DOCS)
-        lift = F.greatest(*[F.col(f"n{i}") / F.col("n") / (sizes[d] / total) for i, d in enumerate(domains)], F.lit(0.0))
-        chosen = per.withColumn("worth", worth).where(lift >= LEAST_LIFT).where(F.col("worth") > LEAST_WORTH).orderBy(F.desc("worth"), "w").limit(MOST_WORDS).collect()
-    # a word that is there counts as its odds, and every word's absence is part of the prior
-    known, prior = {}, [log(sizes[d] / total) for d in domains]
-    for r in chosen:
-        there = shares({d: r[f"n{i}"] for i, d in enumerate(domains)}, 2)
-        gone = [log1p(-exp(x)) for x in there]
-        known[r["w"]] = [a - b for a, b in zip(there, gone, strict=True)]
-        prior = [a + b for a, b in zip(prior, gone, strict=True)]
-    return Classifier(domains, prior, known, bins)
+    per = per.groupBy("w").agg(F.sum("count").alias("n"), *[n[d].alias(f"n{i}") for i, d in enumerate(domains)]).where(F.col("n") >= LEAST_DOCS)
+    lift = F.greatest(*[F.col(f"n{i}") / F.col("n") / (sizes[d] / total) for i, d in enumerate(domains)])
+    chosen = [r["w"] for r in per.withColumn("worth", worth).where(lift >= LEAST_LIFT).where(F.col("worth") > LEAST_WORTH).orderBy(F.desc("worth"), "w").limit(MOST_WORDS).select("w").collect()]
+
+    there = F.array_intersect("__known", F.array(*map(F.lit, chosen)).cast("array<string>")).alias("w")
+    examples = found.select("id", "y", *BINS, there).orderBy(F.xxhash64("id"), "id").collect()  # at most most_labelled
+    places = {("w", w): i for i, w in enumerate(chosen)}
+    for b in BINS:
+        for value in sorted({r[b] for r in examples}):
+            places[b, value] = len(places)
+    x, t = np.zeros((len(examples), len(places))), np.array([domains.index(r["y"]) for r in examples])
+    for i, r in enumerate(examples):
+        x[i, [places["w", w] for w in r["w"]] + [places[b, r[b]] for b in BINS]] = 1
+    held = np.arange(len(t)) % HELD_OUT == HELD_OUT - 1
+    w = regression(x[~held], t[~held], len(domains))
+    z = np.hstack([x, np.ones((len(x), 1))])[held] @ w
+    loss = lambda c: -np.log(np.maximum(softmax(z / c)[np.arange(len(z)), t[held]], 1e-12)).sum()
+    w = w / (float(min(np.geomspace(0.2, 5, 80), key=loss)) if held.any() else 1.0)
+    p = softmax(np.hstack([x, np.ones((len(x), 1))])[held] @ w) if held.any() else np.zeros((0, len(domains)))
+    seen = {d: p[t[held] == i].mean(axis=0) for i, d in enumerate(domains) if (t[held] == i).any()}
+    return Classifier(
+        domains, w[-1].tolist(), {v: w[at].tolist() for (b, v), at in places.items() if b == "w"},
+        {b: {v: w[at].tolist() for (c, v), at in places.items() if c == b} for b in BINS},
+        {d: dict(zip(domains, map(float, m), strict=True)) for d, m in seen.items()},
+    )
 
 
 def _summed(places: str, values: Column) -> Column:
@@ -135,22 +172,30 @@ def posteriors(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_
     return rows.select("id", "n_tokens", F.array(*[run[i + 1] - run[i] for i in k]).cast("array<int>").alias("posterior"))
 
 
-def _rate(steps: list[list[float]], k: int) -> Column:
-    """A row's rate after the steps: from 1, down the gradient and up to 0, again and again."""
+def _rates(steps: list[list[float]], k: int) -> tuple[Column, Column]:
+    """A row's rate after the steps, and the point ahead of it where the next gradient is taken: from 1, down the gradient
+    and up to 0, then on by the step's momentum, again and again. A step is k gradient coefficients and the momentum."""
     if not steps:
-        return F.lit(1.0)
+        return F.lit(1.0), F.lit(1.0)
     path = F.array(*[F.array(*[F.lit(float(c)) for c in s]) for s in steps])
     p = lambda i: F.get(F.col("posterior"), i) / GRID
-    return F.aggregate(path, F.lit(1.0), lambda r, c: F.greatest(F.lit(0.0), r - sum((F.get(c, i) * p(i) for i in range(k)), F.lit(0.0))))
+
+    def step(at: Column, c: Column) -> Column:
+        now = F.greatest(F.lit(0.0), at["ahead"] - sum((F.get(c, i) * p(i) for i in range(k)), F.lit(0.0)))
+        return F.struct(now.alias("rate"), (now + F.get(c, k) * (now - at["rate"])).alias("ahead"))
+
+    end = F.aggregate(path, F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead")), step)
+    return end["rate"], end["ahead"]
 
 
-def fit_rates(judged: DataFrame, domains: list[str], weights: Mapping[str, float], budget: float | None = None) -> tuple[Column, dict[str, float]]:
+def fit_rates(judged: DataFrame, domains: list[str], weights: Mapping[str, float], budget: float | None = None, strict: bool = False) -> tuple[Column, dict[str, float]]:
     """The rate of a row of `judged` (n_tokens, posterior) as an expression, and the domains' expected shares of tokens.
 
     Expected tokens of domain d are to be weights[d] of the budget; weights are scaled to sum to 1. The
     budget is in tokens; if not given, it takes the domain of the largest weight just as it is, so that
     its documents stay and the others are thinned, or repeated where they are scarce. Domains that have
-    no tokens are left out. No tokens at all: rates of 1.
+    no tokens are left out. No tokens at all: rates of 1. The fit, by accelerated projected gradients, ends when the
+    targets are met, or nothing changes any more, or after MOST_STEPS steps; a miss is warned of (`strict`: raises ValueError).
     """
     k = len(domains)
     profiles = materialise(judged.groupBy("posterior").agg(F.sum("n_tokens").alias("t")), "profiles")
@@ -162,48 +207,61 @@ def fit_rates(judged: DataFrame, domains: list[str], weights: Mapping[str, float
     share = [weights.get(d, 0.0) / scale if m > 0 else 0.0 for d, m in zip(domains, held, strict=True)]
     largest = max(range(k), key=lambda i: (share[i], -i))
     budget = budget or held[largest] / share[largest]
-    want, steps, now = [s * budget for s in share], [], held
+    want, steps, now, ahead = [s * budget for s in share], [], held, held
+    gap = lambda a, b: max(abs(x - y) for x, y in zip(a, b, strict=True)) / budget
     # with gaps relative to what a domain holds the Hessian's norm is 1 at most, so steps of length 1 descend
-    for _ in range(MOST_STEPS):
-        if max(abs(a - b) for a, b in zip(now, want, strict=True)) <= GAP * budget:
+    while gap(now, want) > GAP and len(steps) < MOST_STEPS:
+        steps.append([(a - b) / m if m > 0 else 0.0 for a, b, m in zip(ahead, want, held, strict=True)] + [len(steps) / (len(steps) + 3)])
+        at = profiles.withColumns(dict(zip(("r", "y"), _rates(steps, k), strict=True)))
+        sums = [*at.select(*[mass(i, F.col(c)).alias(f"{c}{i}") for c in ("r", "y") for i in range(k)]).first()]
+        before, now, ahead = now, sums[:k], sums[k:]
+        if gap(now, before) <= GAP / 20:  # the least squares are reached, but not zero
             break
-        steps.append([(a - b) / m if m > 0 else 0.0 for a, b, m in zip(now, want, held, strict=True)])
-        before, now = now, [*profiles.withColumn("r", _rate(steps, k)).select(*[mass(i, F.col("r")).alias(str(i)) for i in range(k)]).first()]
-        if max(abs(a - b) for a, b in zip(now, before, strict=True)) <= GAP / 4 * budget:  # targets out of reach end here
-            break
-    return _rate(steps, k), {d: x / max(sum(now), 1e-12) for d, x in zip(domains, now, strict=True)}
+    shares = {d: x / max(sum(now), 1e-12) for d, x in zip(domains, now, strict=True)}
+    if gap(now, want) > GAP:
+        said = f"no rates found that meet the targets; the nearest give shares of {shares}, wanted {dict(zip(domains, share, strict=True))}"
+        if strict:
+            raise ValueError(said)
+        warnings.warn(said, stacklevel=2)
+    return _rates(steps, k)[0], shares
+
 
+def _whole_copies(seed: int, *key: str) -> Column:
+    """The rate's whole part, and one more where the key's hash falls below the rest."""
+    part = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    return (F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("int")).cast("long")
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", budget: float | None = None, seed: int = 11) -> DataFrame:
+
+def mix(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", budget: float | None = None, seed: int = 11, strict: bool = False) -> DataFrame:
     """One row per input row: the id, `n_tokens`, `p_<domain>` for each domain, `rate` and `copies`.
 
     `copies` is the rate's whole part, and one more where the id's hash falls below the rest. Null or
-    wordless texts have no tokens and their domains' prior. Repeated rows are judged alike and null ids
-    are returned; an empty document table gives no rows; without labelled rows every rate is 1. Further columns are
-    not looked at.
+    wordless texts have no tokens and their domains' prior; texts of any length are read whole. Repeated rows are judged
+    alike and null ids are returned; an empty document table gives no rows; without labelled rows every rate is 1. Targets
+    that no rates reach are met as nearly as can be, with a warning that gives the shares, or raise ValueError if
+    `strict`. Further columns are not looked at.
     """
     model = train(docs, labelled, id_col, text_col, domain_col)
     judged = materialise(posteriors(docs, model, id_col, text_col), "posteriors")
-    rate, _ = fit_rates(judged, model.domains, weights, budget)
+    rate, _ = fit_rates(judged, model.domains, weights, budget, strict)
     rows = judged.withColumn("rate", F.round(rate, 9))
-    part = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     domains = [(F.get("posterior", i) / GRID).alias(f"p_{d}") for i, d in enumerate(model.domains)]
-    return rows.select(F.col("id").alias(id_col), "n_tokens", *domains, "rate", (F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("int")).cast("long").alias("copies"))
+    return rows.select(F.col("id").alias(id_col), "n_tokens", *domains, "rate", _whole_copies(seed, "id").alias("copies"))
 
 
 def thin(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", seed: int = 11) -> DataFrame:
-    """The input's rows and columns without those of no copy by `mix`; a null id is made up for by the text's digest, so that such rows are thinned one by one."""
+    """The input's rows and columns without those of no copy by `mix`. Rows are judged by their own text; a null id is made up for by the text's digest, so that such rows are thinned one by one. An empty table gives no rows."""
     model = train(docs, labelled, id_col, text_col, domain_col)
+    key, gone, gone_digest, own = fresh(docs, "key", "gone", "digest", "own")
     id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     digest = F.when(id_.isNull(), F.sha2(F.coalesce(text, F.lit("")), 256))
-    keyed = docs.select(F.struct(id_.alias("id"), digest.alias("digest")).alias("__key"), text)
-    judged = materialise(posteriors(keyed, model, "__key", text_col), "posteriors")
+    keyed = docs.select(F.struct(id_.alias("id"), digest.alias("digest"), F.xxhash64(text).alias("own")).alias(key), text)
+    judged = materialise(posteriors(keyed, model, key, text_col), "posteriors")
     rate, _ = fit_rates(judged, model.domains, weights)
     # hashes pass over nulls: an id's is the same as in mix
-    part = F.pmod(F.xxhash64("id.id", "id.digest", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    rows = judged.withColumn("rate", F.round(rate, 9))
-    gone = rows.where((F.col("rate") < 1) & (part >= F.col("rate"))).select(F.col("id.id").alias("__gone"), F.col("id.digest").alias("__digest")).distinct()
-    return docs.join(gone, id_.eqNullSafe(F.col("__gone")) & digest.eqNullSafe(F.col("__digest")), "left_anti")
+    none = judged.withColumn("rate", F.round(rate, 9)).where(_whole_copies(seed, "id.id", "id.digest") == 0)
+    none = none.select(F.col("id.id").alias(gone), F.col("id.digest").alias(gone_digest), F.col("id.own").alias(own)).distinct()
+    return docs.join(none, id_.eqNullSafe(F.col(gone)) & digest.eqNullSafe(F.col(gone_digest)) & (F.xxhash64(text) == F.col(own)), "left_anti")
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
