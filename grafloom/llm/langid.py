@@ -13,18 +13,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grafloom.llm.common import bare, fresh
+from grafloom.llm.common import bare, fresh, materialise
 
 LOG_BUCKETS = 15
 ORDERS = (1, 2, 3)
 #: Odd multipliers that mix code points into n-gram hashes.
 MIX, SPREAD = 0x9E3779B1, 0x85EBCA6B
-#: Labelled rows of each language that a model is fitted on, about, and the most languages.
-SAMPLE_PER_LANGUAGE, MOST_LANGUAGES = 600, 256
+#: Labelled rows that a model is fitted on: at most of each language, and of all; and the most languages.
+SAMPLE_PER_LANGUAGE, MOST_ROWS, MOST_LANGUAGES = 600, 6000, 256
+#: A labelled row is learned from by at most so many of its most frequent n-grams, so that the sample takes at most
+#: MOST_ROWS * MOST_NGRAMS * 8 bytes (200 MB) in the driver; predictions use all.
+MOST_NGRAMS = 4096
 #: Characters whose n-grams are counted at once.
 CHUNK = 1 << 20
 CANDIDATE = re.compile(r"[^\W\d_]+")
@@ -93,7 +96,7 @@ def fit(examples: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 4, alp
     at = {x: i for i, x in enumerate(languages)}
     order = np.random.default_rng(seed).permutation(len(examples))
     kept, train = order[::5], [i for j, i in enumerate(order) if j % 5]
-    vectors = {i: (at[examples[i][0]], examples[i][1], model.vector(*examples[i][1:])) for i in order}
+    vectors = {i: (at[examples[i][0]], examples[i][1], model.vector(*examples[i][1:]).astype(np.float32)) for i in order}
     z, n = np.zeros((size + 1, k)), np.zeros((size + 1, k))  # the last row is the bias
 
     def solved(rows) -> np.ndarray:
@@ -122,29 +125,37 @@ def fit(examples: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 4, alp
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        found = [ngram_counts(t) for t in b["text"]]
-        yield pd.DataFrame({"lang": b["lang"], "buckets": [x.astype(np.int32) for x, _ in found], "counts": [x for _, x in found]})
+        found = []
+        for t in b["text"]:
+            buckets, counts = ngram_counts(t)
+            most = np.sort(np.lexsort((buckets, -counts))[:MOST_NGRAMS])
+            found.append((buckets[most].astype(np.int32), np.minimum(counts[most], np.iinfo(np.int32).max).astype(np.int32)))
+        yield pd.DataFrame({"lang": b["lang"], "buckets": [x for x, _ in found], "counts": [x for _, x in found]})
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES) -> Model:
-    """A model of the rows' non-null languages, from about `per_language` rows of each, chosen by the id's hash.
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES, most_rows: int = MOST_ROWS) -> Model:
+    """A model of the rows' non-null languages, from at most `per_language` rows of each and `most_rows` in all, chosen by a hash of id and text.
 
-    Rows with a null or letterless text, language or id are not learned from. More than
-    `most_languages` different languages raise ValueError.
+    Rows with a null or letterless text, language or id are not learned from; rows of an equal id, language and text
+    are one. More than `most_languages` different languages raise ValueError.
     """
     rows = bare(docs, id_col, text_col, lang_col).toDF("id", "text", "lang").where("id is not null and text is not null and lang is not null").where(F.col("text").rlike(r"\p{L}"))
-    sizes = rows.groupBy("lang").count().limit(most_languages + 1).collect()
+    rows = rows.withColumn("h", F.xxhash64(F.col("id").cast("string"), "text", F.lit("langid")))
+    # counted in bounded memory; the estimate only sets the chance by which rows enter the sample
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).limit(most_languages + 1).collect()
     if len(sizes) > most_languages:
         raise ValueError(f"more than {most_languages} languages")
     if not sizes:
         return fit([])
-    # of 2^30 equally likely hashes those below the language's share
-    bound = {r["lang"]: min(1 << 30, ((1 << 30) * per_language) // r["count"]) for r in sizes}
+    per_language = max(1, min(per_language, most_rows // len(sizes)))
+    # of 2^30 equally likely hashes those below the language's share, a third more than wanted
+    bound = {r["lang"]: min(1 << 30, ((1 << 30) * per_language * 4) // (3 * max(1, r["n"])) + 1) for r in sizes}
     share = F.map_from_arrays(F.array(*map(F.lit, bound)), F.array(*[F.lit(x) for x in bound.values()]))
-    chosen = rows.where(F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("langid")), F.lit(1 << 30)) < share[F.col("lang")])
-    found = chosen.select(F.col("id").cast("string").alias("id"), "lang", "text").select("lang", "text")
-    found = found.mapInPandas(_counted, "lang string, buckets array<int>, counts array<long>").collect()
-    examples = sorted(((r["lang"], np.array(r["buckets"], dtype=np.int64), np.array(r["counts"], dtype=np.int64)) for r in found), key=lambda e: (e[0], len(e[1]), e[1].tolist(), e[2].tolist()))
+    chosen = rows.where(F.pmod("h", F.lit(1 << 30)) < share[F.col("lang")]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h"))
+    chosen = materialise(chosen.withColumn("n", rank).where(F.col("n") <= per_language).select("lang", "h", "text"), "languages")
+    found = chosen.select("lang", "text").mapInPandas(_counted, "lang string, buckets array<int>, counts array<int>").collect()
+    examples = sorted(((r["lang"], np.array(r["buckets"], dtype=np.int32), np.array(r["counts"], dtype=np.int32)) for r in found), key=lambda e: (e[0], len(e[1]), e[1].tolist(), e[2].tolist()))
     return fit(examples)
 
 
@@ -152,7 +163,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     """The input's rows and columns with `lang_pred` and `score` (0 to 1, calibrated) at the end.
 
     Null or letterless text, or a model of no language, gives `und` and 0. Columns of the input with those two names
-    are replaced. Repeated rows are judged alike; an empty table gives no rows.
+    are replaced. Texts of any length are read whole. Repeated rows are judged alike; an empty table gives no rows.
     """
     broadcast = docs.sparkSession.sparkContext.broadcast(model)  # at most 2^15 buckets by MOST_LANGUAGES weights
 
