@@ -91,3 +91,15 @@ def test_empty_and_deduplicate(spark):
     df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, root string")
     assert sorted((str(r["doc_id"]), r["text"], r["root"]) for r in simhash.deduplicate(df).collect()) == [("1", "a b c d e", "clash"), ("3", "z y x w v u", "clash"), ("4", "unlike all the others here", "clash"), ("None", "q r s t u v w", "clash")]
     assert simhash.deduplicate(empty).collect() == []
+
+
+def test_deduplicate_judges_rows_by_their_text(spark):
+    """An id that repeats with different texts stays with each; clashing names and map columns pass."""
+    a, b, c = "one two three four five six", "red green blue black white grey", "north south east west up down"
+    rows = [(1, a), (2, b), (2, a), (3, c), (3, b), (4, c), (5, "x"), (5, "x"), (None, None), (None, ""), (None, "y z")]
+    df = spark.createDataFrame([(i, t, 1, 2, {"k": "v"}) for i, t in rows], "doc_id long, text string, id int, __id int, fp map<string,string>")
+    got = simhash.deduplicate(df)
+    assert got.columns == df.columns
+    found = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert sorted(found, key=str) == sorted([(1, a), (2, b), (3, c), (5, "x"), (None, ""), (None, "y z")], key=str) or sorted(found, key=str) == sorted([(1, a), (2, b), (3, c), (5, "x"), (None, None), (None, "y z")], key=str)
+    assert len(found) == 6

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from grafloom.llm import decontaminate, langid, queries, sharding, token_count, url_filter, warc
@@ -45,6 +46,19 @@ def test_url_blocks_agree(spark, monkeypatch):
     assert sorted(url_filter.judge(df).collect(), key=str) == whole
 
 
+def test_url_ties_and_long_urls(spark, monkeypatch):
+    """Equally long rules, own rules with spaces and very long URLs are judged alike in one block and in many."""
+    rules = [url_filter.Rule(v, p) for v, p in (("block", "a.com/x"), ("block", "com/xyz"), ("allow", "b.com/x"), ("block", "com/xzz"))]
+    own = [url_filter.Rule("block", "*/a b"), url_filter.Rule("allow", "*/a  b/c"), url_filter.Rule("allow", "*/d e"), url_filter.Rule("block", "*/*e")]
+    urls = ["http://a.com/xyz", "http://b.com/xzz", "http://h/a b", "http://h/a  b/c", "http://h/d e", "http://a.com/x" + "y/." * 300_000, "http://h/" + "q" * 1_000_000 + "/a b", ""]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    run = lambda: {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge(df, rules, own).collect()}
+    whole = run()
+    assert whole == {0: ("com/xyz", "block"), 1: ("b.com/x", "allow"), 2: (None, "block"), 3: (None, "allow"), 4: (None, "allow"), 5: ("com/xyz" if urls[5].startswith("http://a.com/xyz") else "a.com/x", "block"), 6: (None, "block"), 7: (None, "allow")}
+    monkeypatch.setattr(url_filter, "BLOCK_CHARS", 1)
+    assert run() == whole
+
+
 def test_host_only_rule_ends_at_the_host():
     index = url_filter.RuleIndex([url_filter.Rule("block", "example.com"), url_filter.Rule("allow", "a*z/q")], {})
     assert index.longest("example.com", "/x") and index.longest("www.example.com", "") and not index.longest("example.community", "/")
@@ -98,6 +112,36 @@ def brute_contained(docs, items):
     return out
 
 
+def test_clashing_names(spark):
+    """Columns of the input, whatever their names, are kept and clash with none that an operator adds for itself."""
+    names = ["id", "__id", "_id", "size", "__size", "crc", "__crc", "gone", "__gone", "judged", "__judged", "of", "part", "row"]
+    df = spark.createDataFrame([(i, f"text {i}", *range(len(names))) for i in range(5)], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    got = sharding.assign(df, 2)
+    assert {c: got.first()[c] for c in names if c != "size"} == {c: i for i, c in enumerate(names) if c != "size"} and got.count() == 5
+    items = spark.createDataFrame([(1, "text 3")], "item_id long, text string")
+    assert sorted(r["doc_id"] for r in decontaminate.decontaminate(df, items).select(*df.columns).collect()) == [0, 1, 2, 4]
+    assert langid.identify(df, langid.fit([])).select(*df.columns, "lang_pred", "score").count() == 5
+
+
+def test_size_partitions():
+    """Documents pass over partitions whose items need more shingles than they have; the sketches of all items are there."""
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(n))) for i, n in enumerate((1, 4, 5, 8, 12, 30, 100, 104, 1000))]
+    index = decontaminate.Index(items, 5, 0.8)
+    assert [(p.width, p.least) for p in index.partitions] == [(1, 1), (4, 1), (5, 1), (5, 4), (5, 21), (5, 77), (5, 797)]
+    assert all(len(p.keys) == len(p.owner) and (np.diff(p.keys.astype(object)) >= 0).all() for p in index.partitions)
+    looked = []
+    for p in index.partitions:
+        p.hits = lambda h, p=p, f=p.hits: (looked.append((p.width, p.least)), f(h))[1]
+    assert index.search("a b c " + items[3][1]) == [(3, 4, 4)] and looked == [(1, 1), (4, 1), (5, 1), (5, 4)]
+    assert [index.search(t)[0][:2] for i, t in items] == [(i, max(1, len(t.split()) - 4)) for i, t in items]
+
+
+def test_long_document_holds_items():
+    long = " ".join(f"v{i * 7919 % 100003}" for i in range(400_000))
+    index = decontaminate.Index([(1, " ".join(long.split()[399_000:399_050])), (2, "v1 v2 not there at all")], 5, 0.8)
+    assert index.search(long) == [(1, 46, 46)]
+
+
 @pytest.mark.parametrize("block", [10**9, 50])
 def test_decontamination(spark, block):
     r = random.Random(5)
@@ -139,6 +183,10 @@ def test_warc_round_trip(spark, tmp_path):
         revisit = keep is not None and i != keep
         want.append((str(i), str(u), len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "revisit" if revisit else "response", str(keep) if revisit else None, None if revisit else data))
     assert sorted(((str(r["source_id"]), str(r["url"]), r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"], r["payload"] and bytes(r["payload"]) if r["payload"] is None or r["payload"] else b"") for r in got), key=str) == sorted(want, key=str)
+    odd = ["", " ", "a\r\nWARC-Type: revisit", "x:y:z", "ü/%25", None, None]
+    texts = spark.createDataFrame([(i, "u", "same" if n % 2 else "long " * 200_000) for n, i in enumerate(odd)], "page_id string, url string, html string")
+    named = sorted(((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.round_trip(texts).collect()), key=str)
+    assert named == sorted([("", "revisit", "ü/%25", 1_000_000), (" ", "revisit", "x:y:z", 4), ("a\r\nWARC-Type: revisit", "revisit", "ü/%25", 1_000_000), ("x:y:z", "response", None, 4), ("ü/%25", "response", None, 1_000_000), (None, "revisit", "x:y:z", 4), (None, "revisit", "ü/%25", 1_000_000)], key=str)
     one = warc.read(index.where("url = 'v'")).collect()
     assert [bytes(r["payload"]) for r in one] == [b"q\r\n\r\nWARC/1.1\r\n"]
     assert {r["refers_to"] for r in warc.round_trip(df).collect()} <= {None, 3, *range(30, 51)}
@@ -184,3 +232,16 @@ def test_token_counts(spark, tmp_path):
     other = token_count.tokenizer_path("byte_bpe_50k.json")
     assert token_count.token_counts(df, other, cache).where("n_tokens > 0").count() > 0
     assert token_count.token_counts(df.limit(0), path, cache).collect() == []
+
+
+def test_token_counts_when_places_change(spark, tmp_path):
+    """A scan whose rows come in another order each time has other texts at the places; they are fetched by digest."""
+    import sentencepiece
+    from pyspark.sql import functions as F
+
+    path, cache = token_count.tokenizer_path(), f"file://{tmp_path}/cache"
+    texts = [f"text {i} " * (i % 9 + 1) for i in range(300)] + ["the same text"] * 300
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7).orderBy(F.rand())
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in token_count.token_counts(df, path, cache).collect()) == [(i, len(sp.encode(t))) for i, t in enumerate(texts)]
+    assert spark.read.parquet(cache).count() == len(set(texts))
