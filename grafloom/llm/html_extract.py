@@ -4,6 +4,7 @@ A page is cut into leaf blocks of text. Each becomes a vector of its hashed tag
 ids), its hashed words and a few shape figures; a bidirectional LSTM, in numpy, reads a page's blocks in
 order and labels each as main text or not, knowing what stands before and after. The model is trained
 here, on pages made up from templates with known labels; no text of the corpus is learned from.
+Pages of many blocks are read in windows that carry the networks' states, so memory doesn't grow with the vectors.
 """
 
 from __future__ import annotations
@@ -24,8 +25,10 @@ from grafloom.llm.common import bare
 
 PATH_DIM, WORD_DIM, SHAPE_DIM, HIDDEN = 192, 32, 6, 16
 INPUT_DIM = PATH_DIM + WORD_DIM + SHAPE_DIM
-#: Pages whose blocks are labelled together.
-GROUP = 256
+#: Pages that are cut into blocks together: at most so many, and of at most so many characters unless one is longer.
+GROUP, GROUP_CHARS = 256, 4_000_000
+#: Blocks, with padding, whose vectors are held at once (about 1 KB each, and as much again for the states).
+WINDOW = 16_384
 
 #: HTML's void elements; those whose content is raw text, and of these what is never text of the page.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -36,27 +39,27 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 #: Start tags that end an open element of the first kind, as its end tag may be left out.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+[^>]*+)>|<[!?][^>]*+>", re.DOTALL)
+MARKUP = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+[^>]*+)>|<[!?][^>]*+>", re.DOTALL)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
 NAME = re.compile(r"[a-z]+")
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     path: tuple[str, ...]
     text: str = ""
     linked: int = 0
-    bits: list[str] = field(default_factory=list)
+    bits: list[str] | None = field(default_factory=list)
 
     def finish(self) -> bool:
-        self.text = " ".join("".join(self.bits).split())
-        self.bits = []
+        self.text = " ".join("".join(self.bits or ()).split())
+        self.bits = None
         return bool(self.text)
 
 
 def blocks(page: str | None) -> list[Block]:
     """The page's leaf blocks in order: references decoded, white space within turned into one space, none empty."""
-    page, out, stack, now, at, links, hidden = page or "", [], [], None, 0, 0, 0
+    page, out, stack, now, at, links, hidden, paths = page or "", [], [], None, 0, 0, 0, {}
 
     def say(raw: str) -> None:
         nonlocal now
@@ -65,7 +68,8 @@ def blocks(page: str | None) -> list[Block]:
         if now is None:
             if raw.isspace():
                 return
-            now = Block(tuple(x for _, names in stack for x in names))
+            path = tuple(x for _, names in stack for x in names)
+            now = Block(paths.setdefault(path, path))
         text = html.unescape(raw) if "&" in raw else raw
         now.bits.append(text)
         if links:
@@ -151,15 +155,16 @@ def _path_rows(path: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
     return rows, np.minimum(total[rows], 2)
 
 
-def vectors(found: list[Block]) -> np.ndarray:
-    x = np.zeros((len(found), INPUT_DIM), dtype=np.float32)
+def vectors(found: list[Block], first: int = 0, total: int | None = None) -> np.ndarray:
+    """A row for each block; they are a page's blocks from the `first`, of `total`."""
+    x, total = np.zeros((len(found), INPUT_DIM), dtype=np.float32), len(found) if total is None else total
     for i, b in enumerate(found):
         rows, value = _path_rows(b.path)
         x[i, rows] = value
-        w = b.text.encode().split(b" ")
+        w, at = b.text.encode(errors="replace").split(b" "), first + i
         counts = np.bincount([crc32(y) % WORD_DIM for y in w], minlength=WORD_DIM)
         x[i, PATH_DIM : PATH_DIM + WORD_DIM] = counts / len(w)
-        x[i, PATH_DIM + WORD_DIM :] = (np.log1p(len(w)) / 4, min(1.0, b.linked / len(b.text)), b.text[-1] in ".!?…", i / len(found), 1 / (1 + i), 1 / (len(found) - i))
+        x[i, PATH_DIM + WORD_DIM :] = (np.log1p(len(w)) / 4, min(1.0, b.linked / len(b.text)), b.text[-1] in ".!?…", at / total, 1 / (1 + at), 1 / (total - at))
     return x
 
 
@@ -174,10 +179,12 @@ class Direction:
         h = HIDDEN
         self.p = {"x": rng.normal(0, 0.1, (INPUT_DIM, 4 * h)).astype(np.float32), "h": rng.normal(0, 0.2, (h, 4 * h)).astype(np.float32), "b": np.r_[np.ones(h), np.zeros(3 * h)].astype(np.float32)}
 
-    def run(self, x: np.ndarray, mask: np.ndarray, keep: bool = False):
+    def run(self, x: np.ndarray, mask: np.ndarray, keep: bool = False, state: tuple | None = None):
+        """The state after each step, what `back` needs, and the last state, from which another run may go on."""
         steps, n, h = x.shape[0], x.shape[1], HIDDEN
         z_all = (x.reshape(-1, INPUT_DIM) @ self.p["x"] + self.p["b"]).reshape(steps, n, 4 * h)
-        s, c, out, past = np.zeros((n, h), np.float32), np.zeros((n, h), np.float32), np.zeros((steps, n, h), np.float32), []
+        out, past = np.zeros((steps, n, h), np.float32), []
+        s, c = state or (np.zeros((n, h), np.float32), np.zeros((n, h), np.float32))
         for t in range(steps):
             z = z_all[t] + s @ self.p["h"]
             f, i, o, g = _sigmoid(z[:, :h]), _sigmoid(z[:, h : 2 * h]), _sigmoid(z[:, 2 * h : 3 * h]), np.tanh(z[:, 3 * h :])
@@ -188,7 +195,7 @@ class Direction:
                 past.append((s, c, f, i, o, g, tc, m))
             s, c = np.where(m, o * tc, s), np.where(m, c2, c)
             out[t] = s
-        return out, past
+        return out, past, (s, c)
 
     def back(self, x: np.ndarray, past: list, d_out: np.ndarray) -> dict[str, np.ndarray]:
         steps, n, h = x.shape[0], x.shape[1], HIDDEN
@@ -227,25 +234,42 @@ class Labeller:
             x[: len(p), i] = p
         mask = np.arange(len(x))[:, None] < lengths
         turned = self._turned(x, lengths)
-        a, past_a = self.ways[0].run(x, mask, keep)
-        b, past_b = self.ways[1].run(turned, mask, keep)
+        a, past_a, _ = self.ways[0].run(x, mask, keep)
+        b, past_b, _ = self.ways[1].run(turned, mask, keep)
         states = np.concatenate([a, self._turned(b, lengths)], axis=2)
         return _sigmoid(states @ self.w + self.b[0]), (x, turned, mask, lengths, states, past_a, past_b)
 
-    def label(self, pages: list[np.ndarray]) -> list[np.ndarray]:
-        """For each page's vectors, its blocks' probabilities; pages of like length are run together."""
+    def label(self, pages: list[list[Block]]) -> list[np.ndarray]:
+        """For each page's blocks, their probabilities; pages of like length are run together, long ones in windows."""
         out: list[np.ndarray] = [np.zeros(0)] * len(pages)
         order = sorted((i for i, p in enumerate(pages) if len(p)), key=lambda i: len(pages[i]))
         at = 0
         while at < len(order):
-            n = max(1, min(GROUP, 60_000 // len(pages[order[min(at + GROUP, len(order)) - 1]])))
-            group = order[at : at + n]
-            p, _ = self.forward([pages[i] for i in group])
-            for j, i in enumerate(group):
+            if len(pages[order[at]]) > WINDOW:
+                out[order[at]] = self._in_windows(pages[order[at]])
+                at += 1
+                continue
+            end = at + 1
+            while end < min(at + GROUP, len(order)) and len(pages[order[end]]) * (end + 1 - at) <= WINDOW:
+                end += 1
+            p, _ = self.forward([vectors(pages[i]) for i in order[at:end]])
+            for j, i in enumerate(order[at:end]):
                 out[i] = p[: len(pages[i]), j]
-            at += n
+            at = end
         return out
 
+    def _in_windows(self, found: list[Block]) -> np.ndarray:
+        """The same for one page, reading it forwards and then backwards a window at a time."""
+        n, score = len(found), np.full(len(found), self.b[0], np.float32)
+        starts = range(0, n, WINDOW)
+        for way, w, order in zip(self.ways, (self.w[:HIDDEN], self.w[HIDDEN:]), (starts, reversed(starts)), strict=True):
+            state, turn = None, 1 if way is self.ways[0] else -1
+            for a in order:
+                x = vectors(found[a : a + WINDOW], a, n)[::turn, None]
+                states, _, state = way.run(x, np.ones(x.shape[:2], bool), state=state)
+                score[a : a + WINDOW] += (states[:, 0] @ w)[::turn]
+        return _sigmoid(score)
+
     def fit(self, pages: list[tuple[np.ndarray, np.ndarray]], epochs: int, rate: float = 0.01, batch: int = 32, seed: int = 9) -> None:
         rng, step = np.random.default_rng(seed), 0
         params = [*(d.p[k] for d in self.ways for k in ("x", "h", "b")), self.w, self.b]
@@ -265,11 +289,12 @@ class Labeller:
                 grads = [*(g[k] for g in (grads_a, grads_b) for k in ("x", "h", "b")), np.einsum("tn,tnk->k", d, states), d.sum(keepdims=True).reshape(1)]
                 norm = max(1.0, float(np.sqrt(sum((g * g).sum() for g in grads))))
                 step += 1
+                now = rate * (1.05 - step / (epochs * -(-len(pages) // batch)))  # down to a twentieth
                 for q, g, a, b in zip(params, grads, m, v, strict=True):
                     g = g / norm
                     a += 0.1 * (g - a)
                     b += 0.01 * (g * g - b)
-                    q -= rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
+                    q -= now * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
 
 
 class Maker:
@@ -285,8 +310,21 @@ class Maker:
         letters = "etaoinshrdluéüßcmfñwypvbgk"
         n = int(self.rng.integers(low, high + 1))
         w = ["".join(letters[int(min(25, abs(self.rng.normal(0, 9))))] for _ in range(int(self.rng.integers(2, 10)))) for _ in range(n)]
-        marks = self.one("", "", "", " &amp;&amp;&amp;", "%%%", " |")
-        return (marks + " ").join(w).capitalize() + end
+        if self.rng.random() < 0.3:  # stray signs after words, as in broken texts
+            signs = ["".join(self.one(*"%$#*!|/+=~&@^") for _ in range(int(self.rng.integers(1, 4)))).replace("&", "&amp;") for _ in range(3)]
+            w = [x + self.one(" ", "") + self.one(*signs) for x in w]
+        text = " ".join(w) if self.rng.random() < 0.1 else " ".join(w).capitalize()
+        return (text.upper().replace("&AMP;", "&amp;") if self.rng.random() < 0.05 else text) + end
+
+    def inline(self, text: str) -> str:
+        """The text with inline tags and line breaks, some of them not closed."""
+        w = text.split(" ")
+        for _ in range(int(self.rng.integers(0, 3))):
+            at, tag = int(self.rng.integers(0, len(w))), self.one("b", "i", "em", "strong", "span", "code", *(["a href=/x"] if len(w) > 4 else []))
+            w[at] = f"<{tag}>{w[at]}" + self.one(f"</{tag.split()[0]}>", f"</{tag.split()[0]}>", "</a>" if tag[0] == "a" else "")
+            if self.rng.random() < 0.3:
+                w.insert(int(self.rng.integers(0, len(w) + 1)), "<br>")
+        return " ".join(w)
 
     def links(self, n: int, tag: str = "li") -> str:
         return "".join(f'<{tag}><a href="/{i}">{self.words(1, 2)}</a></{tag}>' for i in range(n))
@@ -306,13 +344,17 @@ class Maker:
             lambda: f"<div{self.attr('cookie', 'cookies', 'consent', 'notice', 'gdpr', 'alert', 'popup', 'modal')}><p>{self.words(5, 40, '.')}</p></div>",
             lambda: f"<form{self.one('', self.attr('search', 'newsletter', 'subscribe', 'login'))}><p>{self.words(2, 15)}</p><label>{self.words(1, 2)}</label><input></form>",
             lambda: f"<div{self.attr('newsletter', 'subscribe', 'signup', 'share', 'social', 'tags')}><p>{self.words(2, 20, '.')}</p></div>",
+            lambda: f"<ul{self.one('', self.attr('links', 'nav', 'menu'))}>{self.links(n + 1)}</ul>",
+            lambda: f"<p{self.one('', self.attr('links', 'nav', 'pager'))}>{' | '.join(f'<a href=/{i}>{self.words(1, 2)}</a>' for i in range(n + 1))}</p>",
         )()
 
     def comments(self) -> str:
         n, tag = int(self.rng.integers(1, 5)), self.one("div", "section", "ol")
         item = "li" if tag == "ol" else "div"
         said = "".join(f"<{item}{self.attr('comment', 'reply', 'response')}>{self.one('', f'<b>{self.words(1, 2)}</b>')}<p>{self.words(3, 50, '.')}</p></{item}>" for _ in range(n))
-        return f"<{tag}{self.attr('comments', 'discussion', 'responses', 'comment-list', 'disqus')}>{self.one('', f'<h2>{self.words(1, 3)}</h2>')}{said}</{tag}>"
+        title = self.one("", *(f"<{h}>{self.words(1, 4)}</{h}>" for h in ("h2", "h3", "h4")))
+        ask = f"<form><p>{self.words(3, 12, '.')}</p><textarea></textarea></form>"
+        return f"<{tag}{self.attr('comments', 'discussion', 'responses', 'comment-list', 'respond', 'reply', 'disqus')}>{title}{self.one(said, said, said + ask, ask)}</{tag}>"
 
     def body(self) -> str:
         """Parts of an article, each main text, marked by <!--=--> before it."""
@@ -322,8 +364,8 @@ class Maker:
             kind = self.rng.random()
             if kind < 0.08:
                 out.append(f"<h2><!--=-->{self.words(1, 8)}</h2>")
-            elif kind < 0.14:
-                out.append("<ul>" + "".join(f"<li><!--=-->{self.words(1, 15, '.')}</li>" for _ in range(3)) + "</ul>")
+            elif kind < 0.15:
+                out.append("<ul>" + "".join(f"<li><!--=-->{self.words(1, self.one(4, 15), self.one('', '.'))}</li>" for _ in range(int(self.rng.integers(2, 7)))) + "</ul>")
             elif kind < 0.18:
                 out.append(f"<blockquote>{self.one('<p>', '')}<!--=-->{text}</blockquote>")
             elif kind < 0.22:
@@ -332,15 +374,20 @@ class Maker:
                 out.append(f"<pre><!--=-->{text}</pre>")
             elif kind < 0.28:
                 out.append(f"<figure><figcaption><!--=-->{text}</figcaption></figure>")
-            elif kind < 0.34:
-                out.append(f"<div><!--=-->{text}</div>")
-            elif kind < 0.44:
-                out.append(f"<p><b><!--=-->{text}<br>")
+            elif kind < 0.33:
+                out.append(f"<div{self.one('', '', self.attr('text', 'para', 'row', 'block'))}><!--=-->{self.inline(text)}</div>")
+            elif kind < 0.37:
+                end = self.one("", "</dt>"), self.one("", "</dd>")
+                out.append("<dl>" + "".join(f"<dt><!--=-->{self.words(1, 3)}{end[0]}<dd><!--=-->{self.inline(self.words(1, 20, '.'))}{end[1]}" for _ in range(int(self.rng.integers(1, 5)))) + "</dl>")
+            elif kind < 0.41:
+                out.append("<ol>" + "".join(f"<li><!--=-->{self.inline(self.words(1, 20, self.one('', '.')))}" for _ in range(int(self.rng.integers(2, 7)))) + "</ol>")
+            elif kind < 0.46:
+                out.append(f"<p><!--=-->{self.inline(text)}")
             elif kind < 0.5:
                 out.append(f'<p><!--=-->{text} <a href="/x">{self.words(1, 3)}</a> {self.words(1, 9, ".")}</p>')
             else:
-                out.append(f"<p><!--=-->{text}</p>")
-            if self.rng.random() < 0.04:
+                out.append(f"<p{self.one('', '', '', self.attr('lead', 'intro', 'text'))}><!--=-->{self.inline(text)}</p>")
+            if self.rng.random() < 0.08:
                 out.append(self.aside())
         return "".join(out)
 
@@ -348,8 +395,15 @@ class Maker:
         maybe = lambda p, f: f() if self.rng.random() < p else ""
         head = f"<!DOCTYPE html><html><head><meta charset=utf-8><title>{self.words(1, 8)}</title><style>p{{}}</style><script>var t='</p>';</script></head><body>"
         title = f"<h1><!--=-->{self.words(1, 12)}</h1>"
-        wrap = self.one(("<article>", "</article>"), ("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"), (f"<div{self.attr('content', 'post', 'entry', 'article', 'story', 'main', 'article-body', 'post-content')}>", "</div>"), (f"<article{self.attr('post', 'story', 'entry')}>", "</article>"), (f"<section{self.attr('content', 'article', 'story')}>", "</section>"))
+        odd = "".join(self.one(*"abcdefhkmprstxyz") for _ in range(5))
+        wrap = self.one(("<article>", "</article>"), ("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"), (f"<div{self.attr('content', 'post', 'entry', 'article', 'story', 'main', 'article-body', 'post-content')}>", "</div>"), (f"<article{self.attr('post', 'story', 'entry')}>", "</article>"), (f"<section{self.attr('content', 'article', 'story')}>", "</section>"), self.one((f"<div class={odd}><div>", "</div></div>"), (f"<div id=page><div class={odd}>", "</div></div>")))
         inner = maybe(0.95, lambda: title) + self.body() + maybe(0.12, self.comments)
+        if self.rng.random() < 0.1:  # paragraphs in the body and little else
+            return head + maybe(0.3, self.aside) + maybe(0.8, lambda: title) + self.body() + maybe(0.3, lambda: "<hr>" + self.aside()) + maybe(0.2, lambda: f"<footer>&copy; {self.words(1, 6, '.')}</footer>") + self.one("</body></html>", "")
+        if self.rng.random() < 0.1:  # columns made with a table
+            column = lambda: f"<td{self.one('', ' width=150', self.attr('left', 'menu', 'nav', 'side', 'column'))}>{self.one(lambda: f'<ul>{self.links(int(self.rng.integers(2, 8)))}</ul>', lambda: '<br>'.join(f'<a href=/{i}>{self.words(1, 2)}</a>' for i in range(int(self.rng.integers(2, 8)))), self.aside)()}</td>"
+            wide = self.one("", " colspan=2", " colspan=3")
+            wrap = (f"<table{self.one('', ' border=0', ' width=100%')}>{maybe(0.5, lambda: f'<tr><td{wide}>{self.one(self.words(1, 4), f"<a href=/>{self.words(1, 2)}</a>")}</td></tr>')}<tr>{maybe(0.8, column)}<td>", f"</td>{maybe(0.4, column)}</tr></table>")
         top = maybe(0.3, lambda: f"<header{self.one('', self.attr('header', 'masthead', 'site-header'))}><p>{self.words(1, 6)}</p>{self.one('', f'<ul>{self.links(3)}</ul>')}</header>")
         foot = self.one(lambda: f"<footer>&copy; {self.words(1, 3)} &middot; {self.words(2, 16, '.')}</footer>", lambda: f"<footer><p>{self.words(1, 12, '.')}</p><ul>{self.links(3)}</ul></footer>", lambda: f"<div{self.attr('footer', 'copyright', 'legal')}>&copy; {self.words(1, 14, '.')}</div>")()
         parts = [head, top, *(self.aside() for _ in range(int(self.rng.integers(0, 4)))), wrap[0], inner, wrap[1], maybe(0.25, self.comments), *(self.aside() for _ in range(int(self.rng.integers(0, 3)))), maybe(0.9, lambda: foot), self.one("</body></html>", "</body></html>", "")]
@@ -365,7 +419,7 @@ class Maker:
 
 
 @lru_cache(maxsize=2)
-def trained(seed: int = 5, pages: int = 900, epochs: int = 6) -> Labeller:
+def trained(seed: int = 5, pages: int = 2400, epochs: int = 7) -> Labeller:
     """The labeller after training on so many made-up pages; the same each time."""
     maker, model = Maker(seed), Labeller(seed)
     model.fit([(vectors(b), y) for b, y in (maker.example() for _ in range(pages)) if b], epochs)
@@ -373,25 +427,35 @@ def trained(seed: int = 5, pages: int = 900, epochs: int = 6) -> Labeller:
 
 
 def main_texts(pages: list[str | None], model: Labeller) -> list[str]:
-    found = [blocks(p) for p in pages]
-    chosen = model.label([vectors(b) for b in found])
-    return ["\n\n".join(x.text for x, p in zip(b, y, strict=True) if p > 0.5) for b, y in zip(found, chosen, strict=True)]
+    out, group, size = [], [], 0
+
+    def finish() -> None:
+        found = [blocks(p) for p in group]
+        chosen = model.label(found)
+        out.extend("\n\n".join(x.text for x, p in zip(b, y, strict=True) if p > 0.5) for b, y in zip(found, chosen, strict=True))
+        group.clear()
+
+    for page in pages:
+        if group and (len(group) == GROUP or size + len(page or "") > GROUP_CHARS):
+            finish()
+            size = 0
+        group.append(page)
+        size += len(page or "")
+    finish()
+    return out
 
 
 def extract(pages: DataFrame, model: Labeller | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: the id, the URL, `text` (blocks of main text, joined by an empty line) and `n_chars`.
 
-    Null, empty or textless html gives an empty text. Repeated rows are extracted alike, null ids and URLs are
+    Null, empty or textless html gives an empty text; pages of any length are read whole. Repeated rows are extracted alike, null ids and URLs are
     returned, an empty table gives no rows, further columns are not looked at.
     """
     shared = pages.sparkSession.sparkContext.broadcast(model or trained())  # weights of fixed size
 
     @F.pandas_udf(T.StringType())
     def run(page: pd.Series) -> pd.Series:
-        out: list[str] = []
-        for at in range(0, len(page), GROUP):
-            out += main_texts([*page.iloc[at : at + GROUP]], shared.value)
-        return pd.Series(out, dtype=object)
+        return pd.Series(main_texts([*page], shared.value), dtype=object)
 
     rows = bare(pages, id_col, url_col, html_col).toDF("id", "url", "html").select("id", "url", run("html").alias("text"))
     return rows.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))

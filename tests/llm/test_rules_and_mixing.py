@@ -104,7 +104,7 @@ def test_blocks():
 def test_labeller_on_made_up_pages():
     model, maker = html_extract.trained(), html_extract.Maker(77)
     made = [maker.example() for _ in range(150)]
-    right = sum(int((model.label([html_extract.vectors(b)])[0] > 0.5).tolist() == (y > 0.5).tolist()) for b, y in made)
+    right = sum(int((model.label([b])[0] > 0.5).tolist() == (y > 0.5).tolist()) for b, y in made)
     assert right >= 0.95 * len(made)
 
 
