@@ -7,46 +7,129 @@ from pyspark.sql import functions as F
 
 from grafloom.functions import terms
 
-# Words that begin sentences or name places and groups, and so aren't genera; words that aren't epithets.
-NOT_GENERA = ("The", "This", "These", "That", "Those", "There", "Here", "Our", "Their", "Its", "In", "On", "At", "From", "For", "With", "Both", "Each", "All", "Some", "Such", "However", "Although", "Results", "Methods", "Background", "Conclusion", "Objective", "Study", "Patients", "Commonly", "Also", "Locally", "Extracts", "Compounds", "Chinese", "Indian", "Traditional", "Asian", "African", "American", "European")
-NOT_EPITHETS = ("and", "the", "was", "were", "has", "had", "have", "with", "from", "for", "that", "this", "are", "not", "study", "extract", "extracts", "plant", "plants", "species", "medicine", "activity", "effects", "effect", "using", "known", "called", "used", "compounds", "treatment")
-# Words that show an article is about plants.
-PLANT_WORDS = ("plant", "plants", "herb", "herbs", "herbal", "phytotherapy", "phytochemical", "phytochemicals", "extract", "leaf", "leaves", "root", "roots", "bark", "seed", "seeds", "flower", "flowers", "medicinal", "botanical", "ethnobotanical", "ethnopharmacology")
-# Endings of names of natural products, and words that share them.
-COMPOUND = r"\b([A-Za-z][a-z]{3,}(?:ine|oside|olide|one|ol|in|ene|ane|oid|ate|idin|etin|enol))\b"
-NOT_COMPOUNDS = ("protein", "proteins", "medicine", "control", "alone", "examine", "determine", "evaluate", "evaluated", "indicate", "demonstrate", "investigate", "within", "contain", "origin", "certain", "again", "obtain", "remain", "skin", "brain", "chain", "gene", "bone", "none", "protocol", "line", "combine", "baseline", "routine", "isolate", "moderate", "separate", "climate", "private", "appropriate", "intermediate", "candidate", "mediate", "activate", "fluid", "avoid", "main")
+# MeSH headings, in lower case, and words that show an article is about plants.
+PLANT_HEADINGS = ("plants", "plants, medicinal", "plant extracts", "phytotherapy", "pharmacognosy", "ethnopharmacology", "herbalism", "herbal medicine")
+PLANT_WORDS = r"plant|leaf|leaves|root|rhizome|seed|fruit|bark|flower|herb|herbal|botanical|phytochem\w*|polyphenol\w*|essential oil\w*|extract\w*|infusion|decoction"
+# Endings of Latin epithets, and words that begin sentences or name other things, and so aren't genera.
+EPITHET_ENDINGS = (
+    "us|a|um|is|ae|ii|i|ensis|ense|ica|icus|icum|iana|ianus|ianum|atum|atus|folia|folium|officinalis|sativa|indica|japonica|chinensis|vulgaris|"
+    "arvensis|montana|alba|nigra|rubra|lutea|glabra|cordata|lanceolata"
+)
+NOT_GENERA = tuple(
+    """The This That These Those A An In On Of For With Without Although While Because Since If No Yes Multiple Spontaneous Randomized Double Open
+    Prospective Retrospective Comparative Efficacy Effects Effect Intervention Feeding Findings Study Trial Cohort Participants Patients Children
+    Adults Women Men Case Report Review Meta Analysis Method Methods Materials Results Discussion Conclusion Conclusions Retinal Ganglion Cells
+    Cell Brain Salamander Mouse Mice Rat Rats Human Humans Clinical Subthreshold Threshold Neural Neuron Cortex Protein Enzyme Chromatography
+    Extraction""".split()
+)
+# A binomial with an optional rank below the species, and the forms in which ranks are written.
+BINOMIAL = r"\b([A-Z][a-z]+)(?:\s*[×x]\s*)?\s([a-z\-]{3,})(?:\s+(?:subsp\.|ssp\.|var\.|f\.|forma)\s+([a-z\-]{3,}))?\b"
+RANKS = ((r"var\.", "var."), (r"subsp\.|ssp\.", "subsp."), (r" f\. | forma ", "f."))
+# Names of compounds that are looked for, words that only look like compounds, and the shapes of compounds' names.
+COMPOUND_NAMES = (
+    "curcumin", "demethoxycurcumin", "bisdemethoxycurcumin", "eugenol", "rosmarinic acid", "caffeic acid", "allicin", "quercetin", "kaempferol",
+    "luteolin", "beta-sitosterol", "withaferin A", "berberine", "epigallocatechin gallate", "EGCG", "rutin", "gallic acid", "ellagic acid",
+    "apigenin", "naringenin", "hesperidin", "saponin", "alkaloid", "flavonoid", "terpenoid",
+)
+NOT_COMPOUNDS = ("protein", "chain", "certain", "margin", "origin", "skin", "insulin", "stain", "basin", "main", "grain", "begin", "kin", "within", "asin", "login", "admin")
+ACID = r"\b([a-z][a-z\-]{3,})\s+acid\b"
+COMPOUND_SHAPES = (
+    r"\b[a-z0-9\-]+(?:glucoside|rhamnoside|rutinoside|arabinoside)\b",
+    r"\b[a-z0-9\-]+-o-[a-z0-9\-]+(?:glucoside|rhamnoside|rutinoside)\b",
+    r"\b[a-z][a-z0-9\-]{5,}(?:ic|ol|one|ine|ose|etin|enin)\b",
+)
+
+
+def _strings(c: Column) -> Column:
+    return F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda x: x.isNotNull())
 
 
 def plant_context(title: Column, abstract: Column, mesh: Column) -> Column:
-    """Whether an article is about plants by its words or a MeSH heading."""
-    text = F.lower(F.concat_ws(" ", title, abstract))
-    words = F.array_distinct(F.regexp_extract_all(text, F.lit(r"[a-z]+"), F.lit(0)))
-    return F.arrays_overlap(words, F.array(*map(F.lit, PLANT_WORDS))) | F.exists(F.coalesce(mesh, F.array().cast("array<string>")), lambda m: F.lower(m).rlike(r"\bplants?\b|phytotherapy|herbal"))
+    """Whether an article is about plants by a MeSH heading or a whole word of its title or abstract."""
+    text = F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(abstract, F.lit("")))
+    return F.exists(_strings(mesh), lambda m: F.lower(m).isin(*PLANT_HEADINGS)) | text.rlike(rf"(?iuU)\b({PLANT_WORDS})\b")
+
+
+def _latin(epithet: Column) -> Column:
+    return epithet.rlike(rf"({EPITHET_ENDINGS})$")
 
 
 def botanical_names(text: Column, mesh: Column | None = None) -> Column:
-    """Distinct 'Genus epithet' candidates in order, then MeSH headings of that form."""
-    pairs = F.regexp_extract_all(text, F.lit(r"\b([A-Z][a-z]{2,} [a-z]{3,}(?:-[a-z]+)?)\b"), F.lit(1))
+    """Distinct binomials whose epithet has a Latin ending, with a variety, subspecies or form, and MeSH headings of that shape; sorted."""
+    groups = [F.regexp_extract_all(text, F.lit(BINOMIAL), F.lit(i)) for i in range(4)]
+    found = F.filter(F.arrays_zip(*[g.alias(f"g{i}") for i, g in enumerate(groups)]), lambda m: ~m["g1"].isin(*NOT_GENERA) & _latin(m["g2"]))
+
+    def whole(m: Column) -> Column:
+        rank = F.lit("")
+        for rx, written in reversed(RANKS):
+            rank = F.when(m["g0"].rlike(rx), F.concat(F.lit(f" {written} "), m["g3"])).otherwise(rank)
+        return F.concat_ws(" ", m["g1"], F.concat(m["g2"], F.when(m["g3"] == "", "").otherwise(rank)))
+
+    names = F.transform(found, whole)
     if mesh is not None:
-        pairs = F.concat(pairs, F.filter(F.coalesce(mesh, F.array().cast("array<string>")), lambda m: m.rlike(r"^[A-Z][a-z]+ [a-z]+$")))
-    good = lambda p: ~F.split(p, " ")[0].isin(*NOT_GENERA) & ~F.get(F.split(p, " "), F.lit(1)).isin(*NOT_EPITHETS)
-    return F.array_distinct(F.filter(pairs, good))
+        parts = F.transform(_strings(mesh), lambda m: F.split(terms.squeeze(m), " "))
+        parts = F.filter(parts, lambda w: (F.size(w) >= 2) & F.get(w, F.lit(0)).rlike(r"^\p{Lu}") & _latin(F.get(w, F.lit(1))) & ~F.get(w, F.lit(0)).isin(*NOT_GENERA))
+        names = F.concat(names, F.transform(parts, lambda w: F.concat_ws(" ", F.get(w, F.lit(0)), F.get(w, F.lit(1)))))
+    return F.array_sort(F.array_distinct(names))
+
+
+def validated_names(articles: DataFrame, checked: DataFrame) -> DataFrame:
+    """Articles (pmid, title, abstract, mesh) with `species`: the sorted accepted names of their candidates, by a look-up table (name, kingdom, canonical).
+
+    A candidate counts if its kingdom is Plantae; a look-up without an accepted name keeps the candidate's own.
+    """
+    text = F.concat_ws(" ", "title", "abstract")
+    names = articles.select("pmid", F.explode(botanical_names(text, F.col("mesh"))).alias("name"))
+    good = checked.where("kingdom = 'Plantae'").groupBy("name").agg(F.min(terms.strip(F.replace(F.col("canonical"), F.lit("  "), F.lit(" ")))).alias("canonical"))
+    found = names.join(good, "name").groupBy("pmid").agg(F.array_sort(F.collect_set(F.coalesce(F.nullif("canonical", F.lit("")), "name"))).alias("species"))
+    return articles.join(found, "pmid", "left").withColumn("species", F.coalesce("species", F.array().cast("array<string>")))
+
+
+# Indications and the words that show them.
+INDICATIONS = {
+    "analgesic": "analgesic|pain|painkiller|antinociceptive",
+    "anti-inflammatory": "anti-inflammatory|antiinflammatory|inflammation|antiinflamm",
+    "antimicrobial": "antimicrobial|antibacterial|antifungal|antiviral|antiparasitic|antimalarial|anthelmintic",
+    "antidiabetic": "antidiabetic|diabetes|hypoglycemic|hypoglycaemic",
+    "antihypertensive": "antihypertensive|hypertension|blood pressure",
+    "gastroprotective": "gastroprotective|ulcer|gastric|stomach ache|antidiarrheal|diarrhea|diarrhoea|constipation",
+    "hepatoprotective": "hepatoprotective|liver|hepatitis",
+    "neuroprotective": "neuroprotective|memory|neurodegenerative|anxiolytic|antidepressant|sedative",
+    "wound healing": "wound|cicatrizing|cicatrisation|burns|cuts",
+    "respiratory": "cough|cold|asthma|bronchitis",
+    "antioxidant": "antioxidant|oxidative stress",
+    "anticancer": "anticancer|antitumor|antitumour|chemopreventive",
+    "antipyretic": "antipyretic|fever",
+    "diuretic": "diuretic",
+    "antiulcer": "antiulcer|ulcer",
+    "antidiarrheal": "antidiarrheal|diarrhea|diarrhoea",
+    "anti-obesity": "anti-obesity|antiobesity|obesity|weight loss",
+    "antispasmodic": "antispasmodic|spasm|colic",
+    "antimalarial": "antimalarial|malaria",
+}
+# Phrases that announce a traditional use.
+USE_PHRASES = r"(?i)(?:traditionall?y used(?: in [^,;.]+)? to\s+[^.;:]+|used in (?:folk|traditional) medicine(?: to)?\s+[^.;:]+|in ayurveda|in (?:traditional )?chinese medicine|in tcm|ethnomedicin[a-z]*|ethnopharmacolog[a-z]*)"
 
 
 def traditional_uses(text: Column, most: int = 5, length: int = 120) -> Column:
-    """Up to `most` phrases after 'used for', 'used to treat' and the like, each of at most `length` characters."""
-    rx = r"(?i)(?:traditionally used|used traditionally|has been used|have been used|is used|are used|used in folk medicine|used in traditional medicine)\s+(?:in|for|to|as|against)\s+([^.;]+)"
-    parts = F.transform(F.regexp_extract_all(text, F.lit(rx), F.lit(1)), lambda x: F.substring(terms.squeeze(x), 1, length))
-    return F.slice(F.array_distinct(F.filter(parts, lambda x: x != "")), 1, most)
+    """Up to `most` entries, sorted: phrases that announce a use, each of at most `length` characters, and one list of the indications that the text names."""
+    phrases = F.transform(F.regexp_extract_all(text, F.lit(USE_PHRASES), F.lit(0)), lambda x: F.substring(terms.squeeze(x), 1, length))
+    low = F.lower(text)
+    labels = F.array_compact(F.array(*[F.when(low.rlike(rx), F.lit(label)) for label, rx in sorted(INDICATIONS.items())]))
+    listed = F.when(F.size(labels) > 0, F.array(F.array_join(labels, "; "))).otherwise(F.array().cast("array<string>"))
+    return F.slice(F.array_sort(F.array_distinct(F.concat(phrases, listed))), 1, most)
 
 
 def compounds(text: Column, chemicals: Column | None = None) -> Column:
-    """Distinct lower-case names of natural products: registered ones first, then words with their endings."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(COMPOUND), F.lit(1)), F.lower)
-    found = F.array_except(found, F.array(*map(F.lit, NOT_COMPOUNDS)))
+    """Distinct names of compounds, sorted: those of the list, acids, glycosides and words with their endings, and registered substances."""
+    low, none = F.lower(text), F.array().cast("array<string>")
+    listed = F.array_compact(F.array(*[F.when(low.rlike(rf"\b\Q{n.lower()}\E\b"), F.lit(n)) for n in COMPOUND_NAMES]))
+    acids = F.filter(F.regexp_extract_all(low, F.lit(ACID), F.lit(1)), lambda x: ~x.isin(*NOT_COMPOUNDS))
+    words = F.flatten(F.array(*[F.regexp_extract_all(low, F.lit(rx), F.lit(0)) for rx in COMPOUND_SHAPES]))
+    found = F.concat(listed, F.transform(acids, lambda x: F.concat(x, F.lit(" acid"))), F.filter(words, lambda x: ~x.isin(*NOT_COMPOUNDS)))
     if chemicals is not None:
-        found = F.concat(F.transform(F.coalesce(chemicals, F.array().cast("array<string>")), lambda x: F.lower(terms.strip(x))), found)
-    return F.array_distinct(found)
+        found = F.concat(found, F.filter(F.transform(F.coalesce(chemicals, none), lambda x: F.lower(terms.strip(x))), lambda x: x != ""))
+    return F.array_sort(F.array_distinct(found))
 
 
 # Letters and endings that hint at a language of a vernacular name.
@@ -77,7 +160,7 @@ def pick_name(properties: Column, label: Column, aliases: Column, scientific: Co
 
 def mine(articles: DataFrame) -> DataFrame:
     """Article rows to (pmid, doi, year, journal, title, plant, compound, uses): one a plant and compound, of articles about plants."""
-    text = F.concat_ws(". ", "title", "abstract")
+    text = F.concat_ws(" ", "title", "abstract")
     rows = articles.where(plant_context(F.col("title"), F.col("abstract"), F.col("mesh")))
     rows = rows.select("pmid", "doi", "year", "journal", "title", botanical_names(text, F.col("mesh")).alias("plants"), compounds(text, F.col("chemicals")).alias("compounds"), F.array_join(traditional_uses(text), " | ").alias("uses"))
     rows = rows.select("*", F.explode("plants").alias("plant")).select("*", F.explode_outer("compounds").alias("compound"))
@@ -86,6 +169,6 @@ def mine(articles: DataFrame) -> DataFrame:
 
 def funnel(articles: DataFrame) -> DataFrame:
     """One row of counts: articles, those about plants, with plants, with compounds, with uses."""
-    text = F.concat_ws(". ", "title", "abstract")
+    text = F.concat_ws(" ", "title", "abstract")
     about = plant_context(F.col("title"), F.col("abstract"), F.col("mesh"))
     return articles.agg(F.count("*").alias("articles"), F.count_if(about).alias("about_plants"), F.count_if(about & (F.size(botanical_names(text, F.col("mesh"))) > 0)).alias("with_plants"), F.count_if(about & (F.size(compounds(text, F.col("chemicals"))) > 0)).alias("with_compounds"), F.count_if(about & (F.size(traditional_uses(text)) > 0)).alias("with_uses"))

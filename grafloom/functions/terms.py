@@ -15,7 +15,10 @@ NA_PROFILES = {
 }
 # Standard atomic masses of the elements that formulas use.
 ATOMIC_MASS = {
-    "H": 1.008, "B": 10.81, "C": 12.011, "N": 14.007, "O": 15.999, "F": 18.998, "Na": 22.990, "Mg": 24.305, "Al": 26.982, "Si": 28.085, "P": 30.974, "S": 32.06, "Cl": 35.45, "K": 39.098, "Ca": 40.078, "Mn": 54.938, "Fe": 55.845, "Co": 58.933, "Ni": 58.693, "Cu": 63.546, "Zn": 65.38, "As": 74.922, "Se": 78.971, "Br": 79.904, "I": 126.904,
+    "C": 12.011, "H": 1.008, "N": 14.007, "O": 15.999, "S": 32.06, "P": 30.974, "Cl": 35.45, "Br": 79.904, "F": 18.998, "I": 126.904, "Na": 22.99,
+    "K": 39.098, "Si": 28.085, "B": 10.81, "Se": 78.971, "Mg": 24.305, "Ca": 40.078, "Fe": 55.845, "Zn": 65.38, "Cu": 63.546, "Co": 58.933,
+    "As": 74.922, "Hg": 200.59, "Al": 26.982, "Li": 6.94, "Mn": 54.938, "Sn": 118.71, "Pt": 195.08, "Ge": 72.63, "Te": 127.6, "Bi": 208.98,
+    "Ba": 137.33, "Sr": 87.62,
 }
 
 INCHIKEY = r"^[A-Z]{14}-[A-Z]{10}-[A-Z]$"
@@ -271,11 +274,11 @@ def djb2_shard(c: Column) -> Column:
 
 
 def formula_mass(c: Column) -> Column:
-    """Mass of a formula such as C2H6O; null if an element is unknown."""
+    """Mass of a formula such as C2H6O; null if it isn't made of elements and counts only, or an element is unknown."""
     parts = F.regexp_extract_all(c, F.lit(r"[A-Z][a-z]?\d*"), F.lit(0))
     masses = F.create_map(*[F.lit(x) for kv in ATOMIC_MASS.items() for x in kv])
-    one = lambda x: F.try_element_at(masses, F.regexp_extract(x, r"^[A-Z][a-z]?", 0)) * F.coalesce(F.regexp_extract(x, r"(\d*)$", 1).try_cast("int"), F.lit(1))
-    return F.aggregate(parts, F.lit(0.0), lambda a, x: a + one(x))
+    one = lambda x: F.try_element_at(masses, F.regexp_extract(x, r"^[A-Z][a-z]?", 0)) * F.coalesce(F.regexp_extract(x, r"(\d*)$", 1).try_cast("double"), F.lit(1.0))
+    return F.when(c.rlike(r"^([A-Z][a-z]?\d*)+\z"), F.aggregate(parts, F.lit(0.0), lambda a, x: a + one(x)))
 
 
 def valid_pmid(c: Column, least: int = 5_000_000) -> Column:

@@ -124,3 +124,16 @@ def class_counts(types: DataFrame, classes: DataFrame) -> DataFrame:
     """(class, n) of distinct instances for every declared class, unused ones too."""
     n = types.groupBy("class").agg(F.countDistinct("s").alias("n"))
     return classes.select("class").distinct().join(n, "class", "left").select("class", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def release_report(t: DataFrame, expected: DataFrame, axioms: DataFrame, types: DataFrame, groups: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(item, n): the triples, and for each check of a release what it found; all but the first are 0 if the release is good."""
+    whole = lambda name, df, n=F.count("*"): df.agg(F.lit(name).alias("item"), F.coalesce(n, F.lit(0)).cast("long").alias("n"))
+    wrong = release_check(t, expected).where("not ok")
+    out = whole("triples", t)
+    for part in (
+        whole("expected missing", wrong.where("present")), whole("forbidden present", wrong.where("not present")),
+        whole("domain or range", domain_range_violations(t, axioms, types, groups), F.sum("n")), whole("datatype", datatype_mismatches(t, ranges), F.sum("n")), whole("invalid IRI", invalid_iris(t), F.sum("n")),
+    ):
+        out = out.unionByName(part)
+    return out

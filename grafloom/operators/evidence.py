@@ -144,29 +144,48 @@ def decide(*cases: tuple[str, Column], otherwise: str) -> Column:
     return out
 
 
-# Words that show a name isn't a plant's, by kind; parts of plants that head a drug's name.
+# Markers anywhere in a name; words for parts of plants that head a drug's name; words for animals, for strains; and the reasons given.
 NON_PLANT_MARKERS = ("unknown", "unclassified", "unidentified", "fungus", "fungal", "fungi", "yeast", "mushroom")
-PART_NAMES = ("herba", "radix", "rhizoma", "semen", "fructus", "flos", "folium", "cortex", "lignum", "caulis", "ramulus", "pericarpium", "bulbus", "tuber", "oleum", "resina")
-ANIMAL_WORDS = ("fish", "shark", "sponge", "snail", "slug", "urchin", "jellyfish", "anemone", "octopus", "squid", "mussel", "oyster", "clam", "crab", "shrimp", "lobster", "starfish", "propolis", "venom")
-STRAIN_WORDS = ("strain", "isolate", "bacterium", "bacteria", "unidentified", "unclassified")
+PART_NAMES = tuple(
+    """herba herbae radix radices radicis rhizoma rhizomata rhizomatis semen semina seminis fructus flos flores floris folium folia folii cortex
+    corticis lignum caulis ramulus ramuli ramus cacumen pericarpium stamen stigma bulbus tuber spica oleum resina gummi thallus stipes arillus
+    pollen receptaculum sclerotium succus exocarpium endocarpium mesocarpium plumula calyx vinum gemma pericarpii concha""".split()
+)
+ANIMAL_WORDS = tuple(
+    """fish shark scallop mollusk mollusc sponge snail slug urchin jellyfish anemone tunicate ascidian bryozoan octopus squid mussel oyster clam
+    crab shrimp lobster starfish whelk abalone propolis venom gorgonian nudibranch lanternshark mackerel mahi cuttlefish barnacle tunicates""".split()
+)
+STRAIN_WORDS = tuple(
+    """recombinant engineered strain mutant overexpressed overexpressing transformant transgenic nrrl atcc endophytic endophyte knockout plasmid
+    clone isolate unknown unclassified unidentified bacterium bacteria""".split()
+)
+JUNK_REASONS = {
+    "empty": "empty",
+    "marker": "non-plant/unknown marker ('{}')",
+    "digits": "contains digits (strain/catalog id)",
+    "brackets": "contains brackets/parens (strain designation)",
+    "phrase": "Latin drug phrase (seu/et)",
+    "part": "pharmacognosy part-name ('{}')",
+    "animal": "non-plant common-name token",
+    "strain": "microbial strain / unknown marker",
+}
 
 
 def junk_reason(name: Column) -> Column:
     """Why a name is junk, or null."""
-    n = terms.squeeze(name)
+    n = F.coalesce(terms.squeeze(name), F.lit(""))
     low = F.lower(n)
     w = F.split(low, " ")
-    marker = F.lit(None).cast("string")
-    for m in reversed(NON_PLANT_MARKERS):
-        marker = F.when(low.contains(m), F.lit(f"marker {m}")).otherwise(marker)
+    why = JUNK_REASONS
+    out = F.when(low == "", why["empty"])
+    for m in NON_PLANT_MARKERS:
+        out = out.when(low.contains(m), why["marker"].format(m))
     any_of = lambda words: F.arrays_overlap(w, F.array(*map(F.lit, words)))
     return (
-        F.when(low == "", "empty")
-        .when(marker.isNotNull(), marker)
-        .when(n.rlike(r"\d"), "digits")
-        .when(n.rlike(r"[\[\]()]"), "brackets")
-        .when(F.concat(F.lit(" "), low, F.lit(" ")).rlike(" seu | et "), "drug phrase")
-        .when(F.get(w, F.lit(0)).isin(*PART_NAMES), "part name")
-        .when(any_of(ANIMAL_WORDS), "animal")
-        .when(any_of(STRAIN_WORDS), "strain")
+        out.when(n.rlike(r"\p{Nd}"), why["digits"])
+        .when(n.rlike(r"[\[\]()]"), why["brackets"])
+        .when(F.concat(F.lit(" "), low, F.lit(" ")).rlike(" seu | et "), why["phrase"])
+        .when(F.get(w, F.lit(0)).isin(*PART_NAMES), F.format_string(why["part"].replace("{}", "%s"), F.get(w, F.lit(0))))
+        .when(any_of(ANIMAL_WORDS), why["animal"])
+        .when(any_of(STRAIN_WORDS), why["strain"])
     )

@@ -191,3 +191,27 @@ def retype(t: DataFrame, bad: DataFrame, kind: str, old: str, new: str, edge: st
     t = t.where(~(F.col("__n").isNotNull() & F.col("p").isin(*list(source_edges) or [""])))
     o = F.when(F.col("__s").isNotNull() & (F.col("p") == kind) & (F.col("o") == old), new).otherwise(F.col("o"))
     return t.select("s", F.when(F.col("__n").isNotNull() & (F.col("p") == edge), new_edge).otherwise(F.col("p")).alias("p"), o.alias("o"))
+
+
+def as_mechanisms(t: DataFrame, actions: DataFrame, ns: str, edge: str = "hasTherapeuticEffect", new_edge: str = "hasMechanismOfAction", kind: str = "MechanismOfAction") -> DataFrame:
+    """Nodes of `actions` (node) are typed as mechanisms, and the edges of effects that lead to them renamed."""
+    p = lambda x: f"<{ns}{x}>"
+    type_ = "<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>"
+    for c in ("s", "o"):
+        t = t.join(actions.select(F.col("node").alias(f"__{c}")).distinct(), F.col(c) == F.col(f"__{c}"), "left")
+    o = F.when(F.col("__s").isNotNull() & (F.col("p") == type_), p(kind)).otherwise(F.col("o"))
+    return t.select("s", F.when(F.col("__o").isNotNull() & (F.col("p") == p(edge)), p(new_edge)).otherwise(F.col("p")).alias("p"), o.alias("o")).distinct()
+
+
+def with_taxon_links(t: DataFrame, taxon: str) -> DataFrame:
+    """The triples and, for each numeric taxon id, an exact match with the taxonomy's class."""
+    number = terms.literal_value(F.col("o"))
+    found = t.where((F.col("p") == taxon) & F.col("o").startswith('"') & number.rlike(r"^\d+$"))
+    return triples(t, found.select("s", F.lit("<http://www.w3.org/2004/02/skos/core#exactMatch>").alias("p"), terms.iri(F.concat(F.lit("NCBITaxon_"), number), "http://purl.obolibrary.org/obo/").alias("o")))
+
+
+def redeclared(t: DataFrame, properties: DataFrame) -> DataFrame:
+    """Without the domains and ranges of `properties` (node), which a new schema declares again."""
+    rdfs = "http://www.w3.org/2000/01/rdf-schema#"
+    both = F.explode(F.array(F.lit(f"<{rdfs}domain>"), F.lit(f"<{rdfs}range>")))
+    return drop(t, pairs=properties.select(F.col("node").alias("s"), both.alias("p")))

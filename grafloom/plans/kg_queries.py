@@ -318,12 +318,11 @@ def layered_names(spark, d):
     return evidence.layered_names(c, "c_custkey", layers).withColumn("names", F.array_join("names", "|"))
 
 
-@query("""SELECT r_name, event_type FROM region CROSS JOIN (SELECT DISTINCT event_type FROM events)""")
+@query("""SELECT DISTINCT a.l_orderkey AS article, a.l_suppkey AS species, b.l_partkey AS compound FROM lineitem a JOIN lineitem b USING (l_orderkey)""")
 def cross_product(spark, d):
-    """Pairs of two lists held by one record (E21): both exploded, no join."""
-    names = V.table(spark, d, "region").select("r_name", F.lit(None).cast("string").alias("event_type")).unionByName(V.table(spark, d, "events").select(F.lit(None).cast("string").alias("r_name"), "event_type"))
-    record = names.agg(F.collect_set("r_name").alias("regions"), F.collect_set("event_type").alias("kinds"))
-    return record.select(F.explode("regions").alias("r_name"), "kinds").select("r_name", F.explode("kinds").alias("event_type"))
+    """Each article's species crossed with its compounds (E21): two lists in its own record, both exploded, no join."""
+    record = V.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("article")).agg(F.collect_set("l_suppkey").alias("species"), F.collect_set("l_partkey").alias("compounds"))
+    return record.select("article", F.explode("species").alias("species"), "compounds").select("article", "species", F.explode("compounds").alias("compound"))
 
 
 @query("""SELECT DISTINCT o_orderkey, c_name, n_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""")
@@ -547,19 +546,14 @@ def regex_extract(spark, d):
     return V.table(spark, d, "documents").select("doc_id", F.array_join(terms.nct_ids(text), "|").alias("ids"))
 
 
-@query("""SELECT doc_id, CASE WHEN regexp_matches(n, '[0-9]') THEN 'digits' WHEN regexp_matches(n, '[\\[\\]()]') THEN 'brackets' WHEN regexp_matches(' ' || lower(n) || ' ', ' seu | et ') THEN 'drug phrase' END AS reason FROM (SELECT doc_id, text[:60] AS n FROM documents)""")
-def junk_tag(spark, d):
-    """D12 on the first 60 characters. Whole texts are in junk_tag_whole."""
-    return V.table(spark, d, "documents").select("doc_id", evidence.junk_reason(F.substring("text", 1, 60)).alias("reason"))
-
+_MARKERS_SQL = " ".join(f"WHEN contains(low, '{x}') THEN 'non-plant/unknown marker (' || chr(39) || '{x}' || chr(39) || ')'" for x in evidence.NON_PLANT_MARKERS)
 
-_MARKERS_SQL = " ".join(f"WHEN contains(low, '{x}') THEN 'marker {x}'" for x in evidence.NON_PLANT_MARKERS)
 
-
-@query(rf"""SELECT doc_id, CASE WHEN low = '' THEN 'empty' {_MARKERS_SQL} WHEN regexp_matches(low, '[0-9]') THEN 'digits' WHEN regexp_matches(low, '[\[\]()]') THEN 'brackets' WHEN regexp_matches(' ' || low || ' ', ' seu | et ') THEN 'drug phrase'
-    WHEN w[1] IN {evidence.PART_NAMES} THEN 'part name' WHEN list_has_any(w, {list(evidence.ANIMAL_WORDS)}) THEN 'animal' WHEN list_has_any(w, {list(evidence.STRAIN_WORDS)}) THEN 'strain' END AS reason
-    FROM (SELECT doc_id, low, string_split(low, ' ') AS w FROM (SELECT doc_id, lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS low FROM documents))""")
-def junk_tag_whole(spark, d):
+@query(rf"""SELECT doc_id, CASE WHEN low = '' THEN 'empty' {_MARKERS_SQL} WHEN regexp_matches(low, '[0-9]') THEN 'contains digits (strain/catalog id)' WHEN regexp_matches(low, '[\[\]()]') THEN 'contains brackets/parens (strain designation)'
+    WHEN regexp_matches(' ' || low || ' ', ' seu | et ') THEN 'Latin drug phrase (seu/et)' WHEN w[1] IN {evidence.PART_NAMES} THEN 'pharmacognosy part-name (' || chr(39) || w[1] || chr(39) || ')'
+    WHEN list_has_any(w, {list(evidence.ANIMAL_WORDS)}) THEN 'non-plant common-name token' WHEN list_has_any(w, {list(evidence.STRAIN_WORDS)}) THEN 'microbial strain / unknown marker' END AS reason
+    FROM (SELECT doc_id, low, string_split(low, ' ') AS w FROM (SELECT doc_id, lower(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS low FROM documents))""")
+def junk_tag(spark, d):
     """D12 on whole texts."""
     return V.table(spark, d, "documents").select("doc_id", evidence.junk_reason(F.col("text")).alias("reason"))
 

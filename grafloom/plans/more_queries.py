@@ -51,14 +51,6 @@ def carry_over(spark, d):
     return rows.select("c_custkey", F.coalesce("s_name", "n_name").alias("old_name"))
 
 
-@query("""WITH a AS (SELECT DISTINCT left(text, 5) AS g FROM documents WHERE length(text) > 5), b AS (SELECT DISTINCT left(text, 5) AS g FROM benchmark)
-    SELECT a.g || ' x' AS name, b.g || ' x' AS match FROM a JOIN b ON levenshtein(a.g, b.g) = 1 WHERE NOT contains(a.g, ' ') AND NOT contains(b.g, ' ') AND NOT regexp_matches(a.g || b.g, '\\s')""")
-def typo_rescue(spark, d):
-    """E24 on heads of five characters, all of one epithet. Whole names are in typo_rescue_whole."""
-    head = lambda t: V.table(spark, d, t).where("length(text) > 5").select(F.substring("text", 1, 5).alias("g")).distinct().where(~F.col("g").rlike(r"\s")).select(F.concat("g", F.lit(" x")).alias("name"))
-    return evidence.typo_matches(head("documents"), head("benchmark"))
-
-
 #: A whole word.
 _WORD = r"\p{L}+"
 
@@ -74,7 +66,7 @@ _SLIP_SQL = """(length(a.g) = length(b.g) AND a.g <> b.g AND len(list_filter(ran
 
 
 @query(f"""WITH a AS ({_names_sql('documents')}), b AS ({_names_sql('benchmark')}) SELECT a.g || ' ' || e AS name, b.g || ' ' || e AS match FROM a JOIN b USING (e) WHERE {_SLIP_SQL}""")
-def typo_rescue_whole(spark, d):
+def typo_rescue(spark, d):
     """Names, the first two whole words of a text, whose genus is one letter off a known one, blocked by the epithet."""
     word = lambda i: F.regexp_extract("text", rf"({_WORD})[^\p{{L}}]+({_WORD})", i)
     names = lambda t: V.table(spark, d, t).select(F.concat_ws(" ", word(1), word(2)).alias("name")).where("length(name) > 1").distinct()
@@ -141,14 +133,8 @@ def _tiers(spark, d, text):
     return rows.select("doc_id", tier.alias("tier"))
 
 
-@query("""SELECT doc_id, CASE WHEN regexp_matches(text[:80], '[0-9]') THEN 'junk' WHEN quality = 1 THEN 'plant' WHEN quality = 0 THEN 'nonplant' ELSE 'possible' END AS tier FROM documents LEFT JOIN (SELECT DISTINCT doc_id, quality FROM labels) USING (doc_id)""")
-def triage(spark, d):
-    """An ordered decision over joined flags (D11, M4), junk by the first 80 characters. Whole texts are in triage_whole."""
-    return _tiers(spark, d, F.substring("text", 1, 80))
-
-
 @query("""SELECT doc_id, CASE WHEN regexp_matches(text, '[0-9]') THEN 'junk' WHEN quality = 1 THEN 'plant' WHEN quality = 0 THEN 'nonplant' ELSE 'possible' END AS tier FROM documents LEFT JOIN (SELECT DISTINCT doc_id, quality FROM labels) USING (doc_id)""")
-def triage_whole(spark, d):
+def triage(spark, d):
     """An ordered decision over joined flags (D11, M4), junk by whole texts."""
     return _tiers(spark, d, F.col("text"))
 
@@ -188,11 +174,11 @@ def paper_groups(spark, d):
     return entities.papers(rows, "doi", "title").select("doi_key", F.when(F.col("label").startswith("t"), F.col("label")).alias("t"), "n")
 
 
-@query("""SELECT page_id, 'Panax ginseng' AS plant, 'quercetin' || chr((97 + page_id % 5)::INTEGER) || 'ol' AS compound FROM pages WHERE page_id % 3 <> 0""")
+@query("""SELECT page_id, 'Panax quinquefolius var. albus' AS plant, unnest(['gallic acid', 'quercetin' || chr((97 + page_id % 5)::INTEGER) || 'ol']) AS compound FROM pages WHERE page_id % 3 <> 0""")
 def literature(spark, d):
-    """Articles about plants, mined for species and compounds, crossed in each article."""
+    """Articles about plants, mined for species and compounds, crossed in each article."""
     letter = F.char((97 + F.col("page_id") % 5).cast("int"))
-    title = F.when(F.col("page_id") % 3 == 0, F.lit("Steel bridges")).otherwise(F.concat(F.lit("Panax ginseng extract, quercetin"), letter, F.lit("ol")))
+    title = F.when(F.col("page_id") % 3 == 0, F.lit("Steel bridges of Pontus altus")).otherwise(F.concat(F.lit("Panax quinquefolius var. albus extracts: Gallic acid, quercetin"), letter, F.lit("ol")))
     articles = V.table(spark, d, "pages").select(F.col("page_id").alias("pmid"), title.alias("title"), *[F.lit(None).cast("string").alias(c) for c in ("abstract", "doi", "year", "journal")], *[F.lit(None).cast("array<string>").alias(c) for c in ("mesh", "chemicals")])
     return mining.mine(articles).select(F.col("pmid").alias("page_id"), "plant", "compound")
 
@@ -274,14 +260,8 @@ def _plants_of(spark, d, i):
     return ingest.flat_export(t, "smiles", "from", "label")
 
 
-@query("""SELECT DISTINCT p_name AS smiles, coalesce(s_name, 'N/A') AS plant FROM part LEFT JOIN (SELECT DISTINCT l_partkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_suppkey < 4) ON p_partkey = l_partkey""")
-def flat_export(spark, d):
-    """P17 with the links of few plants, so that some compounds come out as 'N/A'. All links are in flat_export_whole."""
-    return _plants_of(spark, d, V.table(spark, d, "lineitem").where("l_suppkey < 4"))
-
-
 @query("""SELECT DISTINCT p_name AS smiles, coalesce(s_name, 'N/A') AS plant FROM part LEFT JOIN (SELECT DISTINCT l_partkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) ON p_partkey = l_partkey""")
-def flat_export_whole(spark, d):
+def flat_export(spark, d):
     """Compound strings with the labels of all their plants."""
     return _plants_of(spark, d, V.table(spark, d, "lineitem"))
 

@@ -66,7 +66,7 @@ def taxonomy_nodes(spark: SparkSession, path: str) -> DataFrame:
 
 
 # The classes of names that can resolve a name.
-NAME_CLASSES = ("scientific name", "synonym", "equivalent name", "genbank common name", "common name", "authority", "includes")
+NAME_CLASSES = ("scientific name", "synonym", "equivalent name", "genbank synonym", "common name", "genbank common name", "includes")
 
 
 def taxonomy_names(spark: SparkSession, path: str) -> DataFrame:

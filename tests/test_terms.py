@@ -62,7 +62,8 @@ def test_function(spark, f, value, want):
 
 def test_formula_and_profiles(spark):
     assert abs(one(spark, t.formula_mass, "C2H6O") - 46.069) < 1e-9
-    assert one(spark, t.formula_mass, "Xx2") is None
+    assert abs(one(spark, t.formula_mass, "C6H12HgPtSr2") - (6 * 12.011 + 12 * 1.008 + 200.59 + 195.08 + 2 * 87.62)) < 1e-9
+    assert [one(spark, t.formula_mass, x) for x in ("Xx2", "", "C6H5(CH3)2", "C2H6O.HCl", "c6", None)] == [None] * 6
     assert one(spark, lambda c: t.is_na(c, "phase1"), " n/a ") and not one(spark, lambda c: t.is_na(c, "phase2"), "n/a")
     assert one(spark, lambda c: t.nt_literal(c, "http://d"), 'a"\\\n') == '"a\\"\\\\\\n"^^<http://d>'
     assert one(spark, lambda c: t.cut_label(c, 3), "abcd") == "abc…"

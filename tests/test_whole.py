@@ -15,7 +15,6 @@ def write(spark, folder, name, rows, schema):
 def test_shards_hold_all_suppliers(spark, tmp_path, monkeypatch):
     d = write(spark, tmp_path, "lineitem", [(1, 7), (1, 7), (49, 8), (50, 9), (999, 7)], "l_suppkey long, l_partkey long")
     found = lambda name: sorted((r["key"], r["item"]) for r in io_queries.QUERIES[name](spark, d).collect())
-    assert found("json_shards_whole") == [("1", 7), ("49", 8), ("50", 9), ("999", 7)]
     written, write_shards = [], sinks.write_shards
 
     def spy(df, path, key, value):
@@ -23,30 +22,30 @@ def test_shards_hold_all_suppliers(spark, tmp_path, monkeypatch):
         write_shards(df, path, key, value)
 
     monkeypatch.setattr(sinks, "write_shards", spy)
-    assert found("json_shards") == [("1", 7), ("49", 8)] and sorted(written) == ["1", "49", "50", "999"]
+    assert found("json_shards") == [("1", 7), ("49", 8), ("50", 9), ("999", 7)] and sorted(written) == ["1", "49", "50", "999"]
 
 
 def test_flat_export_takes_all_plants(spark, tmp_path):
     write(spark, tmp_path, "part", [(1, "C"), (2, "CC"), (3, "CCC")], "p_partkey long, p_name string")
     write(spark, tmp_path, "lineitem", [(1, 3), (1, 4), (1, 4), (2, 999)], "l_partkey long, l_suppkey long")
     d = write(spark, tmp_path, "supplier", [(3, "three"), (4, "four"), (999, "last")], "s_suppkey long, s_name string")
-    found = more_queries.QUERIES["flat_export_whole"](spark, d).collect()
+    found = more_queries.QUERIES["flat_export"](spark, d).collect()
     assert sorted((r["smiles"], r["plant"]) for r in found) == [("C", "four"), ("C", "three"), ("CC", "last"), ("CCC", "N/A")]
 
 
 def test_junk_is_found_anywhere_in_a_text(spark, tmp_path):
-    ends = {"": None, " 7": "digits", " (x": "brackets", " et x": "drug phrase", " Yeast": "marker yeast", " shark": "animal", " isolate": "strain", " herba": None}
+    ends = {"": None, " 7": "contains digits (strain/catalog id)", " (x": "contains brackets/parens (strain designation)", " et x": "Latin drug phrase (seu/et)", " Yeast": "non-plant/unknown marker ('yeast')", " shark": "non-plant common-name token", " isolate": "microbial strain / unknown marker", " herba": None}
     rows = [(i, "plain words " * 200 + "and" + end) for i, end in enumerate(ends)] + [(100, None), (101, " \n"), (102, "Radix  x")]
     d = write(spark, tmp_path, "documents", rows, "doc_id long, text string")
-    found = {r["doc_id"]: r["reason"] for r in kg_queries.QUERIES["junk_tag_whole"](spark, d).collect()}
-    assert found == dict(enumerate(ends.values())) | {100: None, 101: "empty", 102: "part name"}
+    found = {r["doc_id"]: r["reason"] for r in kg_queries.QUERIES["junk_tag"](spark, d).collect()}
+    assert found == dict(enumerate(ends.values())) | {100: "empty", 101: "empty", 102: "pharmacognosy part-name ('radix')"}
 
 
 def test_triage_reads_whole_texts(spark, tmp_path):
     late = "words " * 500 + "7"
     write(spark, tmp_path, "documents", [(1, late), (2, "words"), (3, late), (4, None), (5, "words")], "doc_id long, text string")
     d = write(spark, tmp_path, "labels", [(1, 1), (2, 1), (4, 0)], "doc_id long, quality int")
-    found = {r["doc_id"]: r["tier"] for r in more_queries.QUERIES["triage_whole"](spark, d).collect()}
+    found = {r["doc_id"]: r["tier"] for r in more_queries.QUERIES["triage"](spark, d).collect()}
     assert found == {1: "junk", 2: "plant", 3: "junk", 4: "nonplant", 5: "possible"}
 
 
@@ -56,9 +55,9 @@ def test_typos_of_whole_names(spark, tmp_path):
     write(spark, tmp_path, "documents", list(enumerate(docs)), "doc_id long, text string")
     known = ["Aloe vera", "Chrysanthemum indicum", "Salvia officinalis L.", "Panax ginseng"]
     d = write(spark, tmp_path, "benchmark", list(enumerate(known)), "item_id long, text string")
-    make = more_queries.QUERIES["typo_rescue_whole"]
+    make = more_queries.QUERIES["typo_rescue"]
     assert {tuple(r) for r in make(spark, d).collect()} == {("Aloa vera", "Aloe vera"), ("Chrysanthemun indicum", "Chrysanthemum indicum"), ("Salvla officinalis", "Salvia officinalis")}
-    assert_same(spark, make, more_queries.ORACLE_SQL["typo_rescue_whole"], d)
+    assert_same(spark, make, more_queries.ORACLE_SQL["typo_rescue"], d)
 
 
 def test_fallback_join_tries_the_whole_name(spark, tmp_path):
