@@ -45,12 +45,12 @@ def ntriples_strict(spark, d):
 
 @query("""SELECT '<http://x#' || s_suppkey || '>' AS s, unnest([{'p': '<http://x#name>', 'o': '"' || s_name || ' & <co>"@en'}, {'p': '<http://x#nation>', 'o': '<http://x#n' || s_nationkey || '>'}, {'p': '<http://x#key>', 'o': '"' || s_suppkey || '"^^<http://www.w3.org/2001/XMLSchema#integer>'}], recursive := true) FROM supplier""")
 def rdfxml_round_trip(spark, d):
-    """One element a subject, written in parts, read by splitting at the elements' ends."""
+    """One element a subject, written in parts, read by ranges of bytes."""
     s = V.table(spark, d, "supplier")
     t = T.unpivot(s, terms.iri(F.col("s_suppkey").cast("string"), "http://x#"), {"<http://x#name>": terms.nt_literal(F.concat("s_name", F.lit(" & <co>")), language="en"), "<http://x#nation>": terms.iri(V.node("n", "s_nationkey"), "http://x#"), "<http://x#key>": terms.nt_literal(F.col("s_suppkey").cast("string"), "http://www.w3.org/2001/XMLSchema#integer")})
     path = scratch_path(spark, "rdf")
-    rdfxml.write(t, path, {"x": "http://x#"})
-    return rdfxml.read_flat(spark, path)
+    rdfxml.write(t, path, {"x": "http://x#"}, whole_parts=True)
+    return rdfxml.read_split(spark, path, piece_bytes=1 << 16)
 
 
 @query("SELECT c_custkey::VARCHAR AS id, c_name AS name, NULL::VARCHAR AS missing FROM customer")
@@ -69,14 +69,8 @@ def _shards(spark, d):
     return formats.read_json_map(spark, path, "array<long>").select("key", F.explode("value").alias("item"))
 
 
-@query("SELECT DISTINCT l_suppkey::VARCHAR AS key, l_partkey AS item FROM lineitem WHERE l_suppkey < 50")
-def json_shards(spark, d):
-    """All suppliers go to the shards; its SQL asks for some of them. All are in json_shards_whole."""
-    return _shards(spark, d).where(F.col("key").cast("long") < 50)
-
-
 @query("SELECT DISTINCT l_suppkey::VARCHAR AS key, l_partkey AS item FROM lineitem")
-def json_shards_whole(spark, d):
+def json_shards(spark, d):
     """All suppliers sharded and read back."""
     return _shards(spark, d)
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import io
+import re
 from collections.abc import Iterator, Mapping
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,15 +30,15 @@ def _resolve(ref: str, base: str) -> str:
 
 
 class _Reader:
-    """Triples of one document; blank nodes are numbered within `scope`."""
+    """Triples of one document; blank nodes are numbered within `scope`, those without a name behind `own`."""
 
-    def __init__(self, scope: str, base: str = ""):
-        self.scope, self.base, self.n, self.out, self.unread = scope, base, 0, [], 0
+    def __init__(self, scope: str, base: str = "", own: str = ""):
+        self.scope, self.base, self.own, self.n, self.out, self.unread = scope, base, own, 0, [], 0
 
     def blank(self, name: str | None = None) -> str:
         if name is None:
             self.n += 1
-            name = f"g{self.n}"
+            name = f"g{self.own}{self.n}"
         return f"_:{self.scope}{name}"
 
     def iri(self, ref: str) -> str:
@@ -98,9 +100,9 @@ class _Reader:
         self.out.append((s, p, o))
 
 
-def parse(document: bytes, scope: str = "b", base: str = "") -> Iterator[list[tuple[str, str, str]]]:
+def parse(document: bytes, scope: str = "b", base: str = "", own: str = "") -> Iterator[list[tuple[str, str, str]]]:
     """Triples by top-level element, each forgotten once read. Ill-formed XML raises ElementTree.ParseError."""
-    reader, depth, root = _Reader(scope, base), 0, None
+    reader, depth, root = _Reader(scope, base, own), 0, None
     for event, e in ElementTree.iterparse(io.BytesIO(document), events=("start", "end")):
         if event == "start":
             if depth == 0:
@@ -141,27 +143,140 @@ def hash_text(text: str) -> int:
     return zlib.crc32(text.encode())
 
 
-def read_flat(spark: SparkSession, path: str, close: str = "</rdf:Description>") -> DataFrame:
-    """As read, for one file of any size whose top-level elements all end with `close`: it is split there, and the file's head goes before each piece.
+#: Bytes that are read at a time beyond a range, to finish what begins in it.
+MARGIN = 1 << 20
+#: A start, end or empty tag: `<` stands in none of its values, `>` may. What begins a stretch without tags, and what ends it.
+_TAG = re.compile(rb"<(/?)[^\s/>!?][^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*>")
+_OPAQUE = ((b"<!--", b"-->"), (b"<![CDATA[", b"]]>"), (b"<?", b"?>"))
+
+
+class _Range:
+    """The bytes of a file from `first` to `end`, and those behind for as long as a tag, stretch or element goes on."""
+
+    def __init__(self, store, path: str, first: int, end: int):
+        self.file, self.first, self.size = store.open_input_file(path), first, max(0, end - first)
+        self.data = self.file.read_at(self.size + MARGIN, first)
+
+    def grow(self) -> bool:
+        more = self.file.read_at(MARGIN, self.first + len(self.data))
+        self.data += more
+        return bool(more)
+
+    def find(self, text: bytes, at: int) -> int:
+        while (place := self.data.find(text, at)) < 0 and self.grow():
+            at = max(at, len(self.data) - MARGIN - len(text))
+        return place
+
+    def tags(self) -> Iterator[tuple[int, int, int, bool]]:
+        """(place, end, change of depth, whether it is a comment or the like) from the first `<` on."""
+        at = 0
+        while (place := self.find(b"<", at)) >= 0:
+            close = next((end for begin, end in _OPAQUE if self.data.startswith(begin, place)), None)
+            if close:
+                stop = self.find(close, place)
+                at = len(self.data) if stop < 0 else stop + len(close)
+                yield place, at, 0, True
+                continue
+            m = _TAG.match(self.data, place)
+            if m is None and len(self.data) - place <= MARGIN and self.grow():
+                m = _TAG.match(self.data, place)
+            at = m.end() if m else place + 1
+            if m:
+                yield place, at, -1 if m[1] else 0 if self.data[at - 2 : at - 1] == b"/" else 1, False
+
+    def summary(self) -> tuple[int, int]:
+        """The change of depth over the range, and where a comment or the like that begins in it ends, if that is behind it."""
+        depth, behind = 0, self.first + self.size
+        for place, end, change, opaque in self.tags():
+            if place >= self.size:
+                break
+            depth += change
+            if opaque and end > self.size:
+                behind = self.first + end
+        return depth, behind
+
+    def elements(self, depth: int) -> bytes:
+        """The top-level elements that begin in the range, which begins at the given depth."""
+        first = last = None
+        for place, end, change, opaque in self.tags():
+            if opaque:
+                continue
+            if place >= self.size and (first is None or depth == 1):
+                break
+            if change < 0:
+                depth -= 1
+            else:
+                first = place if depth == 1 and first is None else first
+                depth += change
+            if depth == 1 and first is not None:
+                last = end
+            if depth == 0:
+                break
+        return b"" if first is None else self.data[first:last]
+
+
+def _store(path: str):
+    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+
+
+def read_split(spark: SparkSession, path: str, piece_bytes: int = 64 << 20) -> DataFrame:
+    """As read, for files of any size and nesting: byte ranges are read side by side, each giving the top-level elements that begin in it.
 
-    Elements must name no blank nodes of other elements.
+    A first pass sums the depth over each range; a range that turns out to begin inside a comment is summed again from its end. The
+    sums, one row a range, give every range its depth. Named blank nodes are those of the file, others are told apart by range.
     """
-    pieces = spark.read.option("lineSep", close).text(path)
-    head = pieces.where(F.col("value").contains("<rdf:RDF")).select(F.regexp_extract("value", r"(?s)(<rdf:RDF[^>]*>)", 1)).first()[0]
+    files = [r[0] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    plan = []
+    for file in files:
+        store, at = _store(file)
+        size = store.get_file_info(at).size
+        head = _Range(store, at, 0, size)
+        root = next((end for place, end, change, opaque in head.tags() if not opaque and not head.data.startswith(b"<!", place)), 0)
+        text = head.data[:root]
+        close = b"</" + re.search(rb"<([^\s>/!?]+)[^<]*>$", text)[1] + b">" if root else b""
+        plan += [[file, n, a, min(a + piece_bytes, size), text, close] for n, a in enumerate(range(root, size, piece_bytes)) if root]
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [(file, n, *_Range(*_store(file), first, end).summary()) for file, n, first, end in b.itertuples(index=False)]
+            yield pd.DataFrame(found, columns=["file", "n", "depth", "behind"])
+
+    def deal(rows: list, schema: str) -> DataFrame:
+        return spark.createDataFrame(rows, schema).repartition(max(1, len(rows)))
+
+    known, again = {}, plan
+    while again:
+        ranges = deal([(f, n, a, b) for f, n, a, b, _, _ in again], "file string, n int, first long, end long")
+        known |= {(r["file"], r["n"]): (r["depth"], r["behind"]) for r in ranges.mapInPandas(sums, "file string, n int, depth long, behind long").collect()}
+        again, behind = [], {}
+        for p in plan:
+            file, n, first, end = p[:4]
+            start = min(max(first, behind.get(file, 0)), end)
+            if start != first:
+                p[2] = start
+                again.append(p)
+            behind[file] = max(behind.get(file, 0), known[file, n][1]) if start == first else max(behind[file], end)
+
+    work, depth = [], {}
+    for file, n, first, end, text, close in plan:
+        work.append((file, n, first, end, depth.get(file, 1), bytearray(text), bytearray(close)))
+        depth[file] = depth.get(file, 1) + known[file, n][0]
 
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for piece in b["value"]:
-                body = piece.split(head, 1)[-1]
-                if "rdf:about" not in body and "rdf:ID" not in body and "rdf:nodeID" not in body:
-                    continue
-                document = f"{head}{body}{close}</rdf:RDF>".encode()
-                for found in parse(document, "b" + format(hash_text(body), "x") + "_"):
-                    rows += found
-            yield pd.DataFrame(rows, columns=["s", "p", "o"])
+            for file, n, first, end, at, text, close in b.itertuples(index=False):
+                body = _Range(*_store(file), first, end).elements(at)
+                held: list[tuple[str, str, str]] = []
+                for found in parse(bytes(text) + body + bytes(close), "b" + format(hash_text(file), "x") + "_", own=f"{n}_") if body else ():
+                    held += found
+                    if len(held) > 20_000:
+                        yield pd.DataFrame(held, columns=["s", "p", "o"])
+                        held = []
+                yield pd.DataFrame(held, columns=["s", "p", "o"])
 
-    return pieces.mapInPandas(convert, TRIPLES)
+    if not work:
+        return spark.createDataFrame([], TRIPLES)
+    return deal(work, "file string, n int, first long, end long, depth long, head binary, close binary").mapInPandas(convert, TRIPLES)
 
 
 def well_formed(spark: SparkSession, path: str) -> DataFrame:
@@ -190,8 +305,8 @@ def _xml(c: Column) -> Column:
     return c
 
 
-def elements(t: DataFrame, prefixes: Mapping[str, str]) -> DataFrame:
-    """(s, value): one rdf:Description a subject. Predicates must be in one of the namespaces; others are left out."""
+def lines(t: DataFrame, prefixes: Mapping[str, str]) -> DataFrame:
+    """(about, line) of distinct triples, for an rdf:Description a subject. Predicates must be in one of the namespaces; others are left out."""
     p = terms.compact(F.col("p"), dict(prefixes))
     o = F.col("o")
     iri, value = F.regexp_replace(o, "^<|>$", ""), _xml(terms.unescape(terms.literal_value(o)))
@@ -201,18 +316,40 @@ def elements(t: DataFrame, prefixes: Mapping[str, str]) -> DataFrame:
         .when(o.startswith("_:"), F.concat(F.lit(' rdf:nodeID="'), F.substr(o, F.lit(3)), F.lit('"/>')))
         .otherwise(F.concat(kind, F.lit(">"), value, F.lit("</"), p, F.lit(">")))
     )
-    rows = t.where(p.rlike(r"^[A-Za-z_][\w.-]*:[A-Za-z_][\w.-]*$")).select("s", F.concat(F.lit("    <"), p, body).alias("line"))
     about = F.when(F.col("s").startswith("_:"), F.concat(F.lit('rdf:nodeID="'), F.substr("s", F.lit(3)))).otherwise(F.concat(F.lit('rdf:about="'), _xml(F.regexp_replace("s", "^<|>$", ""))))
-    grouped = rows.groupBy("s").agg(F.array_join(F.array_sort(F.collect_set("line")), "\n").alias("lines"))
-    return grouped.select("s", F.concat(F.lit("  <rdf:Description "), about, F.lit('">\n'), "lines", F.lit("\n  </rdf:Description>")).alias("value"))
+    return t.where(p.rlike(r"^[A-Za-z_][\w.-]*:[A-Za-z_][\w.-]*$")).select(F.concat(about, F.lit('"')).alias("about"), F.concat(F.lit("    <"), p, body).alias("line")).distinct()
+
+
+def _in_elements(head: str | None):
+    """Lines sorted by subject, with each subject's in an element, and the task's in a document if there is a head; only the last subject is held."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
+        if head:
+            yield pd.DataFrame({"value": [head]})
+        for b in batches:
+            out = []
+            for about, line in b[["about", "line"]].itertuples(index=False):
+                if about != last:
+                    out += ([] if last is None else ["  </rdf:Description>"]) + [f"  <rdf:Description {about}>"]
+                    last = about
+                out.append(line)
+            yield pd.DataFrame({"value": out}, dtype=object)
+        yield pd.DataFrame({"value": ([] if last is None else ["  </rdf:Description>"]) + (["</rdf:RDF>"] if head else [])}, dtype=object)
+
+    return run
 
 
-def write(t: DataFrame, path: str, prefixes: Mapping[str, str]) -> None:
-    """A folder whose parts, read in order of their names, are one RDF/XML document: head, elements by subject, end."""
+def write(t: DataFrame, path: str, prefixes: Mapping[str, str], whole_parts: bool = False) -> None:
+    """A folder whose parts, read in order of their names, are one RDF/XML document (`whole_parts`: each part is one): head, elements by subject, end.
+
+    The lines of a subject with very many triples may be dealt to several tasks, which then write an element each.
+    """
     prefixes = {"rdf": RDF} | dict(prefixes)
     spark = t.sparkSession
-    names = "".join(f'\n  xmlns:{k}="{v}"' for k, v in prefixes.items())
-    frame = lambda text, place: spark.createDataFrame([(place, "", text)], "place int, s string, value string")
-    body = elements(t, prefixes).select(F.lit(1).alias("place"), "s", "value")
-    out = frame(f'<?xml version="1.0" encoding="UTF-8"?>\n<rdf:RDF{names}>', 0).unionByName(body).unionByName(frame("</rdf:RDF>", 2))
-    out.orderBy("place", "s").select("value").write.mode("overwrite").text(path)
+    head = '<?xml version="1.0" encoding="UTF-8"?>\n<rdf:RDF' + "".join(f'\n  xmlns:{k}="{v}"' for k, v in prefixes.items()) + ">"
+    end = lambda text: spark.createDataFrame([(text,)], "value string").coalesce(1)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    body = lines(t, prefixes).repartitionByRange(n, "about", "line").sortWithinPartitions("about", "line").mapInPandas(_in_elements(head if whole_parts else None), "value string")
+    out = body if whole_parts else end(head).unionByName(body).unionByName(end("</rdf:RDF>"))
+    out.write.mode("overwrite").text(path)
