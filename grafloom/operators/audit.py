@@ -109,9 +109,11 @@ def stratified_sample(rows: DataFrame, stratum: str, order: str, *ties: Column,
     ranked = rows.withColumn("__part", part).withColumn("__in", F.row_number().over(Window.partitionBy("__part").orderBy(order, *ties)))
     sizes = ranked.groupBy("__part").agg(F.count("*").alias("__n"))
     before = sizes.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    placed = ranked.join(F.broadcast(before), "__part").withColumn("__place", F.col("__before") + F.col("__in")).withColumn("__own", F.row_number().over(own))
-    chosen = placed.where((F.col("__own") <= head) | (F.col("__place") % every == 0))
-    return chosen.withColumn("__k", F.row_number().over(own)).where(F.col("__k") <= most).drop("__part", "__in", "__before", "__place", "__own", "__k")
+    placed = ranked.join(F.broadcast(before), "__part").withColumn("__place", F.col("__before") + F.col("__in"))
+    # a bare limit on the rank is applied before the exchange, so that a frequent stratum isn't gathered
+    first = placed.withColumn("__own", F.row_number().over(own)).where(F.col("__own") <= head).drop("__own")
+    chosen = first.unionByName(placed.where(F.col("__place") % every == 0)).dropDuplicates(["__place"])
+    return chosen.withColumn("__k", F.row_number().over(own)).where(F.col("__k") <= most).drop("__part", "__in", "__before", "__place", "__k")
 
 
 def used_properties(t: DataFrame) -> DataFrame:

@@ -38,13 +38,14 @@ def evidence_union(rows: DataFrame, keys: list[str], flags: Mapping[str, Column]
 def fallback_join(rows: DataFrame, keys: list[Column], table: DataFrame, key: str, value: str) -> DataFrame:
     """rows with `value` and `rank`, by the first of the keys, in order, that the table (key, value) has; the smallest value of a key counts.
 
-    The row's columns must identify it: rows that are alike in all are answered once each.
+    A left join a key: rows are neither multiplied nor gathered again.
     """
-    one = table.groupBy(F.col(key).alias("__key")).agg(F.min(value).alias(value))
-    columns = rows.columns
-    tried = rows.withColumn("__id", F.monotonically_increasing_id()).select("*", F.posexplode(F.array(*keys)).alias("rank", "__key"))
-    hit = tried.join(one, "__key", "left").groupBy("__id").agg(*[F.first(c).alias(c) for c in columns], F.min_by(value, F.when(F.col(value).isNotNull(), F.col("rank"))).alias(value), F.min(F.when(F.col(value).isNotNull(), F.col("rank"))).alias("rank"))
-    return hit.drop("__id")
+    one = table.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.min(value).alias("__value")).where("__value is not null")
+    columns, out = [F.col(f"`{c}`") for c in rows.columns], rows.withColumns({f"__k{i}": k for i, k in enumerate(keys)})
+    for i in range(len(keys)):
+        out = out.join(one.withColumnsRenamed({"__key": f"__t{i}", "__value": f"__v{i}"}), F.col(f"__k{i}") == F.col(f"__t{i}"), "left")
+    rank = F.coalesce(*[F.when(F.col(f"__v{i}").isNotNull(), i) for i in range(len(keys))])
+    return out.select(*columns, F.coalesce(*[F.col(f"__v{i}") for i in range(len(keys))]).alias(value), rank.alias("rank"))
 
 
 def name_keys(c: Column) -> list[Column]:
@@ -123,11 +124,20 @@ def capped_lists(rows: DataFrame, key: str, order: list[Column], value: Column,
 
 
 def typo_matches(names: DataFrame, known: DataFrame) -> DataFrame:
-    """(name, match) of binomials whose genus is one letter off a known one with the same epithet; blocked by the epithet."""
+    """(name, match) of binomials whose genus is one letter off a known one with the same epithet.
+
+    Blocked by the epithet and the genus with at most one letter left out: two genera of distance one share such a form, so
+    a common epithet makes no pairs of genera that are unlike.
+    """
     genus, epithet = lambda c: F.split(c, " ")[0], lambda c: F.get(F.split(c, " "), F.lit(1))
-    a = names.select("name", genus(F.col("name")).alias("g"), epithet(F.col("name")).alias("e")).where("e is not null")
-    b = known.select(F.col("name").alias("match"), genus(F.col("name")).alias("g2"), epithet(F.col("name")).alias("e"))
-    return a.join(b, "e").where(F.levenshtein("g", "g2") == 1).select("name", "match")
+
+    def keyed(df: DataFrame, name: str, g: str) -> DataFrame:
+        rows = df.select(F.col("name").alias(name), genus(F.col("name")).alias(g), epithet(F.col("name")).alias("e")).where("e is not null")
+        gone = F.transform(F.sequence(F.lit(1), F.length(g)), lambda i: F.concat(F.substr(F.col(g), F.lit(1), i - 1), F.substr(F.col(g), i + 1)))
+        return rows.where(F.length(g) > 0).select("*", F.explode(F.array_distinct(F.concat(F.array(g), gone))).alias("v"))
+
+    pairs = keyed(names, "name", "g").join(keyed(known, "match", "g2"), ["e", "v"])
+    return pairs.where(F.levenshtein("g", "g2") == 1).select("name", "match").distinct()
 
 
 def coverage(rows: DataFrame, group: str, has: Column) -> DataFrame:

@@ -57,8 +57,10 @@ def restrict(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 def with_inverses(t: DataFrame, inverses: DataFrame, symmetric: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """The triples and, for each pair (p, inverse) in either reading and each symmetric predicate, the swapped ones; as a set."""
     both = inverses.select("p", "inverse").union(inverses.select("inverse", "p")).union(t.sparkSession.createDataFrame([(x, x) for x in symmetric], "p string, inverse string"))
-    swapped = t.join(both.distinct(), "p").select(F.col("o").alias("s"), F.col("inverse").alias("p"), F.col("s").alias("o"))
-    return t.select("s", "p", "o").unionByName(swapped.where("s not like '\"%'")).distinct()
+    both = both.groupBy("p").agg(F.collect_set("inverse").alias("__to"))  # a row a predicate, so t is read once
+    own = F.array(F.struct("s", "p", "o"))
+    swapped = F.when(F.col("__to").isNotNull() & ~F.col("o").startswith('"'), F.transform("__to", lambda x: F.struct(F.col("o").alias("s"), x.alias("p"), F.col("s").alias("o"))))
+    return t.join(both, "p", "left").select(F.explode(F.concat(own, F.coalesce(swapped, F.slice(own, 1, 0)))).alias("x")).select("x.s", "x.p", "x.o").distinct()
 
 
 def inferred_types(t: DataFrame, axioms: DataFrame, kind: str) -> DataFrame:
@@ -72,11 +74,6 @@ def chain(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.select("s", F.col("o").alias("__m")).join(second.select(F.col("s").alias("__m"), "o"), "__m").select("s", "o").distinct()
 
 
-def undirected(edges: DataFrame) -> DataFrame:
-    """(a, b) in both directions, each once."""
-    return edges.select(F.col("s").alias("a"), F.col("o").alias("b")).union(edges.select("o", "s")).distinct()
-
-
 def neighbourhood(edges: DataFrame, centre, hops: int = 2) -> tuple[DataFrame, DataFrame]:
     """The nodes (node, hop) within so many hops of the centre, either direction, and the edges between them."""
     found = last = edges.sparkSession.createDataFrame([(centre,)], f"node {dict(edges.dtypes)['s']}").withColumn("hop", F.lit(0))
@@ -99,16 +96,19 @@ def relations(t: DataFrame, centre: Column | str) -> DataFrame:
     return best.select("neighbour", "x.direction", "x.p")
 
 
+def _ends(t: DataFrame) -> DataFrame:
+    return t.select(F.explode(F.when(F.col("s") == F.col("o"), F.array("s")).otherwise(F.array("s", "o"))).alias("node"))
+
+
 def degree(t: DataFrame) -> DataFrame:
     """(node, degree): triples that a node is in; a self-loop counts once."""
-    ends = t.select(F.explode(F.when(F.col("s") == F.col("o"), F.array("s")).otherwise(F.array("s", "o"))).alias("node"))
-    return ends.groupBy("node").agg(F.count("*").alias("degree"))
+    return _ends(t).groupBy("node").agg(F.count("*").alias("degree"))
 
 
 def best_connected(t: DataFrame, centre: str, most: int = 32) -> DataFrame:
-    """The centre's neighbours of the highest degree."""
-    near = relations(t, centre).select(F.col("neighbour").alias("node"))
-    return degree(t).join(near, "node", "left_semi").orderBy(F.desc("degree"), "node").limit(most)
+    """The centre's neighbours of the highest degree; only they are counted."""
+    near = materialise(relations(t, centre).select(F.col("neighbour").alias("node")), "near")
+    return _ends(t).join(near, "node", "left_semi").groupBy("node").agg(F.count("*").alias("degree")).orderBy(F.desc("degree"), "node").limit(most)
 
 
 def find(names: DataFrame, query: str, most: int = 10) -> DataFrame:

@@ -119,7 +119,7 @@ def inverse_edges(spark, d):
 @query(f"""WITH e AS ({V.EDGES_SQL}), u AS (SELECT s AS a, o AS b FROM e UNION SELECT o, s FROM e), h1 AS (SELECT b FROM u WHERE a = 'c1' UNION SELECT 'c1'),
     h2 AS (SELECT u.b FROM u JOIN h1 ON u.a = h1.b UNION SELECT b FROM h1) SELECT s, p, o FROM e WHERE s IN (SELECT b FROM h2) AND o IN (SELECT b FROM h2)""")
 def neighborhood_2hop(spark, d):
-    return graph.neighbourhood(V.edges(spark, d), "c1")[1]
+    return graph.neighbourhood(V.stored_edges(spark, d), "c1")[1]
 
 
 @query(f"""WITH e AS ({V.EDGES_SQL}), r AS (SELECT o AS neighbour, 'out' AS direction, p FROM e WHERE s = 'n3' UNION ALL SELECT s, 'in', p FROM e WHERE o = 'n3' AND s <> 'n3')
@@ -136,7 +136,7 @@ def degrees(spark, d):
 @query(f"""WITH e AS ({V.EDGES_SQL}), g AS (SELECT node, count(*) AS degree FROM (SELECT s AS node FROM e UNION ALL SELECT o FROM e WHERE s <> o) GROUP BY 1)
     SELECT node, degree FROM g WHERE node IN (SELECT o FROM e WHERE s = 'n3' UNION SELECT s FROM e WHERE o = 'n3') ORDER BY degree DESC, node LIMIT 32""")
 def best_connected(spark, d):
-    return graph.best_connected(V.edges(spark, d), "n3")
+    return graph.best_connected(V.stored_edges(spark, d), "n3")
 
 
 NAMES = "SELECT p_partkey AS id, p_name AS name, count(DISTINCT l_suppkey) AS weight FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY 1, 2"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from grafloom.functions import terms
 from grafloom.operators import triples as T
+from grafloom.scratch import materialise
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,11 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def stored_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`edges`, written once: for queries that read them several times. A file holds one predicate."""
+    return materialise(edges(spark, sf_dir), "edges")
+
+
 #: The same as SQL.
 EDGES_SQL = """
     SELECT DISTINCT 's' || l_suppkey AS s, 'hasCompound' AS p, 'p' || l_partkey AS o FROM lineitem

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grafloom.functions import terms
@@ -19,19 +19,20 @@ def write_report(df: DataFrame, path: str, about: Sequence[str] = (), sep: str =
 
 
 def shard_lines(df: DataFrame, key: str, value: Column) -> DataFrame:
-    """(shard, value): for each shard of the key one JSON object from keys to values, in order of the keys.
+    """(shard, value): for each shard of the key the lines of one JSON object from keys to values, a key a line, in order of the keys.
 
-    A shard's object holds an entry a key; long lists must be capped before (evidence.capped_lists).
+    No line holds more than an entry; long lists must be capped before (evidence.capped_lists).
     """
     entry = df.select(terms.djb2_shard(F.col(key)).cast("int").alias("shard"), F.col(key).alias("k"), F.to_json(F.struct(value.alias("v"))).alias("j"))
     entry = entry.withColumn("j", F.concat(F.to_json(F.array("k")).substr(F.lit(2), F.length(F.to_json(F.array("k"))) - 2), F.lit(":"), F.regexp_extract("j", r'(?s)^\{"v":(.*)\}$', 1)))
-    g = entry.groupBy("shard").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "j"))), lambda x: x["j"]), ",").alias("body"))
-    return g.select("shard", F.concat(F.lit("{"), "body", F.lit("}")).alias("value"))
+    order = Window.partitionBy("shard").orderBy("k")
+    first, last = F.lag("k").over(order).isNull(), F.lead("k").over(order).isNull()
+    return entry.select("shard", F.concat(F.when(first, "{").otherwise(","), "j", F.when(last, "}").otherwise("")).alias("value"))
 
 
 def write_shards(df: DataFrame, path: str, key: str, value: Column) -> None:
-    """Folders shard=N, a JSON object each."""
-    shard_lines(df, key, value).repartition("shard").write.mode("overwrite").partitionBy("shard").text(path)
+    """Folders shard=N, a file with a JSON object each. Keys must not be null or repeat."""
+    shard_lines(df, key, value).write.mode("overwrite").partitionBy("shard").text(path)
 
 
 def write_index(df: DataFrame, path: str, *order) -> None:
