@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +56,37 @@ def maccs(bits: int = 167):
     return _by_smiles(lambda mol, _c, _d, k, _r: k.GenMACCSKeys(mol).ToBitString()[167 - bits :], T.StringType())
 
 
+# The deprecated classes by what a structure must have.
+CLASS_RULES = {
+    "Polyphenol": "rings >= 2 and hydroxyls >= 2",
+    "Carotenoid": "carbons >= 30 and double_bonds >= 5",
+    "Phytosterol": "rings >= 4 and hydroxyls >= 1",
+    "Saponin": "carbons >= 40 and oxygens >= 5",
+    "Polysaccharide": "mw > 500 and oxygens > 10",
+    "DietaryFiber": "carbons > 20 and oxygens > 15",
+    "Isoprenoid": "contains(smiles, 'C=C') and carbons % 5 = 0",
+}
+
+
+def heuristic_classes() -> Column:
+    """The deprecated classes of a row (smiles, mw, rings, hydroxyls, carbons, oxygens, double_bonds); Unknown where none holds or the structure is unreadable."""
+    found = F.array_compact(F.array(*[F.when(F.expr(rule), F.lit(name)) for name, rule in CLASS_RULES.items()]))
+    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("Unknown")))
+
+
+def class_features(df: DataFrame, smiles: str) -> DataFrame:
+    """df with the columns that heuristic_classes asks for; null for unreadable structures."""
+    counts = T.StructType([T.StructField("mw", T.DoubleType()), *(T.StructField(n, T.IntegerType()) for n in ("rings", "hydroxyls", "carbons", "oxygens", "double_bonds"))])
+
+    def make(mol, chem, descriptors_, *_):
+        symbols = [a.GetSymbol() for a in mol.GetAtoms()]
+        matches = lambda pattern: len(mol.GetSubstructMatches(chem.MolFromSmarts(pattern)))
+        return {"mw": descriptors_.MolWt(mol), "rings": descriptors_.RingCount(mol), "hydroxyls": matches("[OH]"), "carbons": symbols.count("C"), "oxygens": symbols.count("O"), "double_bonds": matches("C=C")}
+
+    one = _by_smiles(lambda *a: str(make(*a)).replace("'", '"'), T.StringType())
+    return df.withColumn("__f", F.from_json(one(F.col(smiles)), counts)).select("*", "__f.*").drop("__f")
+
+
 # Descriptors by name, with the type of their value.
 DESCRIPTORS = {
     "mw": "double", "exact_mw": "double", "logp": "double", "tpsa": "double", "qed": "double", "fraction_csp3": "double",

@@ -154,6 +154,49 @@ def decide(*cases: tuple[str, Column], otherwise: str) -> Column:
     return out
 
 
+# What makes a label doubtful, and what makes it junk where nothing else is known.
+DOUBTFUL = r"(?i)strain|engineered|unidentified|unknown|\[|\+"
+JUNK_LABEL = r"(?i)\bunknown\b|\bsp\.\s*[A-Z0-9]|strain|\[|\d{3,}"
+
+
+def plant_status(rows: DataFrame, names: DataFrame, genera: DataFrame, junk: DataFrame, classes: DataFrame) -> DataFrame:
+    """rows (node, label, is_plant) with `keep` and `status`, or why a node goes.
+
+    In order: a known plant's binomial (names: name), a known plant's genus (genera: genus) unless tagged as junk (junk: node),
+    the lineage's verdict `is_plant`, a junk name, what the node was classified as (classes: node, status), else unverified.
+    """
+    two = terms.binomial(F.col("label"))
+    flag = lambda df, key, name: df.select(F.col(key).alias(f"__{name}")).distinct()
+    x = rows.withColumn("__two", two).withColumn("__first", F.split("__two", " ")[0])
+    x = x.join(flag(names, "name", "n"), F.col("__two") == F.col("__n"), "left").join(flag(genera, "genus", "g"), F.col("__first") == F.col("__g"), "left")
+    x = x.join(flag(junk, "node", "j"), F.col("node") == F.col("__j"), "left")
+    x = x.join(classes.groupBy(F.col("node").alias("__c")).agg(F.max("status").alias("__status")), F.col("node") == F.col("__c"), "left")
+    doubtful, is_junk = F.col("label").rlike(DOUBTFUL), F.col("__j").isNotNull()
+    status = decide(
+        ("ncbi_plant_name", F.col("__n").isNotNull() & (F.col("__two") != "") & ~doubtful),
+        ("ncbi_plant_genus", F.col("__g").isNotNull() & (F.col("__two") != "") & ~is_junk & ~doubtful),
+        ("ncbi_viridiplantae", F.col("is_plant")),
+        ("ncbi_lineage_not_viridiplantae", ~F.col("is_plant")),
+        ("junk_name", doubtful | is_junk | F.col("label").rlike(JUNK_LABEL)),
+        ("classification_nonplant", F.col("__status") == "nonplant"),
+        ("ncbi_viridiplantae_by_name", F.col("__status") == "plant"),
+        otherwise="unverified",
+    )
+    gone = F.col("status").isin("ncbi_lineage_not_viridiplantae", "junk_name", "classification_nonplant")
+    return x.select(*rows.columns, status.alias("status")).withColumn("keep", ~gone)
+
+
+# Ranks of a species or below, and kinds of matches that are trusted.
+SPECIES_RANKS = ("SPECIES", "SUBSPECIES", "VARIETY", "FORM", "INFRASPECIFIC_NAME", "INFRASUBSPECIFIC_NAME")
+MATCH_TYPES = ("EXACT", "FUZZY")
+
+
+def match_level(rank: Column, match: Column, key: Column) -> Column:
+    """What a taxonomy's match is worth: species, rejected_coarse (a key, but of a higher rank or kind) or unmatched."""
+    good = F.upper(rank).isin(*SPECIES_RANKS) & F.upper(match).isin(*MATCH_TYPES)
+    return F.when(F.coalesce(good, F.lit(False)), "species").when(key.isNotNull(), "rejected_coarse").otherwise("unmatched")
+
+
 # Markers anywhere in a name; words for parts of plants that head a drug's name; words for animals, for strains; and the reasons given.
 NON_PLANT_MARKERS = ("unknown", "unclassified", "unidentified", "fungus", "fungal", "fungi", "yeast", "mushroom")
 PART_NAMES = tuple(

@@ -39,6 +39,16 @@ def lineage(edges: DataFrame, nodes: DataFrame, ranks: DataFrame, most_depth: in
     return out.select("node", F.when(F.col("f").isNull() | (F.col("g") <= F.col("f")), F.col("genus")).alias("genus"), F.when(F.col("f").isNotNull(), F.col("family")).alias("family"))
 
 
+def kingdom(edges: DataFrame, nodes: DataFrame, ranks: DataFrame, most_depth: int = 100) -> DataFrame:
+    """(node, kingdom): the name of the nearest node, itself included, of rank kingdom, else of superkingdom, else 'unknown'; ranks is (node, rank, name), a missing name gives taxid:node."""
+    up = closure(edges, nodes, most_depth).unionByName(nodes.select(F.col("node").alias("origin"), "node", F.lit(0).alias("depth")))
+    # Ranks that count as kingdom and as superkingdom.
+    level = F.when(F.col("rank") == "kingdom", 0).when(F.col("rank").isin("superkingdom", "domain", "realm", "acellular root", "cellular root"), 1)
+    ranked = up.join(ranks.select("node", "rank", "name"), "node").withColumn("level", level).where("level is not null")
+    best = ranked.groupBy("origin").agg(F.min_by(F.coalesce("name", F.concat(F.lit("taxid:"), F.col("node").cast("string"))), F.struct("level", "depth")).alias("kingdom"))
+    return nodes.select("node").distinct().join(best, F.col("node") == F.col("origin"), "left").select("node", F.coalesce("kingdom", F.lit("unknown")).alias("kingdom"))
+
+
 def has_ancestor(edges: DataFrame, nodes: DataFrame, ancestor) -> DataFrame:
     """(node, verdict): true if the ancestor is the node or above it; null if the node isn't in the tree. Expands once, down from the ancestor."""
     spark = edges.sparkSession
@@ -118,6 +128,20 @@ def find(names: DataFrame, query: str, most: int = 10) -> DataFrame:
     return names.withColumn("rank", rank).where("rank is not null").orderBy("rank", F.desc("weight"), "name", "id").limit(most)
 
 
+def suggest(names: DataFrame, curated: DataFrame, query: str, most: int = 10) -> DataFrame:
+    """(id, name, score) of names (id, name, nc) and curated entries (id, name, common) that contain the query.
+
+    0 is exact, 1 a prefix, 2 another place; curated entries come half a step earlier, may match by their common name, and
+    hide names that are equal but for case. Then the richest, then by name.
+    """
+    q = F.lit(query.lower())
+    rank = F.when(F.lower("name") == q, 0.0).when(F.lower("name").startswith(q), 1.0).otherwise(2.0)
+    chosen = curated.where(F.lower("name").contains(q) | F.lower("common").contains(q)).select("id", "name", (rank - 0.5).alias("score"), F.lit(1_000_000_000).cast("long").alias("nc"))
+    known = curated.select(F.lower("name").alias("k")).distinct()
+    others = names.where(F.lower("name").contains(q)).join(known, F.lower("name") == F.col("k"), "left_anti").select("id", "name", rank.alias("score"), F.coalesce("nc", F.lit(0)).cast("long").alias("nc"))
+    return chosen.unionByName(others).orderBy("score", F.desc("nc"), "name", "id").limit(most).select("id", "name", "score")
+
+
 def typeahead(index: DataFrame, selected: DataFrame, query: str, most: int = 8) -> DataFrame:
     """Rows of index (id, name, weight) not selected yet whose name contains the query, in index order."""
     return index.join(selected.select("id"), "id", "left_anti").where(F.lower("name").contains(query.lower())).orderBy(F.desc("weight"), "name", "id").limit(most)

@@ -404,3 +404,79 @@ def release_checks(spark, d):
     groups = frame(spark, "class string, grp string, sub string", (IRI("Plant"), "plant", None), (IRI("Chem"), "chem", None))
     ranges = frame(spark, "p string, dt string", (mass, f"{xsd}double"))
     return audit.release_report(t, expected, axioms, types, groups, ranges)
+
+
+# ---- decisions, structures, Turtle ----
+
+
+@case("node VARCHAR, status VARCHAR, keep BOOLEAN", ("a", "ncbi_plant_name", True), ("b", "ncbi_plant_genus", True), ("c", "ncbi_viridiplantae", True), ("d", "ncbi_lineage_not_viridiplantae", False), ("e", "junk_name", False), ("f", "classification_nonplant", False), ("g", "ncbi_viridiplantae_by_name", True), ("h", "unverified", True), ("i", "junk_name", False), ("j", "ncbi_viridiplantae", True))
+def plant_statuses(spark, d):
+    """What a node's label, lineage and class make of it, in order."""
+    rows = frame(spark, "node string, label string, is_plant boolean", ("a", "Panax ginseng", False), ("b", "Panax novus", False), ("c", "Odd thing", True), ("d", "Homo sapiens", False), ("e", "Aloe sp. X1", None), ("f", "Agaric one", None), ("g", "Herb one", None), ("h", "Thing one", None), ("i", "Panax tagged", None), ("j", "Panax engineered", True))
+    return evidence.plant_status(rows, frame(spark, "name string", "panax ginseng"), frame(spark, "genus string", "panax"), frame(spark, "node string", "i"), frame(spark, "node string, status string", ("f", "nonplant"), ("g", "plant"))).select("node", "status", "keep")
+
+
+@case("id BIGINT, level VARCHAR", (1, "species"), (2, "rejected_coarse"), (3, "rejected_coarse"), (4, "unmatched"))
+def match_levels(spark, d):
+    """Matches of a taxonomy that count for a species."""
+    rows = frame(spark, "id long, rank string, kind string, key long", (1, "variety", "Fuzzy", 9), (2, "GENUS", "EXACT", 9), (3, "SPECIES", "HIGHERRANK", 9), (4, None, "NONE", None))
+    return rows.select("id", evidence.match_level(F.col("rank"), F.col("kind"), F.col("key")).alias("level"))
+
+
+@case("node VARCHAR, kingdom VARCHAR", ("panax", "Viridiplantae"), ("virus", "Riboviria"), ("none", "unknown"), ("bare", "taxid:k2"))
+def kingdoms(spark, d):
+    """The nearest kingdom, else superkingdom, else unknown."""
+    edges = frame(spark, "child string, parent string", ("panax", "k"), ("k", "e"), ("virus", "v"), ("bare", "k2"), ("k2", "e"))
+    ranks = frame(spark, "node string, rank string, name string", ("k", "kingdom", "Viridiplantae"), ("e", "superkingdom", "Eukaryota"), ("v", "superkingdom", "Riboviria"), ("k2", "kingdom", None))
+    return graph.kingdom(edges, frame(spark, "node string", "panax", "virus", "none", "bare"), ranks)
+
+
+@case("id VARCHAR, name VARCHAR, score DOUBLE", ("c1", "Ginseng", -0.5), ("c2", "Panax", 1.5), ("p2", "ginsengoside plant", 1.0), ("p3", "red ginseng", 2.0), ("p4", "wild ginseng", 2.0))
+def suggestions(spark, d):
+    """Curated entries half a step ahead, equal names hidden, then the richest."""
+    names = frame(spark, "id string, name string, nc long", ("p1", "ginseng", 9), ("p2", "ginsengoside plant", 1), ("p3", "red ginseng", 7), ("p4", "wild ginseng", None), ("p5", "aloe", 3))
+    curated = frame(spark, "id string, name string, common string", ("c1", "Ginseng", ""), ("c2", "Panax", "true Ginseng"), ("c3", "Aloe", "aloe"))
+    return graph.suggest(names, curated, "ginseng")
+
+
+@case("id BIGINT, classes VARCHAR", (1, "Polyphenol|Phytosterol"), (2, "Carotenoid|Saponin|Isoprenoid"), (3, "Polysaccharide|DietaryFiber"), (4, "Unknown"), (5, "Unknown"))
+def heuristic_classes(spark, d):
+    """The deprecated classes of structures by counts of their parts (O3)."""
+    from grafloom.functions import chem
+
+    rows = frame(spark, "id long, smiles string, mw double, rings int, hydroxyls int, carbons int, oxygens int, double_bonds int", (1, "C1", 400.0, 4, 2, 27, 2, 0), (2, "CC=CC", 550.0, 2, 0, 40, 5, 9), (3, "OC", 501.0, 1, 9, 21, 16, 0), (4, "CC=C", 42.0, 0, 0, 3, 0, 1), (5, "broken", None, None, None, None, None, None))
+    return rows.select("id", F.array_join(chem.heuristic_classes(), "|").alias("classes"))
+
+
+@case("smiles VARCHAR, bits VARCHAR", ("CCO", "0101"), ("C", None))
+def fingerprints_by_smiles(spark, d):
+    """Fingerprints joined from a table by the structure's text."""
+    rows = formats.read_rows(spark, file(spark, "csv", "smiles,ecfp\nCCO,0101\nN,1111"), ",")
+    return frame(spark, "smiles string", "CCO", "C").join(rows, "smiles", "left").select("smiles", F.col("ecfp").alias("bits"))
+
+
+@case("s VARCHAR, p VARCHAR, o VARCHAR", (IRI("a"), TYPE, IRI("Plant")), (IRI("a"), LABEL, '"Aloe \\"v\\" . ; #"@en'), (IRI("a"), IRI("n"), f'"3"^^<{ingest.XSD}integer>'), (IRI("a"), IRI("n"), f'"2.5"^^<{ingest.XSD}decimal>'), (IRI("a"), IRI("has"), IRI("b.c")), (IRI("a"), IRI("ok"), f'"true"^^<{ingest.XSD}boolean>'), ("_:x", LABEL, '"two\\nlines"'), (IRI("l"), IRI("list"), "_:x"), ("_:x", f"<{rdfxml.RDF}first>", IRI("a")), ("_:x", f"<{rdfxml.RDF}rest>", f"<{rdfxml.RDF}nil>"), (IRI("l"), IRI("node"), "_:x"))
+def turtle_read(spark, d):
+    """Prefixes, lists of predicates and objects, nested nodes, collections, literals of all kinds."""
+    text = f"""@prefix x: <http://x#> . PREFIX rdfs: <{ingest.RDFS}>\n# note\nx:a a x:Plant ; rdfs:label "Aloe \\\\"v\\\\" . ; #"@en ; x:n 3, 2.5 ; x:has x:b.c; x:ok true; .\nx:l x:list (x:a); x:node [ rdfs:label '''two\nlines''' ]."""
+    from grafloom.sources import turtle
+
+    t = turtle.read(spark, file(spark, "ttl", text.replace('\\\\"', '\\"')))
+    return t.select(*[F.when(F.col(c).startswith("_:"), "_:x").otherwise(F.col(c)).alias(c) for c in T.SPO])
+
+
+@case("s VARCHAR, p VARCHAR, o VARCHAR", (IRI("a"), TYPE, IRI("Plant")), (IRI("a"), LABEL, '"say \\"x\\"\\n"@en'), (IRI("a/b"), "<http://y/p>", "_:n"))
+def turtle_round_trip(spark, d):
+    """Triples as Turtle with prefixes, read again."""
+    from grafloom.sources import turtle
+
+    path = scratch_path(spark, "ttl")
+    turtle.write(spo(spark, (IRI("a"), TYPE, IRI("Plant")), (IRI("a"), LABEL, '"say \\"x\\"\\n"@en'), (IRI("a/b"), "<http://y/p>", "_:n")), path, {"x": NS, "rdfs": ingest.RDFS})
+    return turtle.read(spark, path).withColumn("o", F.when(F.col("o").startswith("_:"), "_:n").otherwise(F.col("o")))
+
+
+@case("s VARCHAR, p VARCHAR, o VARCHAR", (IRI("a"), LABEL, '"Aloe"'), (IRI("a"), TYPE, IRI("Plant")), (IRI("a"), IRI("taxon"), '"34199"'), (IRI("b"), LABEL, '"aloin"'), (IRI("b"), TYPE, IRI("Chemical")), (IRI("a"), IRI("hasCompound"), IRI("b")))
+def graph_json(spark, d):
+    """A curated subset kept as nodes and edges."""
+    text = '{"nodes": {"a": {"label": "Aloe", "role": "Plant", "props": {"taxon": "34199"}}, "b": {"label": "aloin", "role": "Chemical"}}, "edges": [{"s": "a", "t": "b", "p": "hasCompound"}]}'
+    return formats.read_graph(spark, file(spark, "json", text), NS)

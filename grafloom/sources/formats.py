@@ -158,3 +158,16 @@ def read_json_array(spark: SparkSession, path: str, element: str) -> DataFrame:
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of a JSON Lines cache; lines that don't parse are left out."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+
+
+def read_graph(spark: SparkSession, path: str, ns: str = "") -> DataFrame:
+    """(s, p, o) of JSON files with nodes {id: {label, role, props}} and edges [{s, t, p}]: labels and properties as literals, roles as types."""
+    label, kind = "<http://www.w3.org/2000/01/rdf-schema#label>", "<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>"
+    shape = "nodes map<string,struct<label:string,role:string,props:map<string,string>>>, edges array<struct<s:string,t:string,p:string>>"
+    whole = spark.read.option("wholetext", True).text(path).select(F.from_json("value", shape).alias("x"))
+    name = lambda c: terms.iri(c, ns)
+    n = whole.select(F.explode("x.nodes").alias("id", "n"))
+    about = n.select(name(F.col("id")).alias("s"), F.explode(F.array(F.struct(F.lit(label).alias("p"), terms.nt_literal(F.col("n.label")).alias("o")), F.struct(F.lit(kind).alias("p"), name(F.col("n.role")).alias("o")))).alias("x")).select("s", "x.p", "x.o")
+    props = n.select("id", F.explode("n.props").alias("k", "v")).select(name(F.col("id")).alias("s"), name(F.col("k")).alias("p"), terms.nt_literal(F.col("v")).alias("o"))
+    links = whole.select(F.explode("x.edges").alias("e")).select(name(F.col("e.s")).alias("s"), name(F.col("e.p")).alias("p"), name(F.col("e.t")).alias("o"))
+    return about.unionByName(props).unionByName(links).where("o is not null")
