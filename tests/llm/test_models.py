@@ -142,3 +142,16 @@ def test_targets_out_of_reach(spark):
     assert abs(shares["a"] - 0.5) < 1e-9 and all(abs(r["r"] - 1 / 1.5) < 0.02 for r in judged.withColumn("r", rate).collect())
     with pytest.raises(ValueError, match="no rates found"):
         mixing.fit_rates(judged, ["a", "b"], {"a": 3, "b": 1}, budget=100, strict=True)
+
+
+def test_very_long_texts(spark):
+    """A text of two million words is read whole by language ID, mixing and quality rules: only its end says what it is."""
+    long = "lorem " * 2_000_000 + "### idiot " * 2_000_000
+    docs = spark.createDataFrame([(1, long), (2, "calm words")], "doc_id long, text string")
+    model = langid.fit([("la", *langid.ngram_counts("lorem lorem")), ("en", *langid.ngram_counts("idiot idiot the")), ("la", *langid.ngram_counts("lorem")), ("en", *langid.ngram_counts("the idiot"))] * 5)
+    found = {r["doc_id"]: r for r in langid.identify(docs, model).collect()}
+    buckets, counts = langid.ngram_counts(long)
+    assert found[1]["lang_pred"] == model.predict(long)[0] and counts.sum() == 3 * len(long) - 3
+    mixer = mixing.Classifier(["clean", "toxic"], [0.0, 0.0], {"idiot": [-3.0, 3.0]}, {})
+    got = {r["id"]: (r["n_tokens"], r["posterior"]) for r in mixing.posteriors(docs, mixer).collect()}
+    assert got == {1: (4_000_000, [1, 255]), 2: (2, [128, 128])}
