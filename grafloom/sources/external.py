@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,23 +88,41 @@ def first_existing(folders: Iterable[str], *names: str, required: bool = True) -
     return None
 
 
+def _target(path: str):
+    """The store and path of a URI, or of a plain path on the driver's disk."""
+    return fs.FileSystem.from_uri(path if "://" in path else str(Path(path).absolute()))
+
+
+def _copy_new(source, target: str) -> str:
+    """Copies an open source into `target` under another name first; a broken copy leaves nothing under its name."""
+    store, at = _target(target)
+    with store.open_output_stream(at + ".part") as out:
+        shutil.copyfileobj(source, out)
+    store.move(at + ".part", at)
+    return target
+
+
+def _there(target: str) -> bool:
+    store, at = _target(target)
+    return store.get_file_info(at).type != fs.FileType.NotFound
+
+
 def stage_file(url: str, target: str) -> str:
-    """Downloads into `target` unless it is there; a broken download leaves nothing."""
-    if not os.path.exists(target):
-        part = target + ".part"
-        with urllib.request.urlopen(url) as source, open(part, "wb") as out:  # noqa: S310
-            shutil.copyfileobj(source, out)
-        os.replace(part, target)
+    """Downloads into `target` unless it is there. On a cluster `target` is a URI in a store that all executors share."""
+    if not _there(target):
+        with urllib.request.urlopen(url) as source:  # noqa: S310
+            _copy_new(source, target)
     return target
 
 
 def unzip_member(archive: str, member: str, folder: str) -> str:
-    """One member of a ZIP archive, extracted unless it is there."""
-    target = Path(folder, Path(member).name)
-    if not target.exists():
-        with zipfile.ZipFile(archive) as z, z.open(member) as source, target.open("wb") as out:
-            shutil.copyfileobj(source, out)
-    return str(target)
+    """One member of a ZIP archive, extracted into the folder (a path, or a URI of a shared store) unless it is there."""
+    target = f"{folder.rstrip('/')}/{Path(member).name}"
+    if not _there(target):
+        store, at = _target(archive)
+        with store.open_input_file(at) as f, zipfile.ZipFile(f) as z, z.open(member) as source:
+            _copy_new(source, target)
+    return target
 
 
 def read_config(path: str) -> dict:

@@ -221,3 +221,12 @@ def test_chemistry_needs_its_package(spark):
     if __import__("importlib").util.find_spec("rdkit") is None:
         with pytest.raises(Exception, match="rdkit"):
             spark.createDataFrame([("C",)], "s string").select(chem.inchikey()("s")).collect()
+
+
+def test_turtle_that_is_not_read():
+    from grafloom.sources import turtle
+
+    for bad in ("x:a a x:B .", "<a> <b> <c>", '<a> <b> "c', "<a> <b> <c> ; <d> .", "@prefix x: <http://x#> x:a x:b x:c ."):
+        with pytest.raises(ValueError):
+            list(turtle.parse(bad))
+    assert list(turtle.parse("<a> <b> ( ) . [] <p> 1e3 .")) == [[("<a>", "<b>", f"<{rdfxml.RDF}nil>")], [("_:bg1", "<p>", '"1e3"^^<http://www.w3.org/2001/XMLSchema#double>')]]
