@@ -275,9 +275,12 @@ class Labeller:
         params = [*(d.p[k] for d in self.ways for k in ("x", "h", "b")), self.w, self.b]
         m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         for _ in range(epochs):
+            # pages of like length go together, in pools of several batches, so that little is padded
             order = rng.permutation(len(pages))
-            for at in range(0, len(order), batch):
-                group = [pages[i] for i in order[at : at + batch]]
+            pools = [sorted(order[a : a + 8 * batch], key=lambda i: len(pages[i][0])) for a in range(0, len(order), 8 * batch)]
+            groups = [pool[a : a + batch] for pool in pools for a in range(0, len(pool), batch)]
+            for at in rng.permutation(len(groups)):
+                group = [pages[i] for i in groups[at]]
                 p, (x, turned, mask, lengths, states, past_a, past_b) = self.forward([g[0] for g in group], keep=True)
                 y = np.zeros_like(p)
                 for j, g in enumerate(group):
