@@ -73,10 +73,13 @@ class Partition:
         self.keys, self.owner = keys[order], owner[order]
 
     def hits(self, h: np.ndarray) -> np.ndarray:
-        """Items one of whose sketch hashes is among the distinct hashes h."""
-        low, high = np.searchsorted(self.keys, h, "left"), np.searchsorted(self.keys, h, "right")
-        found = np.flatnonzero(high > low)
-        return np.unique(np.concatenate([self.owner[low[i] : high[i]] for i in found])) if len(found) else np.zeros(0, np.int32)
+        """Items one of whose sketch hashes is among the hashes h."""
+        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        found = np.unique(h[self.keys[at] == h])
+        if not len(found):
+            return np.zeros(0, np.int32)
+        low, high = np.searchsorted(self.keys, found, "left"), np.searchsorted(self.keys, found, "right")
+        return np.unique(np.concatenate([self.owner[i:j] for i, j in zip(low, high, strict=True)]))
 
 
 class Index:
@@ -115,9 +118,8 @@ class Index:
             if len(found) - p.width + 1 < p.least:
                 continue
             if p.width not in mine:
-                mine[p.width] = np.unique(hashes(found, p.width))
-            if len(mine[p.width]) >= p.least:
-                hits.update(p.hits(mine[p.width]).tolist())
+                mine[p.width] = hashes(found, p.width)
+            hits.update(p.hits(mine[p.width]).tolist())
         for i in sorted(hits):
             want = self._want(i)
             w = len(next(iter(want)))
