@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from grafloom.functions import terms
 from grafloom.operators import triples as T
+from grafloom.operators.graph import components
+from grafloom.scratch import materialise
 
 
 def best_label(labels: DataFrame) -> DataFrame:
@@ -76,6 +78,44 @@ def resolution_key(*keys: tuple[str, Column]) -> Column:
     return F.coalesce(*[F.when(terms.nullify(c).isNotNull(), F.concat(F.lit(kind + ":"), terms.nullify(c))) for kind, c in keys])
 
 
+def _hooked(k: DataFrame, *by: str) -> DataFrame:
+    """Edges (u, v) from each node of k to the smallest that shares its `by` columns: as many as rows, for groups of any size."""
+    least = k.groupBy(*by).agg(F.min("node").alias("v"))
+    return k.join(least, list(by)).where("node <> v").select(F.col("node").alias("u"), "v")
+
+
+def _classes(nodes: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """nodes with the column `name`: the smallest node of each one's component."""
+    found = components(links).select("node", F.col("root").alias(name))
+    return nodes.join(found, "node", "left").withColumn(name, F.coalesce(name, "node"))
+
+
+def resolve(keys: DataFrame, guards: DataFrame | None = None) -> DataFrame:
+    """(node, entity, guard, contested) for the nodes of `keys` (node, kind, key): nodes that share a key of one kind, directly or through others, are one entity, named by its smallest node.
+
+    `guards` (node, guard) are values that an entity may have one of, say its taxon. Where nodes that are linked have several,
+    they stay apart: nodes without a guard that are linked among themselves go with the one guard that they meet; if they
+    meet several they are an entity of their own, `contested`. The result doesn't depend on any order. Missing keys link nothing; a node
+    of none is an entity; of several guards of a node the smallest counts. A key that many nodes share makes one edge a node.
+    """
+    value = terms.nullify(F.col("key"))
+    nodes = keys.select("node").distinct()
+    k = keys.where(value.isNotNull()).select("node", F.concat("kind", F.lit(":"), value).alias("k")).distinct()
+    if guards is None:
+        return _classes(nodes, _hooked(k, "k"), "entity").select("node", "entity", F.lit(None).cast("string").alias("guard"), F.lit(False).alias("contested"))
+    own = guards.where("guard is not null").groupBy("node").agg(F.min("guard").alias("guard"))
+    k, nodes = materialise(k.join(own, "node", "left"), "keys"), materialise(nodes.join(own, "node", "left"), "nodes")
+    free = k.where("guard is null")
+    block = materialise(_classes(nodes.where("guard is null").select("node"), _hooked(free, "k"), "block"), "blocks")
+    # the free nodes of a key are all of one block
+    of_key = free.join(block, "node").groupBy("k").agg(F.min("block").alias("block"))
+    met = k.where("guard is not null").select("k", "guard").distinct().join(of_key, "k").groupBy("block").agg(F.min("guard").alias("least"), F.max("guard").alias("most"))
+    joins = block.join(met, "block", "left").select("node", F.when(F.col("least") == F.col("most"), F.col("least")).alias("joined"), F.coalesce(F.col("least") != F.col("most"), F.lit(False)).alias("contested"))
+    nodes = materialise(nodes.join(joins, "node", "left").select("node", F.coalesce("guard", "joined").alias("guard"), F.coalesce("contested", F.lit(False)).alias("contested")), "guarded")
+    final = k.select("node", "k").join(nodes, "node").withColumn("side", F.when(F.col("guard").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("guard").cast("string"))))
+    return _classes(nodes, _hooked(final, "k", "side"), "entity").select("node", "entity", "guard", "contested")
+
+
 def mint(rows: DataFrame, key: Column, known: DataFrame, prefix: str) -> DataFrame:
     """(key, node, is_new) for each distinct non-missing key: the known node (key, node), or a new one prefix + safe key."""
     keys = rows.select(terms.nullify(key).alias("key")).where("key is not null").distinct()

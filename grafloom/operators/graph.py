@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from grafloom.scratch import materialise
+from grafloom.operators import hierarchy
+from grafloom.scratch import discard, materialise
 
 
 def closure(edges: DataFrame, start: DataFrame, most_depth: int = 100) -> DataFrame:
@@ -30,23 +31,58 @@ def closure(edges: DataFrame, start: DataFrame, most_depth: int = 100) -> DataFr
     return found.where("depth > 0")
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) for the nodes of the edges (u, v), which count in both directions: root is the smallest node that can be reached, roots themselves are left out.
+
+    Two alternating steps hook nodes to the smallest they know, the first those above a node, the second those below; each sums by task
+    before its exchange and is written out, until the edges stay the same. Rounds grow with the logarithm of the longest path.
+    """
+
+    def state(e: DataFrame) -> tuple:
+        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+
+    e = materialise(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    was, now = None, state(e)
+    while now[0] and now != was:
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        above = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = above.groupBy("u").agg(F.min("v").alias("m"))
+        below = above.join(least, "u").select(F.inline(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))))
+        old, e = e, materialise(below.where("u <> v").distinct(), "links")
+        discard(old)
+        was, now = now, state(e)
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _nearest(edges: DataFrame, nodes: DataFrame, marks: DataFrame, names: list[str], most_depth: int) -> DataFrame:
+    """hierarchy.nearest for the nodes; where a node has several parents, by all its ancestors."""
+    if hierarchy.is_forest(edges):
+        found = hierarchy.nearest(edges, marks, names, most_depth)
+    else:
+        up = closure(edges, nodes, most_depth).unionByName(nodes.select(F.col("node").alias("origin"), "node", F.lit(0).alias("depth")))
+        at = up.join(marks, "node")
+        best = [F.min(F.when(F.col(n), F.struct("depth", "node"))).alias(n) for n in names]
+        found = at.groupBy(F.col("origin").alias("node")).agg(*best).select("node", *[c for n in names for c in (F.col(f"{n}.node").alias(n), F.col(f"{n}.depth").alias(f"{n}_depth"))])
+    return nodes.select("node").distinct().join(found, "node", "left")
+
+
 def lineage(edges: DataFrame, nodes: DataFrame, ranks: DataFrame, most_depth: int = 60) -> DataFrame:
     """(node, genus, family) for each node: the nearest ancestors, itself included, of these ranks (node, rank); a genus beyond the family doesn't count."""
-    up = closure(edges, nodes, most_depth).unionByName(nodes.select(F.col("node").alias("origin"), "node", F.lit(0).alias("depth")))
-    ranked = up.join(ranks.select("node", "rank"), "node")
-    best = ranked.groupBy("origin").agg(F.min_by("node", F.when(F.col("rank") == "genus", F.col("depth"))).alias("genus"), F.min(F.when(F.col("rank") == "genus", F.col("depth"))).alias("g"), F.min_by("node", F.when(F.col("rank") == "family", F.col("depth"))).alias("family"), F.min(F.when(F.col("rank") == "family", F.col("depth"))).alias("f"))
-    out = nodes.select("node").distinct().join(best, F.col("node") == F.col("origin"), "left")
-    return out.select("node", F.when(F.col("f").isNull() | (F.col("g") <= F.col("f")), F.col("genus")).alias("genus"), F.when(F.col("f").isNotNull(), F.col("family")).alias("family"))
+    names = ["genus", "family"]
+    near = _nearest(edges, nodes, ranks.select("node", *[(F.col("rank") == n).alias(n) for n in names]), names, most_depth)
+    return near.select("node", F.when(F.col("family").isNull() | (F.col("genus_depth") <= F.col("family_depth")), F.col("genus")).alias("genus"), "family")
 
 
 def kingdom(edges: DataFrame, nodes: DataFrame, ranks: DataFrame, most_depth: int = 100) -> DataFrame:
     """(node, kingdom): the name of the nearest node, itself included, of rank kingdom, else of superkingdom, else 'unknown'; ranks is (node, rank, name), a missing name gives taxid:node."""
-    up = closure(edges, nodes, most_depth).unionByName(nodes.select(F.col("node").alias("origin"), "node", F.lit(0).alias("depth")))
     # Ranks that count as kingdom and as superkingdom.
-    level = F.when(F.col("rank") == "kingdom", 0).when(F.col("rank").isin("superkingdom", "domain", "realm", "acellular root", "cellular root"), 1)
-    ranked = up.join(ranks.select("node", "rank", "name"), "node").withColumn("level", level).where("level is not null")
-    best = ranked.groupBy("origin").agg(F.min_by(F.coalesce("name", F.concat(F.lit("taxid:"), F.col("node").cast("string"))), F.struct("level", "depth")).alias("kingdom"))
-    return nodes.select("node").distinct().join(best, F.col("node") == F.col("origin"), "left").select("node", F.coalesce("kingdom", F.lit("unknown")).alias("kingdom"))
+    level = {"low": F.col("rank") == "kingdom", "high": F.col("rank").isin("superkingdom", "domain", "realm", "acellular root", "cellular root")}
+    near = _nearest(edges, nodes, ranks.select("node", *[c.alias(n) for n, c in level.items()]), list(level), most_depth)
+    names = ranks.groupBy(F.col("node").alias("at")).agg(F.min("name").alias("name"))
+    near = near.select("node", F.coalesce("low", "high").alias("at")).join(names, "at", "left")
+    name = F.when(F.col("at").isNotNull(), F.coalesce("name", F.concat(F.lit("taxid:"), F.col("at").cast("string")))).otherwise("unknown")
+    return near.select("node", name.alias("kingdom"))
 
 
 def has_ancestor(edges: DataFrame, nodes: DataFrame, ancestor) -> DataFrame:

@@ -66,7 +66,7 @@ def _shards(spark, d):
     path = scratch_path(spark, "shards")
     rows = V.table(spark, d, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("key")).agg(F.array_sort(F.collect_set("l_partkey")).alias("items"))
     sinks.write_shards(rows, path, "key", F.col("items"))
-    return formats.read_json_map(spark, path, "array<long>").select("key", F.explode("value").alias("item"))
+    return formats.read_shards(spark, path, "array<long>").select("key", F.explode("value").alias("item"))
 
 
 @query("SELECT DISTINCT l_suppkey::VARCHAR AS key, l_partkey AS item FROM lineitem")
@@ -81,7 +81,7 @@ def evidence_shards(spark, d):
     path = scratch_path(spark, "evidence")
     rows = evidence.capped_lists(V.table(spark, d, "events").select(F.col("user_id").cast("string").alias("key"), "event_id"), "key", [F.col("event_id")], F.col("event_id"), 3)
     sinks.write_shards(rows, path, "key", F.struct("items", "n"))
-    return formats.read_json_map(spark, path, "struct<items:array<long>,n:long>").select("key", F.array_join(F.transform("value.items", lambda x: x.cast("string")), ",").alias("items"), "value.n")
+    return formats.read_shards(spark, path, "struct<items:array<long>,n:long>").select("key", F.array_join(F.transform("value.items", lambda x: x.cast("string")), ",").alias("items"), "value.n")
 
 
 @query("SELECT event_id, event_type FROM events WHERE event_id % 10 <> 0")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grafloom.functions import terms
@@ -145,14 +145,33 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
 # ---- JSON ----
 
 
+def _whole_json(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """(x): each file as one JSON value of the type; a file that doesn't parse raises."""
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    return files.select(_parsed(F.from_json("value", kind), F.col("file")).alias("x"))
+
+
+def _parsed(x: Column, where: Column) -> Column:
+    return F.when(x.isNull(), F.raise_error(F.concat(F.lit("not the JSON that was expected: "), where))).otherwise(x)
+
+
 def read_json_map(spark: SparkSession, path: str, value: str = "string") -> DataFrame:
-    """(key, value) of files that each hold one JSON object; `value` is the type of its values."""
-    return spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json("value", f"map<string,{value}>")).alias("key", "value"))
+    """(key, value) of files that each hold one JSON object, laid out in any way; `value` is the type of its values. A file is read by one task."""
+    return _whole_json(spark, path, f"map<string,{value}>").select(F.explode("x").alias("key", "value"))
 
 
 def read_json_array(spark: SparkSession, path: str, element: str) -> DataFrame:
-    """Rows of files that each hold one JSON array of objects of the given struct type."""
-    return spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json("value", f"array<{element}>")).alias("x")).select("x.*")
+    """Rows of files that each hold one JSON array of objects of the given struct type, laid out in any way."""
+    return _whole_json(spark, path, f"array<{element}>").select(F.explode("x").alias("x")).select("x.*")
+
+
+def read_shards(spark: SparkSession, path: str, value: str = "string") -> DataFrame:
+    """(key, value) of the JSON objects that `sinks.write_shards` writes: an entry is a line, so files of any size are split. A line that isn't an entry raises."""
+    lines = spark.read.text(path).where("value <> '' and value <> '{}'").select("value", F.col("_metadata.file_path").alias("file"))
+    entry = F.concat(F.lit("{"), F.substr("value", F.lit(2)))  # the line begins with { or a comma, and the last one ends with }
+    kind = f"map<string,{value}>"
+    found = F.coalesce(F.from_json(F.concat(entry, F.lit("}")), kind), F.from_json(entry, kind))
+    return lines.select(F.explode(_parsed(found, F.concat_ws(": ", "file", "value"))).alias("key", "value"))
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -164,7 +183,7 @@ def read_graph(spark: SparkSession, path: str, ns: str = "") -> DataFrame:
     """(s, p, o) of JSON files with nodes {id: {label, role, props}} and edges [{s, t, p}]: labels and properties as literals, roles as types."""
     label, kind = "<http://www.w3.org/2000/01/rdf-schema#label>", "<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>"
     shape = "nodes map<string,struct<label:string,role:string,props:map<string,string>>>, edges array<struct<s:string,t:string,p:string>>"
-    whole = spark.read.option("wholetext", True).text(path).select(F.from_json("value", shape).alias("x"))
+    whole = _whole_json(spark, path, shape)
     name = lambda c: terms.iri(c, ns)
     n = whole.select(F.explode("x.nodes").alias("id", "n"))
     about = n.select(name(F.col("id")).alias("s"), F.explode(F.array(F.struct(F.lit(label).alias("p"), terms.nt_literal(F.col("n.label")).alias("o")), F.struct(F.lit(kind).alias("p"), name(F.col("n.role")).alias("o")))).alias("x")).select("s", "x.p", "x.o")

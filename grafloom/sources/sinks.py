@@ -18,21 +18,29 @@ def write_report(df: DataFrame, path: str, about: Sequence[str] = (), sep: str =
         df.sparkSession.createDataFrame([(f"# {x}",) for x in about], "value string").coalesce(1).write.mode("overwrite").text(path + ".about")
 
 
-def shard_lines(df: DataFrame, key: str, value: Column) -> DataFrame:
-    """(shard, value): for each shard of the key the lines of one JSON object from keys to values, a key a line, in order of the keys.
+#: Entries of a JSON object in one file, about; shards of more have several files.
+MOST_ENTRIES = 1_000_000
 
-    No line holds more than an entry; long lists must be capped before (evidence.capped_lists).
+
+def shard_lines(df: DataFrame, key: str, value: Column, most_entries: int = MOST_ENTRIES) -> DataFrame:
+    """(shard, part, value): for each part of a shard of the key the lines of one JSON object from keys to values, a key a line, in order of the keys.
+
+    A shard has one part for each most_entries keys, dealt by the keys' hashes, so that no task sorts a whole shard. No line holds more than an
+    entry; long lists must be capped before (evidence.capped_lists).
     """
     entry = df.select(terms.djb2_shard(F.col(key)).cast("int").alias("shard"), F.col(key).alias("k"), F.to_json(F.struct(value.alias("v"))).alias("j"))
     entry = entry.withColumn("j", F.concat(F.to_json(F.array("k")).substr(F.lit(2), F.length(F.to_json(F.array("k"))) - 2), F.lit(":"), F.regexp_extract("j", r'(?s)^\{"v":(.*)\}$', 1)))
-    order = Window.partitionBy("shard").orderBy("k")
+    # a row for each of the 256 shards
+    parts = df.groupBy(terms.djb2_shard(F.col(key)).cast("int").alias("shard")).agg(F.ceil(F.count("*") / most_entries).cast("int").alias("parts"))
+    entry = entry.join(F.broadcast(parts), "shard").withColumn("part", F.pmod(F.xxhash64("k"), "parts").cast("int"))
+    order = Window.partitionBy("shard", "part").orderBy("k")
     first, last = F.lag("k").over(order).isNull(), F.lead("k").over(order).isNull()
-    return entry.select("shard", F.concat(F.when(first, "{").otherwise(","), "j", F.when(last, "}").otherwise("")).alias("value"))
+    return entry.select("shard", "part", F.concat(F.when(first, "{").otherwise(","), "j", F.when(last, "}").otherwise("")).alias("value"))
 
 
-def write_shards(df: DataFrame, path: str, key: str, value: Column) -> None:
-    """Folders shard=N, a file with a JSON object each. Keys must not be null or repeat."""
-    shard_lines(df, key, value).write.mode("overwrite").partitionBy("shard").text(path)
+def write_shards(df: DataFrame, path: str, key: str, value: Column, most_entries: int = MOST_ENTRIES) -> None:
+    """Folders shard=N/part=M, a file with a JSON object each, for `formats.read_shards`. Keys must not be null or repeat."""
+    shard_lines(df, key, value, most_entries).write.mode("overwrite").partitionBy("shard", "part").text(path)
 
 
 def write_index(df: DataFrame, path: str, *order) -> None:

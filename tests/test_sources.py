@@ -122,10 +122,33 @@ def test_json(spark, tmp_path):
     assert {r["key"]: r["value"] for r in formats.read_json_map(spark, a, "array<string>").collect()} == {"p1": ["c1", "c2"], "p2": []}
     b = put(tmp_path / "i.json", '[{"id": "x", "nc": 2}]')
     assert [tuple(r) for r in formats.read_json_array(spark, b, "struct<id:string,nc:long>").collect()] == [("x", 2)]
+    indented = put(tmp_path / "n.json", '{\n  "p1": ["c1",\n "c2"],\n  "p2": []\n}\n')
+    assert {r["key"]: r["value"] for r in formats.read_json_map(spark, indented, "array<string>").collect()} == {"p1": ["c1", "c2"], "p2": []}
+    lines = put(tmp_path / "j.json", '[\n  {"id": "x", "nc": 2},\n  {"id": "y"}\n]')
+    assert sorted(tuple(r) for r in formats.read_json_array(spark, lines, "struct<id:string,nc:long>").collect()) == [("x", 2), ("y", None)]
+    g = put(tmp_path / "g.json", '{\n "nodes": {\n  "a": {"label": "A", "role": "R", "props": {}}},\n "edges": []\n}')
+    assert formats.read_graph(spark, g, "http://x#").count() == 2
+    broken = put(tmp_path / "b.json", '{"p1": ["c1"')
+    for read in (formats.read_json_map, formats.read_shards):
+        with pytest.raises(Exception, match="not the JSON"):
+            read(spark, broken, "array<string>").collect()
     c = put(tmp_path / "l.jsonl", '{"ik": "K", "sources": {"a": ["1"]}}\nbroken{\n')
     assert formats.read_json_lines(spark, c, "ik string, sources map<string,array<string>>").count() == 1
 
 
+@pytest.mark.parametrize(("most_entries", "parts"), [(1000, 1), (2, 2)])
+def test_shards_of_several_keys(spark, tmp_path, most_entries, parts):
+    # djb2 of three letters repeats: many of these keys share a shard
+    keys = [f"{a}{b}{c}" for a in "abcd" for b in "abcdef" for c in "ghijkl"] + ['q"uote', "új}", "br{ace", "li\nne"]
+    rows = spark.createDataFrame([(k, len(k)) for k in keys], "id string, n int").repartition(4)
+    path = str(tmp_path / "s")
+    sinks.write_shards(rows, path, "id", F.struct("n", F.array(F.lit("}")).alias("x")), most_entries)
+    assert sorted((r["key"], r["value"]["n"]) for r in formats.read_shards(spark, path, "struct<n:int,x:array<string>>").collect()) == sorted((k, len(k)) for k in keys)
+    assert sorted(r["key"] for r in formats.read_json_map(spark, path, "struct<n:int>").collect()) == sorted(keys)  # each file is a JSON object
+    per = spark.read.text(path).groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("part").alias("parts")).collect()
+    assert max(r["n"] for r in per) > 2 and max(r["parts"] for r in per) >= parts
+
+
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("Plant_Panax_ginseng", 2), ("Organism_227", 1)], "id string, n int")
     sinks.write_shards(rows, str(tmp_path / "s"), "id", F.struct("n"))
