@@ -3,16 +3,18 @@
 A labelled table teaches a classifier, a multinomial logistic regression on telling words and binned
 statistics, calibrated by a temperature on labelled rows that it wasn't fitted on; its weights become an
 expression that gives every document posteriors over the domains. Nonnegative rates are then fitted by projected gradients on the squared
-relative gaps between expected and wanted domain tokens. Preconditioned by its tokens, a document's
-gradient depends on its posteriors only, so documents are summed by posterior profile first, every
-step is one aggregation over the profiles, and a document's rate is replayed from the steps' few
-coefficients inside its own row: nothing is joined, broadcast or gathered by document.
+relative gaps between expected and wanted domain tokens, with a slight pull to a rate of 1 that makes the rates
+unique. Preconditioned by its tokens, a document's gradient depends on its posteriors only, so documents are summed by
+posterior profile first, and the rates of every step are 1 less a combination of the posteriors, cut to the allowed range. A step turns the
+gradient by the domains' Gram matrix over the rates that aren't cut, damped as far as the objective asks for, and
+costs two aggregations over the profiles; steps end when the projected gradient is zero. A document's rate
+follows from the last step's few coefficients inside its own row: nothing is joined, broadcast or gathered by document.
 """
 
 from __future__ import annotations
 
 import warnings
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -35,8 +37,14 @@ HELD_OUT = 5
 FIT_STEPS, PENALTY = 400, 3e-4
 #: Posteriors are multiples of one part in so many.
 GRID = 256
-#: Steps of the rates' fit, at most, and the part of the budget by which expected tokens may miss when it ends.
-MOST_STEPS, GAP = 60, 2e-4
+#: Pull of the rates to 1, and the projected gradient at which their fit ends, in parts of the budget; and the part of the budget by which
+#: expected tokens may miss before the targets count as out of reach.
+PULL, FLAT, GAP = 1e-7, 1e-8, 2e-4
+#: Parts of the Gram matrix of all rates that are added to that of the rates that aren't cut, each tried for a step, all in one
+#: aggregation. With the whole of it a step always gains, as no direction is curved more.
+DAMPINGS = (0.0, 1e-8, 1e-7, 1e-6, 1e-5, 1e-4, 1e-3, 1e-2, 0.1, 0.3, 1.0)
+#: Largest rate where documents are only thinned: one that stays counts once, so larger rates would pay with others' loss for what isn't there.
+MOST_THINNED = 2.0
 SYMBOLS = "#*$%&|<>!"
 PUNCTUATION = ".,;:?" + SYMBOLS
 BINS = ("b_symbols", "b_upper", "b_distinct")
@@ -172,58 +180,88 @@ def posteriors(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_
     return rows.select("id", "n_tokens", F.array(*[run[i + 1] - run[i] for i in k]).cast("array<int>").alias("posterior"))
 
 
-def _rates(steps: list[list[float]], k: int) -> tuple[Column, Column]:
-    """A row's rate after the steps, and the point ahead of it where the next gradient is taken: from 1, down the gradient
-    and up to 0, then on by the step's momentum, again and again. A step is k gradient coefficients and the momentum."""
-    if not steps:
-        return F.lit(1.0), F.lit(1.0)
-    path = F.array(*[F.array(*[F.lit(float(c)) for c in s]) for s in steps])
-    p = lambda i: F.get(F.col("posterior"), i) / GRID
+@dataclass
+class Fit:
+    """The rates' coefficients by domain, the domains' expected shares of tokens, the largest rate, whether the targets are met, and the steps taken."""
+
+    coefficients: list[float]
+    shares: dict[str, float]
+    largest_rate: float = 1.0
+    met: bool = True
+    steps: int = 0
+    most_rate: float | None = None
 
-    def step(at: Column, c: Column) -> Column:
-        now = F.greatest(F.lit(0.0), at["ahead"] - sum((F.get(c, i) * p(i) for i in range(k)), F.lit(0.0)))
-        return F.struct(now.alias("rate"), (now + F.get(c, k) * (now - at["rate"])).alias("ahead"))
 
-    end = F.aggregate(path, F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead")), step)
-    return end["rate"], end["ahead"]
+def _rate(coefficients: Sequence[float], most_rate: float | None = None) -> Column:
+    """A row's rate: 1 less its posteriors' combination, at least 0 and at most most_rate."""
+    at = F.lit(1.0) - sum((float(c) * F.get("posterior", i) / GRID for i, c in enumerate(coefficients)), F.lit(0.0))
+    at = F.greatest(F.lit(0.0), at)
+    return at if most_rate is None else F.least(F.lit(float(most_rate)), at)
 
 
-def fit_rates(judged: DataFrame, domains: list[str], weights: Mapping[str, float], budget: float | None = None, strict: bool = False) -> tuple[Column, dict[str, float]]:
-    """The rate of a row of `judged` (n_tokens, posterior) as an expression, and the domains' expected shares of tokens.
+def fit_rates(judged: DataFrame, domains: list[str], weights: Mapping[str, float], budget: float | None = None, strict: bool = False, most_rate: float | None = None) -> tuple[Column, Fit]:
+    """The rate of a row of `judged` (n_tokens, posterior) as an expression, and what it reaches.
 
     Expected tokens of domain d are to be weights[d] of the budget; weights are scaled to sum to 1. The
     budget is in tokens; if not given, it takes the domain of the largest weight just as it is, so that
     its documents stay and the others are thinned, or repeated where they are scarce. Domains that have
-    no tokens are left out. No tokens at all: rates of 1. The fit, by accelerated projected gradients, ends when the
-    targets are met, or nothing changes any more, or after MOST_STEPS steps; a miss is warned of (`strict`: raises ValueError).
+    no tokens are left out. No tokens at all: rates of 1. Of all rates that meet the targets those nearest to 1 are
+    found; `most_rate`, 1 at least, bounds them. A zero projected gradient with targets missed means that no rates reach them, which is
+    warned of (`strict`: raises ValueError); a fit that doesn't come to one raises RuntimeError.
     """
     k = len(domains)
+    p = lambda i: F.get("posterior", i) / GRID
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0.0)).cast("double")
     profiles = materialise(judged.groupBy("posterior").agg(F.sum("n_tokens").alias("t")), "profiles")
-    mass = lambda i, r: F.coalesce(F.sum(F.col("t") * r * F.get("posterior", i) / GRID), F.lit(0.0)).cast("double")
-    held = [*profiles.select(*[mass(i, F.lit(1.0)).alias(str(i)) for i in range(k)]).first()] if k else []
+    held = np.array([*profiles.select(*[total(F.col("t") * p(i)).alias(str(i)) for i in range(k)]).first()]) if k else np.zeros(0)
     scale = sum(weights.get(d, 0.0) for d, m in zip(domains, held, strict=True) if m > 0)
     if not scale:
-        return F.lit(1.0), {}
-    share = [weights.get(d, 0.0) / scale if m > 0 else 0.0 for d, m in zip(domains, held, strict=True)]
+        return F.lit(1.0), Fit([], {})
+    share = np.array([weights.get(d, 0.0) / scale if m > 0 else 0.0 for d, m in zip(domains, held, strict=True)])
     largest = max(range(k), key=lambda i: (share[i], -i))
     budget = budget or held[largest] / share[largest]
-    want, steps, now, ahead = [s * budget for s in share], [], held, held
-    gap = lambda a, b: max(abs(x - y) for x, y in zip(a, b, strict=True)) / budget
-    # with gaps relative to what a domain holds the Hessian's norm is 1 at most, so steps of length 1 descend
-    while gap(now, want) > GAP and len(steps) < MOST_STEPS:
-        steps.append([(a - b) / m if m > 0 else 0.0 for a, b, m in zip(ahead, want, held, strict=True)] + [len(steps) / (len(steps) + 3)])
-        at = profiles.withColumns(dict(zip(("r", "y"), _rates(steps, k), strict=True)))
-        sums = [*at.select(*[mass(i, F.col(c)).alias(f"{c}{i}") for c in ("r", "y") for i in range(k)]).first()]
-        before, now, ahead = now, sums[:k], sums[k:]
-        if gap(now, before) <= GAP / 20:  # the least squares are reached, but not zero
-            break
-    shares = {d: x / max(sum(now), 1e-12) for d, x in zip(domains, now, strict=True)}
-    if gap(now, want) > GAP:
-        said = f"no rates found that meet the targets; the nearest give shares of {shares}, wanted {dict(zip(domains, share, strict=True))}"
+    # in parts of the budget; gaps count relative to what a domain holds
+    slack = PULL * np.where(held > 0, held / budget, 1.0)
+    t = F.col("t") / float(budget)
+
+    def tried(many: np.ndarray) -> list[tuple[float, np.ndarray]]:
+        """For each set of coefficients the objective's dual value and its gradient: the projected gradient of the least squares."""
+        columns = []
+        for c in many:
+            r = _rate(c, most_rate)
+            columns += [total(t * (r - 1) * (r - 1)), *[total(t * r * p(i)) for i in range(k)]]
+        found = np.array([*profiles.select(*[c.alias(str(i)) for i, c in enumerate(columns)]).first()]).reshape(len(many), k + 1)
+        return [(row[0] / 2 + c @ (row[1:] - share) - (slack * c * c).sum() / 2, row[1:] - share - slack * c) for c, row in zip(many, found, strict=True)]
+
+    def gram(which: Column) -> np.ndarray:
+        pairs, out = [(i, j) for i in range(k) for j in range(i + 1)], np.zeros((k, k))
+        sums = profiles.select(*[total(F.when(which, t * p(i) * p(j))).alias(f"{i}_{j}") for i, j in pairs]).first()
+        for (i, j), x in zip(pairs, sums, strict=True):
+            out[i, j] = out[j, i] = x
+        return out
+
+    c, steps, whole = np.zeros(k), 0, gram(F.lit(True))
+    value, slope = tried(c[None])[0]
+    while (steep := np.abs(slope).max()) > FLAT:
+        rate = _rate(c, most_rate)
+        own = gram((rate > 0) if most_rate is None else (rate > 0) & (rate < float(most_rate)))
+        points = np.array([c + np.linalg.solve(own + damped * whole + np.diag(slack), slope) for damped in DAMPINGS])
+        noise = 1e-13 * (1 + abs(value))
+        better = [(v, g, x) for (v, g), x in zip(tried(points), points, strict=True) if v > value + noise or (v > value - noise and np.abs(g).max() < steep / 2)]
+        if not better or steps == 1000:
+            raise RuntimeError(f"the rates' fit stopped at a projected gradient of {steep}")
+        value, slope, c = max(better, key=lambda x: (x[0], -np.abs(x[1]).max()))
+        steps += 1
+    rate = _rate(c, most_rate)
+    sums = np.array([*profiles.select(*[total(t * rate * p(i)).alias(str(i)) for i in range(k)], F.coalesce(F.max(rate), F.lit(1.0)).alias("most")).first()])
+    met = bool(np.abs(sums[:k] - share).max() <= GAP)
+    fit = Fit(c.tolist(), {d: float(x / max(sums[:k].sum(), 1e-12)) for d, x in zip(domains, sums[:k], strict=True)}, float(sums[k]), met, steps, most_rate)
+    if not met:
+        said = f"no rates meet the targets; the nearest give shares of {fit.shares}, wanted {dict(zip(domains, share.tolist(), strict=True))}, and {sums[:k].sum():.6f} of the budget"
         if strict:
             raise ValueError(said)
         warnings.warn(said, stacklevel=2)
-    return _rates(steps, k)[0], shares
+    return rate, fit
 
 
 def _whole_copies(seed: int, *key: str) -> Column:
@@ -232,8 +270,13 @@ def _whole_copies(seed: int, *key: str) -> Column:
     return (F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("int")).cast("long")
 
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", budget: float | None = None, seed: int = 11, strict: bool = False) -> DataFrame:
-    """One row per input row: the id, `n_tokens`, `p_<domain>` for each domain, `rate` and `copies`.
+def mix(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", budget: float | None = None, seed: int = 11, strict: bool = False, most_rate: float | None = None) -> DataFrame:
+    """The rows of `mixed`, without what their rates reach."""
+    return mixed(docs, labelled, weights, id_col, text_col, domain_col, budget, seed, strict, most_rate)[0]
+
+
+def mixed(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", budget: float | None = None, seed: int = 11, strict: bool = False, most_rate: float | None = None) -> tuple[DataFrame, Fit]:
+    """One row per input row: the id, `n_tokens`, `p_<domain>` for each domain, `rate` and `copies`; and the shares and the largest rate that are reached.
 
     `copies` is the rate's whole part, and one more where the id's hash falls below the rest. Null or
     wordless texts have no tokens and their domains' prior; texts of any length are read whole. Repeated rows are judged
@@ -243,21 +286,21 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], id_c
     """
     model = train(docs, labelled, id_col, text_col, domain_col)
     judged = materialise(posteriors(docs, model, id_col, text_col), "posteriors")
-    rate, _ = fit_rates(judged, model.domains, weights, budget, strict)
+    rate, fit = fit_rates(judged, model.domains, weights, budget, strict, most_rate)
     rows = judged.withColumn("rate", F.round(rate, 9))
     domains = [(F.get("posterior", i) / GRID).alias(f"p_{d}") for i, d in enumerate(model.domains)]
-    return rows.select(F.col("id").alias(id_col), "n_tokens", *domains, "rate", _whole_copies(seed, "id").alias("copies"))
+    return rows.select(F.col("id").alias(id_col), "n_tokens", *domains, "rate", _whole_copies(seed, "id").alias("copies")), fit
 
 
-def thin(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", seed: int = 11) -> DataFrame:
-    """The input's rows and columns without those of no copy by `mix`. Rows are judged by their own text; a null id is made up for by the text's digest, so that such rows are thinned one by one. An empty table gives no rows."""
+def thin(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", seed: int = 11, most_rate: float | None = MOST_THINNED) -> DataFrame:
+    """The input's rows and columns without those of no copy by `mix` with rates of `most_rate` at most. Rows are judged by their own text; a null id is made up for by the text's digest, so that such rows are thinned one by one. An empty table gives no rows."""
     model = train(docs, labelled, id_col, text_col, domain_col)
     key, gone, gone_digest, own = fresh(docs, "key", "gone", "digest", "own")
     id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     digest = F.when(id_.isNull(), F.sha2(F.coalesce(text, F.lit("")), 256))
     keyed = docs.select(F.struct(id_.alias("id"), digest.alias("digest"), F.xxhash64(text).alias("own")).alias(key), text)
     judged = materialise(posteriors(keyed, model, key, text_col), "posteriors")
-    rate, _ = fit_rates(judged, model.domains, weights)
+    rate, _ = fit_rates(judged, model.domains, weights, most_rate=most_rate)
     # hashes pass over nulls: an id's is the same as in mix
     none = judged.withColumn("rate", F.round(rate, 9)).where(_whole_copies(seed, "id.id", "id.digest") == 0)
     none = none.select(F.col("id.id").alias(gone), F.col("id.digest").alias(gone_digest), F.col("id.own").alias(own)).distinct()

@@ -5,6 +5,7 @@ import struct
 
 import corpus_pipeline
 import numpy as np
+import pytest
 import xxhash
 from test_models import plain_posteriors
 from test_simhash import brute_fingerprint
@@ -28,21 +29,21 @@ def brute_mixture(rows, model, weights):
     want = np.array([weights[d] for d in model.domains])
     want = want / want.sum()
     budget = held[want.argmax()] / want.max()
+    # the strongly convex least squares over single documents by projected gradients with constant momentum, to the end
+    slack = mixing.PULL * held / budget
+    length, momentum = 1 + 1 / mixing.PULL, 1 - 2 / (1 + (1 + 1 / mixing.PULL) ** 0.5)
     rate = ahead = np.ones(len(rows))
-    for step in range(mixing.MOST_STEPS):
-        if np.abs(rate * t @ grid - want * budget).max() <= mixing.GAP * budget:
-            break
-        was, rate = rate, np.maximum(0, ahead - grid @ ((ahead * t @ grid - want * budget) / held))
-        ahead = rate + step / (step + 3) * (rate - was)
-        if np.abs(rate * t @ grid - was * t @ grid).max() <= mixing.GAP / 20 * budget:
-            break
+    for _ in range(200_000):
+        was, rate = rate, np.clip(ahead - (ahead - 1 + grid @ (((ahead * t) @ grid / budget - want) / slack)) / length, 0, mixing.MOST_THINNED)
+        ahead = rate + momentum * (rate - was)
     return [(i, x) for (i, x), r in zip(rows, rate, strict=True) if int(r) + ((spark_hash(i, 11) % (1 << 30)) / (1 << 30) < round(r, 9) - int(r)) > 0]
 
 
 def test_whole_pipeline_against_plain_loops(spark):
     tables = {n: spark.read.parquet(f"{DATA}/{n}.parquet") for n in ("documents", "benchmark", "labels")}
     docs = tables["documents"]
-    found = {r["doc_id"]: r for r in corpus_pipeline.run(spark, DATA).collect()}
+    with pytest.warns(UserWarning, match="no rates meet"):  # a few dozen labels tell too little of domains
+        found = {r["doc_id"]: r for r in corpus_pipeline.run(spark, DATA).collect()}
     left = {r["doc_id"]: r["text"] for r in docs.collect()}
 
     model = langid.train(docs.where(~langid.held_out()))

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import warnings
 
 import numpy as np
 import pytest
@@ -137,15 +138,43 @@ def test_posteriors_hold_on_held_out_labels(spark):
 def test_targets_out_of_reach(spark):
     """Two domains that each document has halves of can't be set apart: a warning, or an error if strict."""
     judged = spark.createDataFrame([(100, [128, 128]), (50, [128, 128])], "n_tokens long, posterior array<int>")
-    with pytest.warns(UserWarning, match="no rates found"):
-        rate, shares = mixing.fit_rates(judged, ["a", "b"], {"a": 3, "b": 1}, budget=100)
-    assert abs(shares["a"] - 0.5) < 1e-9 and all(abs(r["r"] - 1 / 1.5) < 0.02 for r in judged.withColumn("r", rate).collect())
-    with pytest.raises(ValueError, match="no rates found"):
+    with pytest.warns(UserWarning, match="no rates meet"):
+        rate, fit = mixing.fit_rates(judged, ["a", "b"], {"a": 3, "b": 1}, budget=100)
+    assert not fit.met and abs(fit.shares["a"] - 0.5) < 1e-9 and all(abs(r["r"] - 1 / 1.5) < 0.02 for r in judged.withColumn("r", rate).collect())
+    with pytest.raises(ValueError, match="no rates meet"):
         mixing.fit_rates(judged, ["a", "b"], {"a": 3, "b": 1}, budget=100, strict=True)
 
 
+@pytest.mark.parametrize(("rows", "weights", "budget"), [
+    ([(1000, [131, 125]), (1000, [125, 131])], {"a": 0.508, "b": 0.492}, 2000),
+    ([(1000, [250, 6]), (10, [200, 56]), (3, [120, 136]), (1, [0, 256])], {"a": 0.3, "b": 0.7}, 1000),
+    ([(500, [256, 0, 0]), (90, [128, 64, 64]), (70, [100, 100, 56]), (50, [90, 83, 83])], {"a": 0.5, "b": 0.3, "c": 0.2}, None),
+])
+def test_targets_that_are_hard_to_reach_are_met(spark, rows, weights, budget):
+    """Flat directions, rates far above 1, and cut rates: the fit ends at the optimum, with no warning."""
+    judged, domains = spark.createDataFrame(rows, "n_tokens long, posterior array<int>"), sorted(weights)
+    with warnings.catch_warnings():
+        warnings.filterwarnings("error", message="no rates")
+        rate, fit = mixing.fit_rates(judged, domains, weights, budget)
+    got = np.array([r["r"] for r in judged.withColumn("r", rate).orderBy(mixing.F.desc("n_tokens")).collect()])
+    t, p = np.array([r[0] for r in rows], float), np.array([r[1] for r in rows]) / mixing.GRID
+    reached = (got * t) @ p
+    assert fit.met and (got >= 0).all() and np.abs(reached / reached.sum() - [weights[d] for d in domains]).max() < 2e-4
+    assert abs(fit.largest_rate - got.max()) < 1e-9 and fit.steps < 100
+
+
+def test_rates_can_be_bounded(spark):
+    rows = [(1000, [256, 0]), (10, [0, 256])]
+    judged = spark.createDataFrame(rows, "n_tokens long, posterior array<int>")
+    _, free = mixing.fit_rates(judged, ["a", "b"], {"a": 1, "b": 1}, budget=1000)
+    assert free.met and abs(free.largest_rate - 50) < 0.01
+    with pytest.warns(UserWarning, match="no rates meet"):
+        rate, fit = mixing.fit_rates(judged, ["a", "b"], {"a": 1, "b": 1}, budget=1000, most_rate=4)
+    assert not fit.met and fit.largest_rate <= 4 and max(r["r"] for r in judged.withColumn("r", rate).collect()) <= 4
+
+
 def test_very_long_texts(spark):
-    """A text of two million words is read whole by language ID, mixing and quality rules: only its end says what it is."""
+    """A text of two million words is read whole by language ID and mixing: only its end says what it is."""
     long = "lorem " * 2_000_000 + "### idiot " * 2_000_000
     docs = spark.createDataFrame([(1, long), (2, "calm words")], "doc_id long, text string")
     model = langid.fit([("la", *langid.ngram_counts("lorem lorem")), ("en", *langid.ngram_counts("idiot idiot the")), ("la", *langid.ngram_counts("lorem")), ("en", *langid.ngram_counts("the idiot"))] * 5)

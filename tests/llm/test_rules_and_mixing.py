@@ -76,10 +76,10 @@ def test_mixing_meets_targets(spark):
 
 def test_rates_solve_the_least_squares(spark):
     judged = spark.createDataFrame([(100, [256, 0]), (50, [128, 128]), (30, [0, 256])], "n_tokens long, posterior array<int>")
-    rate, shares = mixing.fit_rates(judged, ["a", "b"], {"a": 1, "b": 1}, budget=120)
+    rate, fit = mixing.fit_rates(judged, ["a", "b"], {"a": 1, "b": 1}, budget=120)
     got = judged.withColumn("r", rate).collect()
     a = sum(r["r"] * r["n_tokens"] * r["posterior"][0] / 256 for r in got)
-    assert abs(a - 60) < 0.2 and abs(shares["a"] - 0.5) < 0.002 and all(r["r"] >= 0 for r in got)
+    assert abs(a - 60) < 0.2 and abs(fit.shares["a"] - 0.5) < 0.002 and all(r["r"] >= 0 for r in got)
 
 
 def test_mixing_odd_rows(spark):
