@@ -25,9 +25,8 @@ ORDERS = (1, 2, 3)
 MIX, SPREAD = 0x9E3779B1, 0x85EBCA6B
 #: Labelled rows that a model is fitted on: at most of each language, and of all; and the most languages.
 SAMPLE_PER_LANGUAGE, MOST_ROWS, MOST_LANGUAGES = 600, 6000, 256
-#: A labelled row is learned from by at most so many of its most frequent n-grams, so that the sample takes at most
-#: MOST_ROWS * MOST_NGRAMS * 8 bytes (200 MB) in the driver; predictions use all.
-MOST_NGRAMS = 4096
+#: The sample's rows are whole; it has as many as have so many different n-grams in all, 8 bytes each (200 MB) in the driver. Languages share them alike.
+MOST_NGRAMS = 25_000_000
 #: Characters whose n-grams are counted at once.
 CHUNK = 1 << 20
 CANDIDATE = re.compile(r"[^\W\d_]+")
@@ -125,17 +124,15 @@ def fit(examples: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 4, alp
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        found = []
-        for t in b["text"]:
-            buckets, counts = ngram_counts(t)
-            most = np.sort(np.lexsort((buckets, -counts))[:MOST_NGRAMS])
-            found.append((buckets[most].astype(np.int32), np.minimum(counts[most], np.iinfo(np.int32).max).astype(np.int32)))
-        yield pd.DataFrame({"lang": b["lang"], "buckets": [x for x, _ in found], "counts": [x for _, x in found]})
+        found = [ngram_counts(t) for t in b["text"]]
+        yield pd.DataFrame({"lang": b["lang"], "h": b["h"], "buckets": [x.astype(np.int32) for x, _ in found], "counts": [np.minimum(x, np.iinfo(np.int32).max).astype(np.int32) for _, x in found]})
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES, most_rows: int = MOST_ROWS) -> Model:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES, most_rows: int = MOST_ROWS, most_ngrams: int = MOST_NGRAMS) -> Model:
     """A model of the rows' non-null languages, from at most `per_language` rows of each and `most_rows` in all, chosen by a hash of id and text.
 
+    A language's rows, which are learned from whole, end where they have its share of `most_ngrams` different n-grams.
+
     Rows with a null or letterless text, language or id are not learned from; rows of an equal id, language and text
     are one. More than `most_languages` different languages raise ValueError.
     """
@@ -154,7 +151,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     chosen = rows.where(F.pmod("h", F.lit(1 << 30)) < share[F.col("lang")]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h"))
     chosen = materialise(chosen.withColumn("n", rank).where(F.col("n") <= per_language).select("lang", "h", "text"), "languages")
-    found = chosen.select("lang", "text").mapInPandas(_counted, "lang string, buckets array<int>, counts array<int>").collect()
+    counted = materialise(chosen.mapInPandas(_counted, "lang string, h long, buckets array<int>, counts array<int>"), "ngrams")
+    before = F.sum(F.size("buckets")).over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h")) - F.size("buckets")
+    found = counted.withColumn("before", before).where(F.col("before") < most_ngrams // len(sizes)).select("lang", "buckets", "counts").collect()
     examples = sorted(((r["lang"], np.array(r["buckets"], dtype=np.int32), np.array(r["counts"], dtype=np.int32)) for r in found), key=lambda e: (e[0], len(e[1]), e[1].tolist(), e[2].tolist()))
     return fit(examples)
 

@@ -33,6 +33,8 @@ CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 GROUP_CHARS = 1 << 18
 #: Partitions of the scan whose missing places share a folder, so that a wide scan doesn't make a file for each.
 PARTS_A_FILE = 16
+#: Digests of 32 bytes that are broadcast at most, when texts have to be found again.
+MOST_BROADCAST = 1_000_000
 
 
 def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
@@ -148,6 +150,8 @@ def token_counts(docs: DataFrame, path: str, cache: str, id_col: str = "doc_id",
         left = misses.join(counts().select("digest"), "digest", "left_anti").select("digest")
         if not left.isEmpty():
             counter = F.pandas_udf(lambda text: pd.Series(count_tokens(text, local_tokenizer(path, version)), dtype="int64"), T.LongType())
+            # few digests find their texts without moving any; each task then sends one text a digest
+            left = F.broadcast(left) if left.count() <= MOST_BROADCAST else left
             fetched = rows.select(sha, "text").join(left, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
             _save(fetched.select("digest", counter("text").alias("n_tokens")), version, cache)
 

@@ -68,9 +68,12 @@ def test_language_sample_is_bounded(spark, monkeypatch):
     langid.train(df, per_language=100)
     langid.train(df, per_language=100, most_rows=60)
     assert [sum(e[0] == lang for e in x) for x in seen for lang in ("de", "en")] == [100, 100, 30, 30]
-    monkeypatch.setattr(langid, "MOST_NGRAMS", 9)
-    buckets, counts = langid.ngram_counts("many different words of a long text")
-    assert next(langid._counted(iter([__import__("pandas").DataFrame({"lang": ["en"], "text": ["many different words of a long text"]})])))["counts"][0].sum() == np.sort(counts)[-9:].sum() and len(buckets) > 9
+    langid.train(df, per_language=100, most_ngrams=2000)
+    for lang in ("de", "en"):
+        sizes = [len(e[1]) for e in seen[2] if e[0] == lang]
+        assert sum(sizes) >= 1000 > sum(sizes) - max(sizes)  # rows are whole: fewer of them
+    whole = {tuple(langid.ngram_counts(t)[0].tolist()) for _, t, _ in rows}
+    assert all(tuple(e[1].tolist()) in whole for e in seen[2])
 
 
 def test_labels_of_absent_documents_do_not_count(spark):
