@@ -6,6 +6,8 @@ executors share, so that plans stay short, and they end when a level finds nothi
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,6 +96,35 @@ def has_ancestor(edges: DataFrame, nodes: DataFrame, ancestor) -> DataFrame:
     return nodes.select("node").distinct().join(known.withColumn("known", F.lit(True)), "node", "left").join(down.withColumn("below", F.lit(True)), "node", "left").select("node", F.when(F.col("known"), F.coalesce("below", F.lit(False))).alias("verdict"))
 
 
+def modules(edges: DataFrame, roots: Sequence[str], up: int = 4, most_depth: int = 100) -> DataFrame:
+    """(node, below, above) of slim modules: bit i of `below` is set if the node is root i or under it, of `above` if it is at most `up` levels over root i.
+
+    All roots spread at once: a round sends on only the bits that a node did not have, down without a limit, up while levels are left.
+    Several parents and cycles are fine. At most 63 roots; raises RuntimeError if `most_depth` rounds don't suffice.
+    """
+    if len(roots) > 63:
+        raise ValueError("more than 63 roots")
+    spark, kind = edges.sparkSession, dict(edges.dtypes)["child"]
+    e = materialise(edges.select("child", "parent").distinct(), "edges")
+    bits = {r: sum(1 << i for i, x in enumerate(roots) if x == r) for r in roots}
+    start = spark.createDataFrame([(r, way, b) for r, b in bits.items() for way in ("below", "above")], f"node {kind}, way string, mask long")
+    last = known = materialise(start, "masks")
+    for n in range(1, most_depth + 2):
+        down = last.where("way = 'below'").join(e, F.col("node") == F.col("parent")).select(F.col("child").alias("node"), "way", "mask")
+        climb = last.where("way = 'above'").join(e, F.col("node") == F.col("child")).select(F.col("parent").alias("node"), "way", "mask")
+        step = down.unionByName(climb) if n <= up else down
+        step = step.groupBy("node", "way").agg(F.bit_or("mask").alias("mask")).join(known.withColumnRenamed("mask", "had"), ["node", "way"], "left")
+        new = F.col("mask").bitwiseAND(F.bitwise_not(F.coalesce("had", F.lit(0))))
+        last = materialise(step.select("node", "way", new.alias("mask")).where("mask <> 0"), "masks")
+        if last.isEmpty():
+            break
+        if n > most_depth:
+            raise RuntimeError(f"paths longer than {most_depth}")
+        known = materialise(known.unionByName(last).groupBy("node", "way").agg(F.bit_or("mask").alias("mask")), "masks")
+    of = lambda way: F.coalesce(F.max(F.when(F.col("way") == way, F.col("mask"))), F.lit(0)).alias(way)
+    return known.groupBy("node").agg(of("below"), of("above"))
+
+
 def restrict(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges whose both ends are kept nodes."""
     n = nodes.select("node").distinct()

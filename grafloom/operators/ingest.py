@@ -120,6 +120,19 @@ def copy_subtree(t: DataFrame, root: str, prefix: str) -> DataFrame:
     return t.join(kept, F.col("s") == F.col("node"), "left_semi").select(clean("s").alias("s"), "p", clean("o").alias("o")).distinct()
 
 
+def slim_module(t: DataFrame, roots: list[str], up: int = 4, prefix: str = "") -> DataFrame:
+    """The triples of the roots, of all their subclasses and of their superclasses up to so many levels, without `prefix` in local names.
+
+    Superclass links that lead out of the module are left out.
+    """
+    links = t.where(F.col("p") == SUBCLASS)
+    kept = graph.modules(links.select(F.col("s").alias("child"), F.col("o").alias("parent")), roots, up).select("node")
+    inside = kept.select(F.col("node").alias("o")).withColumn("__in", F.lit(True))
+    t = t.join(kept, F.col("s") == F.col("node"), "left_semi").join(inside, "o", "left").where((F.col("p") != SUBCLASS) | F.col("__in"))
+    clean = lambda c: F.when(F.col(c).startswith("<"), F.regexp_replace(c, rf"([#/]){prefix}([^#/>]*>)$", "$1$2")).otherwise(F.col(c)) if prefix else F.col(c)
+    return t.select(clean("s").alias("s"), "p", clean("o").alias("o")).distinct()
+
+
 def synchronised_axioms(axioms: DataFrame, inverses: DataFrame) -> DataFrame:
     """(p, side, class) with what inverses (p, inverse) imply: a property's domain is its inverse's range."""
     pairs = inverses.select("p", "inverse").union(inverses.select("inverse", "p")).distinct()

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from grafloom.functions import terms
@@ -132,6 +132,13 @@ class Rules:
     def apply(self, t: DataFrame) -> DataFrame:
         return self.marked(t).where(~F.col("dropped")).select(*SPO)
 
+    def observed(self, t: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+        """`apply`, and counts by deciding rule that the same pass takes: once an action has run over the result, `get` of the second has them; rules that never decided have 0."""
+        marks = Observation(name)
+        marked = self.marked(t)
+        marked = marked.observe(marks, *[F.count_if(F.col("action") == a).alias(a) for a in dict.fromkeys([*[r[0] for r in self.rules], "kept"])])
+        return marked.where(~F.col("dropped")).select(*SPO), marks
+
     def counts(self, t: DataFrame) -> DataFrame:
         return self.marked(t).groupBy("action").agg(F.count("*").alias("n"))
 

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from grafloom.functions import terms
-from grafloom.operators import entities, graph, hierarchy
+from grafloom.operators import audit, entities, graph, hierarchy, rules, search
+from grafloom.plans import kg_queries
 from grafloom.plans import views as V
+from grafloom.scratch import materialise, scratch_path
+from grafloom.sources import store
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -109,3 +112,115 @@ def kingdoms_of_suppliers(spark, d):
     nations = V.table(spark, d, "nation").select(V.node("n", "n_nationkey").alias("node"), F.when(F.col("n_nationkey") % 3 == 0, "kingdom").otherwise("family").alias("rank"), F.col("n_name").alias("name"))
     regions = V.table(spark, d, "region").select(V.node("r", "r_regionkey").alias("node"), F.when(F.col("r_regionkey") != 4, "superkingdom").alias("rank"), F.when(F.col("r_regionkey") % 2 == 0, F.col("r_name")).alias("name"))
     return graph.kingdom(V.tree(spark, d), V.table(spark, d, "supplier").select(V.node("s", "s_suppkey").alias("node")), nations.unionByName(regions))
+
+
+@query(f"""WITH RECURSIVE t AS ({V.TREE_SQL} UNION ALL SELECT DISTINCT 'p' || l_partkey, 's' || l_suppkey FROM lineitem), r(root, bit) AS (VALUES ('r1', 1), ('n3', 2), ('s7', 4)),
+    d(node, bit) AS (SELECT root, bit FROM r UNION SELECT child, bit FROM d JOIN t ON parent = node), u(node, bit, depth) AS (SELECT root, bit, 0 FROM r UNION SELECT parent, bit, depth + 1 FROM u JOIN t ON child = node WHERE depth < 1),
+    x AS (SELECT node, bit, 0 AS bit2 FROM d UNION SELECT node, 0, bit FROM u) SELECT node, bit_or(bit)::BIGINT AS below, bit_or(bit2)::BIGINT AS above FROM x GROUP BY node""")
+def slim_modules(spark, d):
+    """Three roots over regions, nations, suppliers and their parts (a part has many suppliers), down all levels and up one, in one run."""
+    parts = V.table(spark, d, "lineitem").select(V.node("p", "l_partkey").alias("child"), V.node("s", "l_suppkey").alias("parent")).distinct()
+    return graph.modules(V.tree(spark, d).unionByName(parts), ["r1", "n3", "s7"], up=1)
+
+
+# ---- rules ----
+
+#: A chain of five sub-properties, an inverse at its end, places within places, and classes of classes.
+RULES = [
+    ("sub", "placedBy", "p1"), ("sub", "p1", "p2"), ("sub", "p2", "p3"), ("sub", "p3", "p4"), ("sub", "p4", "p5"), ("inverse", "p5", "q5"), ("sub", "q5", "touches"), ("symmetric", "touches", None),
+    ("sub", "inNation", "within"), ("sub", "inRegion", "within"), ("transitive", "within", None), ("inverse", "within", "holds"), ("domain", "placedBy", "Order"), ("range", "q5", "Order"),
+    ("range", "placedBy", "Customer"), ("domain", "within", "Place"), ("subclass", "Order", "Document"), ("subclass", "Document", "Thing"), ("subclass", "Place", "Thing"), ("subclass", "Customer", "Place"),
+]
+
+
+@query(f"""WITH RECURSIVE e AS ({V.EDGES_SQL}),
+    r(k, a, b) AS (VALUES ('same', 'placedBy', 'p1'), ('same', 'p1', 'p2'), ('same', 'p2', 'p3'), ('same', 'p3', 'p4'), ('same', 'p4', 'p5'), ('turned', 'p5', 'q5'), ('turned', 'q5', 'p5'), ('same', 'q5', 'touches'), ('turned', 'touches', 'touches'),
+        ('same', 'inNation', 'within'), ('same', 'inRegion', 'within'), ('turned', 'within', 'holds'), ('turned', 'holds', 'within'), ('s', 'placedBy', 'Order'), ('o', 'q5', 'Order'), ('o', 'placedBy', 'Customer'), ('s', 'within', 'Place'),
+        ('up', 'Order', 'Document'), ('up', 'Document', 'Thing'), ('up', 'Place', 'Thing'), ('up', 'Customer', 'Place')),
+    f(s, p, o) AS (SELECT s, p, o FROM e UNION SELECT a.s, 'within', b.o FROM e a JOIN e b ON a.o = b.s WHERE a.p = 'inNation' AND b.p = 'inRegion'
+        UNION SELECT CASE WHEN k = 'turned' OR k = 'o' THEN o ELSE s END, CASE WHEN k IN ('same', 'turned') THEN b ELSE 'type' END, CASE WHEN k = 'same' THEN o WHEN k = 'turned' THEN s ELSE b END FROM f JOIN r ON (k <> 'up' AND p = a) OR (k = 'up' AND p = 'type' AND o = a))
+    SELECT s, p, o FROM f EXCEPT SELECT s, p, o FROM e""")
+def closed_rules(spark, d):
+    """All that follows from rules that feed each other, round by round from new facts only."""
+    r = spark.createDataFrame(RULES, "kind string, a string, b string")
+    return rules.fixpoint(V.stored_edges(spark, d), r, "type").where("round > 0").select("s", "p", "o")
+
+
+# ---- samples and sketches ----
+
+
+@query(f"""WITH e AS ({V.EDGES_SQL}), k AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY p ORDER BY md5(s || ' ' || o), s, o) <= 500),
+    c AS (SELECT p, CASE o[1] WHEN 'c' THEN 'Agent|Customer' WHEN 'n' THEN 'Nation' WHEN 'r' THEN '' ELSE CASE WHEN substr(o, 2)::BIGINT % 3 = 0 THEN 'Part' ELSE '' END END AS combo, o FROM k)
+    SELECT p, combo, count(*) AS n, min(o) AS example FROM c GROUP BY p, combo""")
+def object_types(spark, d):
+    """Classes of the objects in a sample of 500 triples of each predicate, kept by hash in one pass."""
+    e = V.stored_edges(spark, d)
+    classes = F.when(F.col("s").startswith("c"), F.array(F.lit("Customer"), F.lit("Agent"))).when(F.col("s").startswith("n"), F.array(F.lit("Nation"))).when(F.col("s").startswith("p") & (F.substring("s", 2, 20).cast("long") % 3 == 0), F.array(F.lit("Part")))
+    types = e.select(F.col("o").alias("s")).distinct().select("s", F.explode(classes).alias("class"))
+    return audit.object_types(e, types, 500, by=F.md5(F.concat("s", F.lit(" "), "o").cast("binary")))
+
+
+@query("""SELECT event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY md5(event_id::VARCHAR), event_id) <= 1500""")
+def bottom_k_sample(spark, d):
+    """H6: a sample of each stratum by hash, larger than Spark's own limit on ranks."""
+    e = V.table(spark, d, "events").select("event_id", "event_type")
+    return audit.bottom_k(e, 1500, ["event_type"], [F.col("event_id")], by=F.md5(F.col("event_id").cast("string").cast("binary")))
+
+
+@query(f"""WITH l AS ({V.LITERALS_SQL} UNION ALL SELECT 'x' || doc_id, 'text', '"' || CASE WHEN doc_id % 7 = 0 THEN 'n/a' ELSE 'text ' || doc_id END || '"' FROM documents)
+    SELECT p, count(*) AS triples, count_if(starts_with(o, '"')) AS lit, count_if(o = '"n/a"') AS na, true AS subjects_hold, true AS objects_hold, true AS most_holds, true AS median_holds FROM l GROUP BY p""")
+def sketched_profile(spark, d):
+    """A merged profile of two halves, and whether its estimates keep their bounds against exact figures."""
+    more = V.table(spark, d, "documents").select(F.concat(F.lit("x"), F.col("doc_id").cast("string")).alias("s"), F.lit("text").alias("p"), terms.nt_literal(F.when(F.col("doc_id") % 7 == 0, "n/a").otherwise(F.concat(F.lit("text "), F.col("doc_id").cast("string")))).alias("o"))
+    t = V.literals(spark, d).unionByName(more)
+    half = F.crc32(F.col("s").cast("binary")) % 2
+    found = audit.profile_figures(audit.merge_profiles(audit.profile(t.where(half == 0)), audit.profile(t.where(half == 1))))
+    per = t.groupBy("p", "s").agg(F.count("*").alias("n")).groupBy("p").agg(F.count("*").alias("n_s"), F.max("n").alias("n_most"))
+    lengths = F.length(F.regexp_extract("o", r'(?s)^"(.*)"[^"]*$', 1))
+    rest = t.groupBy("p").agg(F.countDistinct("o").alias("n_o"), F.percentile_approx(lengths, [0.5 - audit.WITHIN_RANK, 0.5 + audit.WITHIN_RANK], F.lit(100_000)).alias("mid"))
+    x = found.join(per, "p").join(rest, "p")
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= audit.WITHIN_DISTINCT * F.col(b)
+    most = F.col("frequent")[0]["count"].between(F.col("n_most"), F.col("n_most") + F.col("triples") / audit.TRACKED * 4)
+    median = F.col("median_length").isNull() | F.col("median_length").between(F.col("mid")[0], F.col("mid")[1])
+    return x.select("p", "triples", "lit", "na", near("subjects", "n_s").alias("subjects_hold"), near("objects", "n_o").alias("objects_hold"), most.alias("most_holds"), median.alias("median_holds"))
+
+
+# ---- search, edits, counters ----
+
+
+@query("""SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'ing') ORDER BY CASE WHEN lower(p_name) = 'ing' THEN 0 WHEN starts_with(lower(p_name), 'ing') THEN 1 ELSE 2 END, p_retailprice DESC, p_name, p_partkey LIMIT 10""")
+def indexed_find(spark, d):
+    """The top names by a trigram index."""
+    path = scratch_path(spark, "index")
+    search.build(V.table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_retailprice").alias("weight")), path, chunk_names=500)
+    return graph.find(search.candidates(spark, path, "Ing"), "ing", 10).select(F.col("id").alias("p_partkey"), F.col("name").alias("p_name"))
+
+
+@query("""SELECT doc_id FROM documents WHERE contains(lower(text), 'ation') OR contains(lower(text), 'heon th')""")
+def indexed_texts(spark, d):
+    """All documents with either of two strings, by the index of their whole texts."""
+    path = scratch_path(spark, "index")
+    search.build(V.table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("name")), path, chunk_names=400)
+    found = search.candidates(spark, path, "ation").select("id").union(search.candidates(spark, path, "heon th").select("id"))
+    return found.distinct().select(F.col("id").alias("doc_id"))
+
+
+@query(f"""WITH e AS ({V.EDGES_SQL}) SELECT s, p, o FROM e WHERE s NOT IN ('s1', 'c2') AND o <> 'c2' AND NOT (p = 'placedBy' AND substr(s, 2)::BIGINT % 5 = 0) UNION SELECT 's1', 'hasCompound', 'p' || p_partkey FROM part WHERE p_size = 1 UNION SELECT 'o' || o_orderkey, 'urgent', 'yes' FROM orders WHERE o_orderpriority LIKE '1%'""")
+def edited_store(spark, d):
+    """A node's triples replaced, triples added and removed, a node taken out, with a compaction between the edits."""
+    kept = store.TripleStore.create(V.edges(spark, d), scratch_path(spark, "store"), 16)
+    orders = V.table(spark, d, "orders").select(V.node("o", "o_orderkey").alias("s"), "o_orderkey", "o_custkey", "o_orderpriority")
+    kept.edit(remove=orders.where("o_orderkey % 5 = 0").select("s", F.lit("placedBy").alias("p"), V.node("c", "o_custkey").alias("o")))
+    kept.compact()
+    kept.replace_subjects(V.table(spark, d, "part").where("p_size = 1").select(F.lit("s1").alias("s"), F.lit("hasCompound").alias("p"), V.node("p", "p_partkey").alias("o")))
+    kept.edit(add=orders.where("o_orderpriority like '1%'").select("s", F.lit("urgent").alias("p"), F.lit("yes").alias("o")))
+    kept.remove_nodes(spark.createDataFrame([("c2",)], "node string"))
+    return kept.read()
+
+
+@query(f"SELECT {kg_queries.ACTION} AS action, count(*) AS n FROM ({V.EDGES_SQL}) GROUP BY 1")
+def observed_counts(spark, d):
+    """Counts by rule that the rewriting pass itself takes while its result is written."""
+    out, marks = kg_queries._rules().observed(V.edges(spark, d), "rules")
+    materialise(out, "rewritten")
+    return spark.createDataFrame([(k, n) for k, n in marks.get.items() if n], "action string, n long")

@@ -33,29 +33,46 @@ def sql(spark: SparkSession, tables: dict[str, DataFrame], text: str) -> DataFra
 class LookupTable:
     """A service seen as a cached table (key, value): known keys are joined, unknown ones fetched in batches and appended.
 
-    `fetch` gets a list of keys and returns a dict; a key it leaves out stays unknown, a null value is known to
-    be empty. Without a fetcher unknown keys stay null.
+    `fetch` gets a list of keys and returns a dict; a null value is known to be empty, and asked for again after `keep_empty` seconds, if given. A
+    batch that fails is tried `tries` times, with growing pauses. A key that stays without an answer, as its batch failed or the answer
+    left it out, is recorded and asked for again by the next `fill`, until `most_rounds` of them had no answer: then it is dead. At most `rate` batches
+    a second are sent by all workers together, if given. Without a fetcher unknown keys stay null.
     """
 
-    SCHEMA = "key string, value string"
+    SCHEMA = "key string, value string, answered boolean, at double"
 
-    def __init__(self, spark: SparkSession, path: str, fetch: Callable[[list[str]], dict[str, str | None]] | None = None, batch: int = 150, workers: int = 4, tries: int = 3, pause: float = 0.5):
+    def __init__(self, spark: SparkSession, path: str, fetch: Callable[[list[str]], dict[str, str | None]] | None = None, batch: int = 150, workers: int = 4, tries: int = 3, pause: float = 0.5, most_rounds: int = 5, keep_empty: float | None = None, rate: float | None = None):
         self.spark, self.path, self.fetch, self.batch, self.workers, self.tries, self.pause = spark, path, fetch, batch, workers, tries, pause
+        self.most_rounds, self.keep_empty, self.rate = most_rounds, keep_empty, rate
 
-    def known(self) -> DataFrame:
+    def _rows(self) -> DataFrame:
+        """A row a key: its answer, if there is one, the newest time, and how many rounds had none."""
         p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        if not p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p):
-            return self.spark.createDataFrame([], self.SCHEMA)
-        return self.spark.read.schema(self.SCHEMA).parquet(self.path).groupBy("key").agg(F.max("value").alias("value"))
+        there = p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+        rows = self.spark.read.schema(self.SCHEMA).parquet(self.path) if there else self.spark.createDataFrame([], self.SCHEMA)
+        answered = F.coalesce("answered", F.lit(True))  # caches of before have no such column
+        last = F.max_by(F.struct("value", "at"), F.when(answered, F.struct(F.coalesce("at", F.lit(0.0)), F.col("value").isNotNull(), "value")))
+        return rows.groupBy("key").agg(last.alias("x"), F.max(answered).alias("answered"), F.count_if(~answered).alias("rounds")).select("key", "x.value", "x.at", "answered", "rounds")
+
+    def known(self) -> DataFrame:
+        return self._rows().where("answered").select("key", "value")
+
+    def dead(self) -> DataFrame:
+        """(key, rounds) of keys that aren't asked for any more."""
+        return self._rows().where(~F.col("answered") & (F.col("rounds") >= self.most_rounds)).select("key", "rounds")
 
     def todo(self, keys: DataFrame) -> DataFrame:
-        return keys.select(F.col(keys.columns[0]).alias("key")).where("key is not null").distinct().join(self.known(), "key", "left_anti")
+        rows = self._rows()
+        old = F.lit(False) if self.keep_empty is None else F.col("value").isNull() & (F.coalesce("at", F.lit(0.0)) <= time.time() - self.keep_empty)
+        settled = rows.where((F.col("answered") & ~old) | (~F.col("answered") & (F.col("rounds") >= self.most_rounds)))
+        return keys.select(F.col(keys.columns[0]).alias("key")).where("key is not null").distinct().join(settled.select("key"), "key", "left_anti")
 
     def fill(self, keys: DataFrame) -> None:
-        """Fetches what isn't known yet; the number of workers bounds the load on the service."""
+        """Asks once for what isn't known yet; every key that was asked for leaves a row. The number of workers bounds the load on the service."""
         if self.fetch is None:
             return
         fetch, size, tries, pause = self.fetch, self.batch, self.tries, self.pause
+        every = self.workers / self.rate if self.rate else 0.0
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
@@ -63,12 +80,18 @@ class LookupTable:
                     found: dict[str, str | None] = {}
                     part = b["key"].iloc[at : at + size].tolist()
                     for n in range(tries):
+                        began = time.time()
                         try:
                             found = fetch(part)
-                            break
                         except OSError:
                             time.sleep(pause * 2**n)
-                    yield pd.DataFrame([*found.items()], columns=["key", "value"], dtype=object)
+                        else:
+                            n = tries
+                        time.sleep(max(0.0, every - (time.time() - began)))
+                        if n == tries:
+                            break
+                    more = [k for k in found if k not in set(part)]
+                    yield pd.DataFrame([(k, found.get(k), k in found, time.time()) for k in [*part, *more]], columns=["key", "value", "answered", "at"])
 
         self.todo(keys).repartition(self.workers).mapInPandas(run, self.SCHEMA).write.mode("append").parquet(self.path)
 
