@@ -111,6 +111,11 @@ def namespace(uri: str) -> str:
 BAD_IN_IRI = r"(%(?![0-9A-Fa-f]{2})|[^A-Za-z0-9\-._~!$&'()*+,;=:@/%?#\x{A0}-\x{D7FF}\x{F900}-\x{FDCF}\x{FDF0}-\x{FFEF}\x{10000}-\x{EFFFD}])"
 
 
+def with_namespace_end(c: Column) -> Column:
+    """`namespace` of a column."""
+    return F.when(c.rlike("[#/]$"), c).otherwise(F.concat(c, F.lit("#")))
+
+
 def iri_problem(c: Column) -> Column:
     """Why a bare IRI is invalid, or null: checked are the scheme, then path, query and fragment after any authority."""
     rest = F.regexp_replace(F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.\-]*:", ""), r"^//[^/?#]*", "")

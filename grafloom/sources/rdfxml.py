@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 from collections.abc import Iterator, Mapping
+from urllib.parse import quote
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -147,6 +148,8 @@ def hash_text(text: str) -> int:
 MARGIN = 1 << 20
 #: A start, end or empty tag: `<` stands in none of its values, `>` may. What begins a stretch without tags, and what ends it.
 _TAG = re.compile(rb"<(/?)[^\s/>!?][^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*>")
+#: Bytes of a file that are parsed if no root goes on in it.
+PROLOG = 64 << 20
 _OPAQUE = ((b"<!--", b"-->"), (b"<![CDATA[", b"]]>"), (b"<?", b"?>"))
 
 
@@ -215,18 +218,47 @@ class _Range:
         return b"" if first is None else self.data[first:last]
 
 
+    leads = False
+
+    def content(self, depth: int) -> tuple[bytes, bool]:
+        """All bytes from the first top-level element that begins in the range up to the first that begins behind it, and whether the file's end is among them.
+
+        The range that `leads`, behind the root's tag, has all its bytes from there on.
+        """
+        first = 0 if self.leads else None
+        for place, end, change, opaque in self.tags():
+            if opaque:
+                continue
+            if change >= 0 and depth == 1:
+                if place >= self.size:
+                    return (b"" if first is None else self.data[first:place]), False
+                first = place if first is None else first
+            elif place >= self.size and first is None:
+                return b"", False
+            depth += change
+            if depth <= 0:
+                # behind the root there may be comments and space, whose end is looked for
+                while self.grow() and not self.data[end:].strip():
+                    pass
+                return (b"" if first is None else self.data[first:]), True
+        return (b"" if first is None else self.data[first:]), True
+
+
 def _store(path: str):
-    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    return fs.FileSystem.from_uri(quote(re.sub(r"^file:/+", "file:///", path), safe="/:@"))
 
 
-def read_split(spark: SparkSession, path: str, piece_bytes: int = 64 << 20) -> DataFrame:
-    """As read, for files of any size and nesting: byte ranges are read side by side, each giving the top-level elements that begin in it.
+def _dealt(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    return spark.createDataFrame(rows, schema).repartition(max(1, len(rows)))
 
-    A first pass sums the depth over each range; a range that turns out to begin inside a comment is summed again from its end. The
-    sums, one row a range, give every range its depth. Named blank nodes are those of the file, others are told apart by range.
-    """
+
+_WORK = "file string, n int, first long, end long, depth long, head binary, close binary"
+
+
+def _planned(spark: SparkSession, path: str, piece_bytes: int) -> tuple[list[tuple], list[str]]:
+    """The ranges of the files (_WORK), with the depth that each begins at; and files whose first tag doesn't open a root that goes on."""
     files = [r[0] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
-    plan = []
+    plan, rootless = [], []
     for file in files:
         store, at = _store(file)
         size = store.get_file_info(at).size
@@ -234,6 +266,8 @@ def read_split(spark: SparkSession, path: str, piece_bytes: int = 64 << 20) -> D
         root = next((end for place, end, change, opaque in head.tags() if not opaque and not head.data.startswith(b"<!", place)), 0)
         text = head.data[:root]
         close = b"</" + re.search(rb"<([^\s>/!?]+)[^<]*>$", text)[1] + b">" if root else b""
+        if not root or text[-2:-1] == b"/" or root == size:
+            rootless.append(file)
         plan += [[file, n, a, min(a + piece_bytes, size), text, close] for n, a in enumerate(range(root, size, piece_bytes)) if root]
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,12 +275,9 @@ def read_split(spark: SparkSession, path: str, piece_bytes: int = 64 << 20) -> D
             found = [(file, n, *_Range(*_store(file), first, end).summary()) for file, n, first, end in b.itertuples(index=False)]
             yield pd.DataFrame(found, columns=["file", "n", "depth", "behind"])
 
-    def deal(rows: list, schema: str) -> DataFrame:
-        return spark.createDataFrame(rows, schema).repartition(max(1, len(rows)))
-
     known, again = {}, plan
     while again:
-        ranges = deal([(f, n, a, b) for f, n, a, b, _, _ in again], "file string, n int, first long, end long")
+        ranges = _dealt(spark, [(f, n, a, b) for f, n, a, b, _, _ in again], "file string, n int, first long, end long")
         known |= {(r["file"], r["n"]): (r["depth"], r["behind"]) for r in ranges.mapInPandas(sums, "file string, n int, depth long, behind long").collect()}
         again, behind = [], {}
         for p in plan:
@@ -261,6 +292,16 @@ def read_split(spark: SparkSession, path: str, piece_bytes: int = 64 << 20) -> D
     for file, n, first, end, text, close in plan:
         work.append((file, n, first, end, depth.get(file, 1), bytearray(text), bytearray(close)))
         depth[file] = depth.get(file, 1) + known[file, n][0]
+    return work, rootless
+
+
+def read_split(spark: SparkSession, path: str, piece_bytes: int = 64 << 20) -> DataFrame:
+    """As read, for files of any size and nesting: byte ranges are read side by side, each giving the top-level elements that begin in it.
+
+    A first pass sums the depth over each range; a range that turns out to begin inside a comment is summed again from its end. The
+    sums, one row a range, give every range its depth. Named blank nodes are those of the file, others are told apart by range.
+    """
+    work, _ = _planned(spark, path, piece_bytes)
 
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -276,26 +317,53 @@ def read_split(spark: SparkSession, path: str, piece_bytes: int = 64 << 20) -> D
 
     if not work:
         return spark.createDataFrame([], TRIPLES)
-    return deal(work, "file string, n int, first long, end long, depth long, head binary, close binary").mapInPandas(convert, TRIPLES)
+    return _dealt(spark, work, _WORK).mapInPandas(convert, TRIPLES)
 
 
-def well_formed(spark: SparkSession, path: str) -> DataFrame:
-    """(path, triples, error) of each file; error is null if the XML is well-formed."""
+def well_formed(spark: SparkSession, path: str, piece_bytes: int = 64 << 20) -> DataFrame:
+    """(path, triples, error) of each file, of any size; error is null if the XML is well-formed.
+
+    Files are read by ranges of bytes, as by read_split: every range is parsed with the root's tag before it, and, if it doesn't hold
+    the file's end, with the closing one behind it. All bytes are in one range's share; Spark passes over files without any; of several errors that of the first range counts.
+    """
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for file, content in zip(b["path"], b["content"], strict=True):
-                n = 0
+            for file, n, first, end, at, text, close in b.itertuples(index=False):
+                part, count = _Range(*_store(file), first, end), 0
+                part.leads = n == 0
+                body, last = part.content(at)
                 try:
-                    for found in parse(content):
-                        n += len(found)
-                    rows.append((file, n, None))
+                    for found in parse(bytes(text) + body + (b"" if last else bytes(close))) if body else ():
+                        count += len(found)
+                    rows.append((file, n, count, None))
                 except ElementTree.ParseError as e:
-                    rows.append((file, n, str(e)))
-            yield pd.DataFrame(rows, columns=["path", "triples", "error"])
+                    rows.append((file, n, count, f"{e} (bytes {first} to {end})"))
+            yield pd.DataFrame(rows, columns=["path", "n", "triples", "error"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(check, "path string, triples long, error string")
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for file in b["file"]:
+                store, at = _store(file)
+                with store.open_input_file(at) as source:
+                    content = source.read_at(PROLOG, 0)  # no root, or one that is a single tag
+                try:
+                    rows.append((file, 0, sum(len(x) for x in parse(content)), None))
+                except ElementTree.ParseError as e:
+                    rows.append((file, 0, 0, str(e)))
+            yield pd.DataFrame(rows, columns=["path", "n", "triples", "error"])
+
+    work, rootless = _planned(spark, path, piece_bytes)
+    kind = "path string, n int, triples long, error string"
+    found = spark.createDataFrame([], kind)
+    if rootless:
+        found = found.unionByName(_dealt(spark, [(f,) for f in rootless], "file string").mapInPandas(whole, kind))
+    if work := [w for w in work if w[0] not in set(rootless)]:
+        found = found.unionByName(_dealt(spark, work, _WORK).mapInPandas(check, kind))
+    first = F.min(F.when(F.col("error").isNotNull(), F.struct("n", "error")))["error"]
+    return found.groupBy("path").agg(F.sum("triples").alias("triples"), first.alias("error"))
 
 
 def _xml(c: Column) -> Column:

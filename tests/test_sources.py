@@ -72,6 +72,27 @@ def test_rdfxml_is_split_anywhere(spark, tmp_path):
         assert found.where("s like '\\_:%'").select("s").distinct().count() == 12
 
 
+GOOD = "".join(f'<x:P rdf:about="http://x#{i}"><x:n>{i} &lt; </x:n></x:P>\n<!-- </x:P> & -->' for i in range(9))
+ODD = {
+    "whole": (GOOD, True), "nothing inside": ("", True), "behind": (GOOD + "</rdf:RDF>  \n<!-- end -->\n", True), "junk behind": (GOOD + "</rdf:RDF>  \n<x/>", False), "text behind": (GOOD + "</rdf:RDF> text", False),
+    "unclosed": (GOOD + "<x:P>", False), "closed twice": (GOOD + "</x:P>" + GOOD, False), "ampersand between": (GOOD + " & " + GOOD, False), "text between": (GOOD + " text " + GOOD, True), "bad name": (GOOD + "<1x/>" + GOOD, False),
+    "crossed": (GOOD + "<x:a><x:b></x:a></x:b>" + GOOD, False), "less than": (GOOD + "<x:a> < </x:a>" + GOOD, False), "no prefix": (GOOD + "<q:a/>", False), "open comment": (GOOD + "<!-- ", False), "twice an attribute": (GOOD + '<x:a x:b="1" x:b="2"/>', False),
+}
+
+
+@pytest.mark.parametrize("size", [40, 1 << 20])
+def test_well_formed_by_ranges(spark, tmp_path, size):
+    """What a parser says of a whole file, said range by range; breaks at either end and between elements."""
+    head = '<?xml version="1.0"?>\n<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:x="http://x#">'
+    for name, (body, _) in ODD.items():
+        put(tmp_path / f"{name}.rdf", head + body + ("" if "</rdf:RDF>" in body else "</rdf:RDF>"))
+    put(tmp_path / "cut.rdf", head + GOOD), put(tmp_path / "text.rdf", "no tag"), put(tmp_path / "single.rdf", head[:-1] + "/>")
+    want = {n: good for n, (_, good) in ODD.items()} | {"cut": False, "text": False, "single": True}
+    found = {r["path"].rsplit("/", 1)[1].replace("%20", " ")[:-4]: (r["error"] is None, r["triples"]) for r in rdfxml.well_formed(spark, str(tmp_path), size).collect()}
+    assert {n: x[0] for n, x in found.items()} == want
+    assert found["whole"][1] == found["behind"][1] == 18 and found["text between"][1] == 36
+
+
 def test_delimited(spark, tmp_path):
     path = put(tmp_path / "a.tsv", "# note\nPlant_ID\t Name \n1\tCafé\n2\n", "latin-1")
     assert formats.sniff_encoding(spark, path) == "ISO-8859-1" and formats.sniff_delimiter(spark, path) == "\t"
