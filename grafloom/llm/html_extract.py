@@ -335,6 +335,19 @@ class Maker:
     def attr(self, *names: str) -> str:
         return self.one(f' class="{self.one(*names)}"', f' id="{self.one(*names)}"', f' class="{self.one(*names)} {self.one("wide", "box", "block", "js", "dark")}"')
 
+    def plain_wrap(self) -> tuple[str, str]:
+        """One to three divs whose names say nothing of what they hold."""
+        names = ("wrapper", "wrap", "container", "row", "col", "column", "inner", "page", "site", "layout", "grid", "panel", "root", "outer", "cell", "area")
+        n = int(self.rng.integers(1, 4))
+        return "".join(f"<div{self.one('', self.attr(*names), self.attr(*names))}>" for _ in range(n)), "</div>" * n
+
+    def rights(self) -> str:
+        """What stands below a page without any name: who owns it."""
+        year, who = int(self.rng.integers(1995, 2027)), self.words(1, 3)
+        said = self.one(f"Copyright {year} {who}", f"&copy; {year} {who}", f"Copyright &copy; {year} {who}. All rights reserved.", f"All rights reserved. {who}", f"{year} &copy; {who}")
+        tag = self.one("p", "p", "div", "small", "address", "center")
+        return f"<{tag}>{said}{self.one('', f' <a href=/terms>{self.words(1, 2)}</a>')}</{tag}>"
+
     def aside(self) -> str:
         """A block that isn't main text."""
         n = int(self.rng.integers(1, 7))
@@ -372,9 +385,11 @@ class Maker:
             elif kind < 0.18:
                 out.append(f"<blockquote>{self.one('<p>', '')}<!--=-->{text}</blockquote>")
             elif kind < 0.22:
-                out.append(f"<table><tr><td><!--=-->{self.words(1, 4)}</td><td><!--=-->{self.words(1, 4)}</td></tr></table>")
+                cells, rows = int(self.rng.integers(1, 4)), int(self.rng.integers(1, 5))
+                row = lambda tag: "<tr>" + "".join(f"<{tag}><!--=-->{self.words(1, 4)}</{tag}>" for _ in range(cells)) + "</tr>"  # noqa: E731, B023
+                out.append(f"<table{self.one('', '', self.attr('table', 'data', 'facts'))}>{self.one('', row('th'))}{''.join(row('td') for _ in range(rows))}</table>")
             elif kind < 0.25:
-                out.append(f"<pre><!--=-->{text}</pre>")
+                out.append(self.one("<pre>", "<pre><code>", "<pre class=code>") + f"<!--=-->{self.one(text, self.words(1, 6))}</pre>")
             elif kind < 0.28:
                 out.append(f"<figure><figcaption><!--=-->{text}</figcaption></figure>")
             elif kind < 0.33:
@@ -400,16 +415,28 @@ class Maker:
         title = f"<h1><!--=-->{self.words(1, 12)}</h1>"
         odd = "".join(self.one(*"abcdefhkmprstxyz") for _ in range(5))
         wrap = self.one(("<article>", "</article>"), ("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"), (f"<div{self.attr('content', 'post', 'entry', 'article', 'story', 'main', 'article-body', 'post-content')}>", "</div>"), (f"<article{self.attr('post', 'story', 'entry')}>", "</article>"), (f"<section{self.attr('content', 'article', 'story')}>", "</section>"), self.one((f"<div class={odd}><div>", "</div></div>"), (f"<div id=page><div class={odd}>", "</div></div>")))
+        if self.rng.random() < 0.06:  # a page of one block, or two
+            text = self.words(3, 40, self.one(".", "", "!"))
+            if self.rng.random() < 0.4:
+                at = text.find(" ", len(text) // 2)
+                text = text[:at] + self.one(" < ", " &lt; ", " > ", " &amp; ", " = ") + text[at + 1 :] if at > 0 else text
+            tag = self.one("p", "p", "p", "div", "h1", "pre", "")
+            block = f"<!--=-->{text}" if not tag else f"{self.one('', '', title)}<{tag}><!--=-->{text}</{tag}>"
+            return self.one("", "", "<body>", head) + block
         inner = maybe(0.95, lambda: title) + self.body() + maybe(0.12, self.comments)
+        if self.rng.random() < 0.15:
+            wrap = self.plain_wrap()
         if self.rng.random() < 0.1:  # paragraphs in the body and little else
-            return head + maybe(0.3, self.aside) + maybe(0.8, lambda: title) + self.body() + maybe(0.3, lambda: "<hr>" + self.aside()) + maybe(0.2, lambda: f"<footer>&copy; {self.words(1, 6, '.')}</footer>") + self.one("</body></html>", "")
+            return head + maybe(0.3, self.aside) + maybe(0.8, lambda: title) + self.body() + maybe(0.3, lambda: "<hr>" + self.aside()) + maybe(0.2, lambda: f"<footer>&copy; {self.words(1, 6, '.')}</footer>") + maybe(0.15, self.rights) + self.one("</body></html>", "")
         if self.rng.random() < 0.1:  # columns made with a table
             column = lambda: f"<td{self.one('', ' width=150', self.attr('left', 'menu', 'nav', 'side', 'column'))}>{self.one(lambda: f'<ul>{self.links(int(self.rng.integers(2, 8)))}</ul>', lambda: '<br>'.join(f'<a href=/{i}>{self.words(1, 2)}</a>' for i in range(int(self.rng.integers(2, 8)))), self.aside)()}</td>"
             wide = self.one("", " colspan=2", " colspan=3")
             wrap = (f"<table{self.one('', ' border=0', ' width=100%')}>{maybe(0.5, lambda: f'<tr><td{wide}>{self.one(self.words(1, 4), f"<a href=/>{self.words(1, 2)}</a>")}</td></tr>')}<tr>{maybe(0.8, column)}<td>", f"</td>{maybe(0.4, column)}</tr></table>")
         top = maybe(0.3, lambda: f"<header{self.one('', self.attr('header', 'masthead', 'site-header'))}><p>{self.words(1, 6)}</p>{self.one('', f'<ul>{self.links(3)}</ul>')}</header>")
         foot = self.one(lambda: f"<footer>&copy; {self.words(1, 3)} &middot; {self.words(2, 16, '.')}</footer>", lambda: f"<footer><p>{self.words(1, 12, '.')}</p><ul>{self.links(3)}</ul></footer>", lambda: f"<div{self.attr('footer', 'copyright', 'legal')}>&copy; {self.words(1, 14, '.')}</div>")()
-        parts = [head, top, *(self.aside() for _ in range(int(self.rng.integers(0, 4)))), wrap[0], inner, wrap[1], maybe(0.25, self.comments), *(self.aside() for _ in range(int(self.rng.integers(0, 3)))), maybe(0.9, lambda: foot), self.one("</body></html>", "</body></html>", "")]
+        foot = self.rights() if self.rng.random() < 0.2 else foot
+        around = self.plain_wrap() if self.rng.random() < 0.3 else ("", "")
+        parts = [head, around[0], top, *(self.aside() for _ in range(int(self.rng.integers(0, 4)))), wrap[0], inner, wrap[1], maybe(0.25, self.comments), *(self.aside() for _ in range(int(self.rng.integers(0, 3)))), maybe(0.9, lambda: foot), around[1], self.one("</body></html>", "</body></html>", "")]
         return "".join(parts)
 
     def example(self) -> tuple[list[Block], np.ndarray]:
