@@ -10,7 +10,7 @@ from grafloom.operators import triples as T
 from grafloom.plans import build
 from grafloom.plans import views as V
 from grafloom.scratch import scratch_path
-from grafloom.sources import external, formats, ntriples, rdfxml, sinks, turtle
+from grafloom.sources import datasource, external, formats, ntriples, rdfxml, sinks, turtle
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -496,3 +496,24 @@ def xml_of_suppliers(spark, d):
         row = found.select(F.lit(kind).alias("kind"), (F.col("errors") == 0).alias("whole"), F.when(F.col("errors") == 0, F.col("n")).alias("triples"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@query("SELECT p_partkey::VARCHAR AS identifier, p_name || ' ' || p_type AS name, CASE WHEN p_size % 2 = 0 THEN p_brand END AS brand FROM part WHERE p_size % 2 = 0 AND p_brand = 'Brand#12' OR p_size = 7")
+def sdf_source(spark, d):
+    """Molecules by a registered data source, in ranges of bytes, with a filter that the reader takes."""
+    datasource.register(spark)
+    p = V.table(spark, d, "part")
+    text = F.concat(F.lit("\n  mol\n> <identifier>\n"), _s("p_partkey"), F.lit("\n\n> <name>\n"), "p_name", F.lit("\n"), "p_type", F.lit("\n\n> <size>\n"), _s("p_size"), F.lit("\n\n"), F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("> <brand>\n"), "p_brand", F.lit("\n\n"))).otherwise(""))
+    path = _text(spark, p.select(text.alias("value")), "sdf", line_sep="$$$$")
+    rows = lambda: spark.read.format("sdf").option("tags", "identifier,name,brand,size").option("pieceBytes", 1000).option("pushFilters", "true").load(path)
+    return rows().where("brand = 'Brand#12'").unionByName(rows().where("size = '7' and (brand is null or brand <> 'Brand#12')")).select("identifier", "name", "brand")
+
+
+@query("SELECT 'DOID:' || n_nationkey AS id, n_name AS name, 'DOID:' || (100 + n_regionkey) AS parent FROM nation WHERE n_nationkey % 5 <> 0")
+def obo_source(spark, d):
+    """Terms by a registered data source, cut every few bytes."""
+    datasource.register(spark)
+    n = V.table(spark, d, "nation")
+    text = F.concat(F.lit("[Term]\nid: DOID:"), _s("n_nationkey"), F.lit("\nname: "), "n_name", F.lit("\nis_a: DOID:"), (100 + F.col("n_regionkey")).cast("string"), F.lit(" ! x"), F.when(F.col("n_nationkey") % 5 == 0, "\nis_obsolete: true").otherwise(""))
+    path = _text(spark, n.select(text.alias("value")), "obo", line_sep="\n\n")
+    return spark.read.format("obo").option("pieceBytes", 50).load(path).select("id", "name", F.explode("parents").alias("parent"))
