@@ -12,7 +12,8 @@ none is reported by chance.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from math import ceil
 
@@ -28,9 +29,10 @@ from grafloom.llm.common import bare, fresh, materialise
 #: Runs of letters and digits, compared in lower case.
 TOKEN = re.compile(r"[^\W_]+")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-#: Characters of items that are searched for at once; a larger benchmark takes more passes over the documents.
-#: With sketches of five-word items an index takes about 4 bytes a character: 16 MB in the driver and in each worker.
-BLOCK_CHARS = 4_000_000
+#: Characters of items that are searched for at once; a larger benchmark takes more passes over the documents. An index
+#: holds 12 bytes a sketched hash, one for about thirty characters, and the items' texts compressed: about a byte a character, so
+#: 32 MB in the driver and in each worker. A benchmark of 100 MB takes four passes.
+BLOCK_CHARS = 32_000_000
 #: Items whose shingles a worker keeps for the next verification.
 KEPT_ITEMS = 256
 
@@ -83,9 +85,9 @@ class Partition:
 
 
 class Index:
-    """The partitions of a block of items, and the items' texts for verification."""
+    """The partitions of a block of items, and the items' texts, compressed, for verification."""
 
-    def __init__(self, items: list[tuple[int, str]], width: int, threshold: float):
+    def __init__(self, items: Iterable[tuple[int, str]], width: int, threshold: float):
         self.width, self.threshold, self.items, by = width, threshold, [], {}
         for key, text in items:
             found = tokens(text)
@@ -94,18 +96,21 @@ class Index:
             w, need = min(width, len(found)), _needed(len(want), threshold)
             sketch = np.sort(np.array([hashes(list(s), w)[0] for s in want], dtype=np.uint64))[: len(want) - need + 1]
             by.setdefault((w, need.bit_length()), []).append((len(self.items), np.unique(sketch), need))
-            self.items.append((key, text))
+            self.items.append((key, zlib.compress(text.encode(), 1)))
         self.partitions = [Partition(w, entries) for (w, _), entries in sorted(by.items())]
         self.kept: dict[int, set] = {}
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"kept": {}}
 
-    def _want(self, item: int) -> set[tuple[str, ...]]:
+    def _want(self, item: int) -> tuple[set[tuple[str, ...]], int, np.ndarray]:
+        """An item's shingles, their width, and their hashes in order."""
         if item not in self.kept:
             if len(self.kept) >= KEPT_ITEMS:
                 self.kept.clear()
-            self.kept[item] = shingles(tokens(self.items[item][1]), self.width)
+            want = shingles(tokens(zlib.decompress(self.items[item][1]).decode()), self.width)
+            w = len(next(iter(want)))
+            self.kept[item] = want, w, np.sort(np.array([hashes(list(s), w)[0] for s in want], dtype=np.uint64))
         return self.kept[item]
 
     def search(self, text: str | None) -> list[tuple[int, int, int]]:
@@ -113,7 +118,7 @@ class Index:
         found = tokens(text)
         if not found:
             return []
-        mine, own, out, hits = {}, {}, [], set()
+        mine, out, hits = {}, [], set()
         for p in self.partitions:
             if len(found) - p.width + 1 < p.least:
                 continue
@@ -121,11 +126,12 @@ class Index:
                 mine[p.width] = hashes(found, p.width)
             hits.update(p.hits(mine[p.width]).tolist())
         for i in sorted(hits):
-            want = self._want(i)
-            w = len(next(iter(want)))
-            if w not in own:
-                own[w] = {tuple(found[j : j + w]) for j in range(len(found) - w + 1)}
-            if (shared := len(want & own[w])) >= _needed(len(want), self.threshold):
+            want, w, theirs = self._want(i)
+            # words are compared only where a hash is the item's
+            at = np.flatnonzero(theirs[np.minimum(np.searchsorted(theirs, mine[w]), len(theirs) - 1)] == mine[w])
+            if len(at) < (need := _needed(len(want), self.threshold)):
+                continue
+            if (shared := len(want & {tuple(found[j : j + w]) for j in at.tolist()})) >= need:
                 out.append((self.items[i][0], shared, len(want)))
         return out
 
