@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from grafloom.functions import mining, terms
+from grafloom.functions import mining, terms, vernacular
 from grafloom.operators import audit, evidence, graph, ingest
 from grafloom.operators import triples as T
 from grafloom.plans import build
@@ -517,3 +517,15 @@ def obo_source(spark, d):
     text = F.concat(F.lit("[Term]\nid: DOID:"), _s("n_nationkey"), F.lit("\nname: "), "n_name", F.lit("\nis_a: DOID:"), (100 + F.col("n_regionkey")).cast("string"), F.lit(" ! x"), F.when(F.col("n_nationkey") % 5 == 0, "\nis_obsolete: true").otherwise(""))
     path = _text(spark, n.select(text.alias("value")), "obo", line_sep="\n\n")
     return spark.read.format("obo").option("pieceBytes", 50).load(path).select("id", "name", F.explode("parents").alias("parent"))
+
+
+@query("""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'stone leek' WHEN 1 THEN 'sjambok pod' WHEN 2 THEN 'tree sea lavender' ELSE 'ginger' END AS name, CASE doc_id % 5 WHEN 0 THEN 'explicit' WHEN 1 THEN 'vernacular' WHEN 2 THEN 'this' ELSE 'caption' END AS rule, CASE doc_id % 5 WHEN 3 THEN 'caption' ELSE 'general' END AS field, CASE doc_id % 5 WHEN 3 THEN 0 ELSE 1 END::BIGINT AS occurrences FROM documents WHERE doc_id % 5 < 4""")
+def names_in_prose(spark, d):
+    """The best vernacular name of each text with its field and rule, in front of the whole text."""
+    m = F.col("doc_id") % 5
+    lead = F.when(m == 0, "Locally known as the stone leek, it grows. ").when(m == 1, "Vernacular names: sjambok pod; ").when(m == 2, "This tree sea lavender, found on islands, is rare. ").otherwise("")
+    docs = V.table(spark, d, "documents")
+    prose = docs.select(F.col("doc_id").alias("id"), F.lit("KSP").alias("source"), F.lit("general").alias("field"), F.concat(lead, F.lower("text")).alias("text"))
+    captions = docs.where(m == 3).select(F.col("doc_id").alias("id"), F.lit("IMG").alias("source"), F.lit("caption").alias("field"), F.lit("Zingiber officinale (Ginger)").alias("text"))
+    best = vernacular.best_names(prose.unionByName(captions), docs.select(F.col("doc_id").alias("id"), F.lit("Zingiber officinale").alias("scientific")))
+    return best.select(F.col("id").alias("doc_id"), "name", "rule", "field", "occurrences")
