@@ -12,7 +12,7 @@ CASES = [  # text, narrative field, (name, rule) in order
     ("Vernacular names: sjambok pod (English)", False, [("sjambok pod", "vernacular")]),
     ("Known as Smith, J., Jones & Co. 1999", False, [("smith", "explicit")]),
     ("Adanson, M., 1763. Plain.", True, []),
-    ("This tree sea lavender, found on islands, is rare. Plain words.", True, [("tree sea lavender", "this")]),
+    ("This tree sea lavender, found on islands, is rare. Plain words.", True, [("tree sea lavender", "this"), ("tree sea lavender", "lead")]),
     ("This tree sea lavender, found on islands, is rare.", False, []),
     ("Baobab, the giant of the plains. Baobab trees live long.", True, [("baobab", "lead")]),
     ("One. Two. Kapok, soft.", True, []),
