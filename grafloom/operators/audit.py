@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from grafloom.functions import terms
 from grafloom.operators.triples import with_terms
+from grafloom.scratch import parts_for
 
 
 def predicate_counts(t: DataFrame) -> DataFrame:
@@ -106,7 +107,7 @@ def stratified_sample(rows: DataFrame, stratum: str, order: str, *ties: Column,
     `order` is a numeric column, `ties` break its ties. A row's place over all rows is its place in a range of
     the order plus the rows of earlier ranges; ranges are cut at approximate quantiles, so none is counted in one task.
     """
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = parts_for(rows)
     cuts = sorted(set(rows.approxQuantile(order, [i / n for i in range(1, n)], 0.5 / n)))
     part = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<double>"), lambda c: c < F.col(order))) if cuts else F.lit(0)
     own = Window.partitionBy(stratum).orderBy(order, *ties)

@@ -22,10 +22,11 @@ def unreplicated(found: DataFrame, families: DataFrame, source: str, least: int
     known family count as others), and only this plant of the family (a, family) has it.
     """
     x = found.join(families.select("a", "family"), "a", "left")
-    n = x.groupBy("b").agg(F.count("*").alias("n"))
-    nf = x.groupBy("b", "family").agg(F.count("*").alias("nf"))
-    alone = x.where((F.size("sources") == 1) & (F.get("sources", F.lit(0)) == source) & F.col("family").isNotNull())
-    return alone.join(n, "b").join(nf, ["b", "family"]).where((F.col("n") >= least) & (F.col("n") - F.col("nf") >= outside) & (F.col("nf") == 1)).select("a", "b")
+    sole = (F.size("sources") == 1) & (F.get("sources", F.lit(0)) == source) & F.col("family").isNotNull()
+    per = x.groupBy("b", "family").agg(F.count("*").alias("nf"), F.max(F.when(sole, F.col("a"))).alias("a"))
+    # an array of at most a plant a family
+    per = per.groupBy("b").agg(F.sum("nf").alias("n"), F.collect_list(F.when(F.col("nf") == 1, F.col("a"))).alias("alone"))
+    return per.where((F.col("n") >= least) & (F.col("n") - 1 >= outside)).select(F.explode("alone").alias("a"), "b")
 
 
 def evidence_union(rows: DataFrame, keys: list[str], flags: Mapping[str, Column], only: str) -> DataFrame:

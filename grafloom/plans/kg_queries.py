@@ -454,7 +454,7 @@ def datatype_check(spark, d):
 @query("""SELECT 'inNation' AS p, 'domain' AS side, count(*) AS n, min('c' || c_custkey) AS example FROM customer""")
 def domain_range_check(spark, d):
     """Customers break the domain that says only suppliers lie in nations."""
-    t = V.edges(spark, d).where("p in ('inNation', 'inRegion')")
+    t = V.stored_edges(spark, d).where("p in ('inNation', 'inRegion')")
     kind = F.substring("x", 1, 1)
     types = t.select(F.explode(F.array("s", "o")).alias("x")).distinct().select(F.col("x").alias("s"), kind.alias("class"))
     groups = spark.createDataFrame([("s", "agent", "supplier"), ("c", "agent", "customer"), ("n", "place", None), ("r", "place", None)], "class string, grp string, sub string")

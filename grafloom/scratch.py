@@ -51,3 +51,10 @@ def discard(df: DataFrame) -> None:
             raise ValueError(f"{path} is not an intermediate table")
         store, at = _file_system(df.sparkSession, path)
         store.delete(at, True)
+
+
+def parts_for(df: DataFrame, bytes_a_part: int = 256 << 20) -> int:
+    """Partitions for a sort or a range partitioning of df: spark.sql.shuffle.partitions, or more if Spark's estimate of its bytes asks for it."""
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    # estimates of joins can be far off: never more than 100,000
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(100_000, -(-estimate // bytes_a_part)))

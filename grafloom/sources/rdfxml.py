@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grafloom.functions import terms
+from grafloom.scratch import parts_for
 
 RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
 XML = "http://www.w3.org/XML/1998/namespace"
@@ -417,7 +418,7 @@ def write(t: DataFrame, path: str, prefixes: Mapping[str, str], whole_parts: boo
     spark = t.sparkSession
     head = '<?xml version="1.0" encoding="UTF-8"?>\n<rdf:RDF' + "".join(f'\n  xmlns:{k}="{v}"' for k, v in prefixes.items()) + ">"
     end = lambda text: spark.createDataFrame([(text,)], "value string").coalesce(1)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = parts_for(t)
     body = lines(t, prefixes).repartitionByRange(n, "about", "line").sortWithinPartitions("about", "line").mapInPandas(_in_elements(head if whole_parts else None), "value string")
     out = body if whole_parts else end(head).unionByName(body).unionByName(end("</rdf:RDF>"))
     out.write.mode("overwrite").text(path)

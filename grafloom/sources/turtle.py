@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grafloom.functions import terms
+from grafloom.scratch import parts_for
 from grafloom.sources.rdfxml import RDF, TRIPLES, _escape, _resolve, hash_text
 
 XSD = "http://www.w3.org/2001/XMLSchema#"
@@ -182,6 +183,6 @@ def write(t: DataFrame, path: str, prefixes: Mapping[str, str]) -> None:
         yield pd.DataFrame({"value": head}, dtype=object)
         yield from batches
 
-    n = int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = parts_for(t)
     lines = t.select(F.concat_ws(" ", short("s"), short("p"), short("o"), F.lit(".")).alias("value")).distinct()
     lines.repartitionByRange(n, "value").sortWithinPartitions("value").mapInPandas(run, "value string").write.mode("overwrite").text(path)

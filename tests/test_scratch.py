@@ -30,3 +30,9 @@ def test_a_cluster_must_name_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch.shared_dir(Fake())
+
+
+def test_partitions_follow_the_bytes(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert scratch.parts_for(df) == 8 and scratch.parts_for(df, 100) > 50 and scratch.parts_for(df, 0 + 1) <= 100_000
