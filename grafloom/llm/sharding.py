@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grafloom.llm.common import fresh, materialise
+from grafloom.scratch import parts_for
 
 #: Bytes that a row counts besides its text.
 ROW_BYTES = 16
@@ -51,7 +52,7 @@ def assign(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
     id_, size, crc, place, part, before, row, bytes_, rows_, whole, of, first = fresh(docs, "id", "size", "crc", "place", "part", "before", "row", "bytes", "rows", "whole", "of", "first")
     raw = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{id_col}`").alias(id_), (F.octet_length(raw) + F.lit(ROW_BYTES)).cast("long").alias(size), F.crc32(raw).alias(crc), F.monotonically_increasing_id().alias(place))
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = parts_for(rows)
     order = [id_, crc, size, place]
     rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).drop(place, id_)
     rows = rows.withColumns({part: F.spark_partition_id(), before: F.lit(0).cast("long"), row: F.lit(0).cast("long")})
@@ -71,5 +72,5 @@ def assign(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
 
 def write_shards(assigned: DataFrame, path: str) -> None:
     """Writes a folder shard=N for each shard; its files hold consecutive slots, in order. A shard is written by as many tasks as its rows need."""
-    n = int(assigned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = parts_for(assigned)
     assigned.repartitionByRange(n, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
