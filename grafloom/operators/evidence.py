@@ -161,11 +161,13 @@ JUNK_LABEL = r"(?i)\bunknown\b|\bsp\.\s*[A-Z0-9]|strain|\[|\d{3,}"
 
 
 def plant_status(rows: DataFrame, names: DataFrame, genera: DataFrame, junk: DataFrame, classes: DataFrame) -> DataFrame:
-    """rows (node, label, is_plant) with `keep` and `status`, or why a node goes.
+    """rows (node, label, is_plant) with `keep` and `status`, or why a node goes. A node without a label gets its local name, spaced out, as one.
 
     In order: a known plant's binomial (names: name), a known plant's genus (genera: genus) unless tagged as junk (junk: node),
     the lineage's verdict `is_plant`, a junk name, what the node was classified as (classes: node, status), else unverified.
     """
+    spelled = F.translate(F.regexp_replace(F.regexp_replace("node", r"^<.*[#/]|>$", ""), "^(Plant|Organism)_", ""), "_", " ")
+    rows = rows.withColumn("label", F.coalesce(F.nullif("label", F.lit("")), spelled))
     two = terms.binomial(F.col("label"))
     flag = lambda df, key, name: df.select(F.col(key).alias(f"__{name}")).distinct()
     x = rows.withColumn("__two", two).withColumn("__first", F.split("__two", " ")[0])

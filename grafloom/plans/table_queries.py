@@ -529,3 +529,16 @@ def names_in_prose(spark, d):
     captions = docs.where(m == 3).select(F.col("doc_id").alias("id"), F.lit("IMG").alias("source"), F.lit("caption").alias("field"), F.lit("Zingiber officinale (Ginger)").alias("text"))
     best = vernacular.best_names(prose.unionByName(captions), docs.select(F.col("doc_id").alias("id"), F.lit("Zingiber officinale").alias("scientific")))
     return best.select(F.col("id").alias("doc_id"), "name", "rule", "field", "occurrences")
+
+
+@query("""WITH r AS (SELECT c_custkey, c_custkey % 6 AS k FROM customer) SELECT c_custkey, CASE k WHEN 0 THEN 'Panax ginseng' WHEN 1 THEN 'Panax novus' WHEN 2 THEN 'Odd thing' WHEN 3 THEN 'Homo sapiens' WHEN 4 THEN 'Panax strain 7' ELSE 'Herb one' END AS label,
+    CASE k WHEN 0 THEN 'ncbi_plant_name' WHEN 1 THEN 'ncbi_plant_genus' WHEN 2 THEN 'ncbi_viridiplantae' WHEN 3 THEN 'ncbi_lineage_not_viridiplantae' WHEN 4 THEN 'junk_name' ELSE 'unverified' END AS status, k NOT IN (3, 4) AS keep FROM r""")
+def statuses_of_customers(spark, d):
+    """What a label, a lineage and a class make of a node; every other one has no label but its own name."""
+    k, i = F.col("c_custkey") % 6, F.col("c_custkey")
+    name = F.when(k == 0, "Panax ginseng").when(k == 1, "Panax novus").when(k == 2, "Odd thing").when(k == 3, "Homo sapiens").when(k == 4, "Panax strain 7").otherwise("Herb one")
+    node = F.concat(F.lit("<http://x/"), i.cast("string"), F.lit("#Plant_"), F.translate(name, " ", "_"), F.lit(">"))
+    rows = V.table(spark, d, "customer").select("c_custkey", node.alias("node"), F.when(F.floor(i / 6) % 2 == 0, name).otherwise(F.when(F.floor(i / 6) % 4 == 1, "")).alias("label"), F.when(k == 2, True).when(k == 3, False).alias("is_plant"))
+    none = spark.createDataFrame([], "node string, status string")
+    out = evidence.plant_status(rows, spark.createDataFrame([("panax ginseng",)], "name string"), spark.createDataFrame([("panax",)], "genus string"), none.select("node"), none)
+    return out.select("c_custkey", "label", "status", "keep")

@@ -101,13 +101,14 @@ class LookupTable:
 
 
 def first_existing(folders: Iterable[str], *names: str, required: bool = True) -> str | None:
-    """The first of the names that is in one of the folders, on the driver's disk."""
+    """The first of the names that is in one of the folders, which are paths or URIs of any store."""
+    folders = [str(f).rstrip("/") for f in folders]
     for n in names:
         for f in folders:
-            if (p := Path(f, n)).exists():
-                return str(p)
+            if _there(f"{f}/{n}"):
+                return f"{f}/{n}"
     if required:
-        raise FileNotFoundError(f"none of {', '.join(names)} in {', '.join(map(str, folders))}")
+        raise FileNotFoundError(f"none of {', '.join(names)} in {', '.join(folders)}")
     return None
 
 
