@@ -1,7 +1,7 @@
 """Record files as data sources of Spark: `spark.read.format("sdf")` and `"obo"` after `register(spark)`.
 
 A file is cut into ranges of bytes, one a partition; a record belongs to the range that it begins in, so files of any size are read side by
-side. With the option `pushFilters` the reader takes filters on columns and passes over records before they become rows; a frame that
+side. The option `pieceBytes` is a range's size; where that would make more than `MOST_PIECES` of them, ranges grow up to `PIECE_BYTES`, so tasks stay few. With the option `pushFilters` the reader takes filters on columns and passes over records before they become rows; a frame that
 was loaded so is for one use. Paths may be files, folders or patterns like part-*, in any store that pyarrow knows.
 
     spark.read.format("sdf").option("tags", "id,name").load(path)         # a string column for each tag
@@ -21,8 +21,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import datasource as ds
 
 PIECE_BYTES = 32 << 20
+#: Ranges of a load, unless they would be larger than `PIECE_BYTES` then.
+MOST_PIECES = 200
 #: Bytes that are read at once, behind a range too, until its last record ends.
-STEP = 1 << 20
+STEP, LEAST_STEP = 1 << 20, 1 << 14
 
 
 def _open(path: str):
@@ -59,25 +61,26 @@ def records(file: str, first: int, end: int, delimiter: bytes) -> Iterator[str]:
             start -= run
             if run < len(back):
                 break
-        held, place, wanted = b"", start, first == 0
+        held, at, place, wanted = b"", 0, start, first == 0
         while True:
-            more = source.read_at(STEP, place)
+            # a short range asks for little more than itself
+            more = source.read_at(min(STEP, max(end - place, LEAST_STEP)), place)
             place += len(more)
-            held += more
-            while (cut := held.find(delimiter)) >= 0:
+            held, at = held[at:] + more, 0
+            while (cut := held.find(delimiter, at)) >= 0:
                 if wanted:
-                    yield held[:cut].decode("utf-8", "replace")
-                begin = place - len(held) + cut + len(delimiter)
-                held = held[cut + len(delimiter) :]
+                    yield held[at:cut].decode("utf-8", "replace")
+                at = cut + len(delimiter)
+                begin = place - len(held) + at
                 wanted = begin >= first
                 if begin >= end:
                     return
             if not more:
-                if wanted and held:
-                    yield held.decode("utf-8", "replace")
+                if wanted and at < len(held):
+                    yield held[at:].decode("utf-8", "replace")
                 return
             if not wanted:
-                held = held[-(len(delimiter) - 1) :] if len(delimiter) > 1 else b""
+                at = max(at, len(held) - len(delimiter) + 1)
 
 
 _TESTS: dict[type, Callable] = {
@@ -92,7 +95,9 @@ class RecordReader(ds.DataSourceReader):
         self.columns, self.filters = [c.split()[0] for c in source.columns()], []
 
     def partitions(self) -> list[Piece]:
-        return [Piece(file, a, min(a + self.piece, size)) for file, size in files(self.path) for a in range(0, size, self.piece)]
+        found = files(self.path)
+        piece = max(self.piece, min(PIECE_BYTES, -(-sum(size for _, size in found) // MOST_PIECES)))
+        return [Piece(file, a, min(a + piece, size)) for file, size in found for a in range(0, size, piece)]
 
     def read(self, partition: Piece) -> Iterator[tuple]:
         for record in records(partition.file, partition.first, partition.end, self.delimiter):
