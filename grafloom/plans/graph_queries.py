@@ -177,10 +177,14 @@ def sketched_profile(spark, d):
     found = audit.profile_figures(audit.merge_profiles(audit.profile(t.where(half == 0)), audit.profile(t.where(half == 1))))
     per = t.groupBy("p", "s").agg(F.count("*").alias("n")).groupBy("p").agg(F.count("*").alias("n_s"), F.max("n").alias("n_most"))
     lengths = F.length(F.regexp_extract("o", r'(?s)^"(.*)"[^"]*$', 1))
-    rest = t.groupBy("p").agg(F.countDistinct("o").alias("n_o"), F.percentile_approx(lengths, [0.5 - audit.WITHIN_RANK, 0.5 + audit.WITHIN_RANK], F.lit(100_000)).alias("mid"))
-    x = found.join(per, "p").join(rest, "p")
+    # beside a distinct count, the percentiles would be kept for each object
+    objects = t.groupBy("p").agg(F.countDistinct("o").alias("n_o"))
+    middle = t.groupBy("p").agg(F.percentile_approx(lengths, [0.5 - audit.WITHIN_RANK, 0.5 + audit.WITHIN_RANK], F.lit(100_000)).alias("mid"))
+    x = found.join(per, "p").join(objects, "p").join(middle, "p")
     near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= audit.WITHIN_DISTINCT * F.col(b)
-    most = F.col("frequent")[0]["count"].between(F.col("n_most"), F.col("n_most") + F.col("triples") / audit.TRACKED * 4)
+    first, slack = F.get("frequent", F.lit(0))["count"], F.col("triples") / audit.TRACKED * 4
+    # no subject is told where none has more triples than a count may be off by
+    most = F.when(first.isNull(), F.col("n_most") <= slack).otherwise(first.between(F.col("n_most"), F.col("n_most") + slack))
     median = F.col("median_length").isNull() | F.col("median_length").between(F.col("mid")[0], F.col("mid")[1])
     return x.select("p", "triples", "lit", "na", near("subjects", "n_s").alias("subjects_hold"), near("objects", "n_o").alias("objects_hold"), most.alias("most_holds"), median.alias("median_holds"))
 
