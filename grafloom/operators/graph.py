@@ -144,8 +144,9 @@ def with_inverses(t: DataFrame, inverses: DataFrame, symmetric: list[str] | tupl
 
 def inferred_types(t: DataFrame, axioms: DataFrame, kind: str) -> DataFrame:
     """Type triples that domains and ranges, axioms (p, side, class), imply and that aren't there yet."""
-    said = t.join(axioms, "p").select(F.when(F.col("side") == "domain", F.col("s")).otherwise(F.col("o")).alias("s"), F.lit(kind).alias("p"), F.col("class").alias("o"))
-    return said.where("s not like '\"%'").distinct().join(t.select("s", "p", "o"), ["s", "p", "o"], "left_anti")
+    said = t.join(F.broadcast(axioms), "p").select(F.when(F.col("side") == "domain", F.col("s")).otherwise(F.col("o")).alias("s"), F.lit(kind).alias("p"), F.col("class").alias("o"))
+    there = t.where(F.col("p") == kind).select("s", "p", "o")  # nothing else can equal them
+    return said.where("s not like '\"%'").distinct().join(there, ["s", "p", "o"], "left_anti")
 
 
 def chain(first: DataFrame, second: DataFrame) -> DataFrame:
