@@ -139,7 +139,8 @@ def with_inverses(t: DataFrame, inverses: DataFrame, symmetric: list[str] | tupl
     both = both.groupBy("p").agg(F.collect_set("inverse").alias("__to"))  # a row a predicate, so t is read once
     own = F.array(F.struct("s", "p", "o"))
     swapped = F.when(F.col("__to").isNotNull() & ~F.col("o").startswith('"'), F.transform("__to", lambda x: F.struct(F.col("o").alias("s"), x.alias("p"), F.col("s").alias("o"))))
-    return t.join(both, "p", "left").select(F.explode(F.concat(own, F.coalesce(swapped, F.slice(own, 1, 0)))).alias("x")).select("x.s", "x.p", "x.o").distinct()
+    # few predicates have most of the triples, so those aren't dealt by predicate
+    return t.join(F.broadcast(both), "p", "left").select(F.explode(F.concat(own, F.coalesce(swapped, F.slice(own, 1, 0)))).alias("x")).select("x.s", "x.p", "x.o").distinct()
 
 
 def inferred_types(t: DataFrame, axioms: DataFrame, kind: str) -> DataFrame:

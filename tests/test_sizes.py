@@ -51,3 +51,5 @@ def test_frequent_predicates_are_not_dealt_by_predicate(spark):
     axioms = spark.createDataFrame([("in", "range", "Place"), ("in", "domain", "Thing")], "p string, side string, class string")
     types = graph.inferred_types(t, axioms, "type")
     assert [tuple(x) for x in types.collect()] == [("a", "type", "Thing")] and "hashpartitioning(p#" not in _plan(types).split("LeftAnti")[-1]
+    both = graph.with_inverses(t, spark.createDataFrame([("in", "holds")], "p string, inverse string"))
+    assert {tuple(x) for x in both.collect()} == {("a", "in", "b"), ("b", "holds", "a"), ("b", "type", "Place")} and "SortMergeJoin" not in _plan(both)
