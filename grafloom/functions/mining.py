@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,7 +87,7 @@ def validated_names(articles: DataFrame, checked: DataFrame) -> DataFrame:
     return articles.join(found, "pmid", "left").withColumn("species", F.coalesce("species", F.array().cast("array<string>")))
 
 
-# Indications and the words that show them.
+# Indications and the plain words, between bars, that show them.
 INDICATIONS = {
     "analgesic": "analgesic|pain|painkiller|antinociceptive",
     "anti-inflammatory": "anti-inflammatory|antiinflammatory|inflammation|antiinflamm",
@@ -108,16 +110,31 @@ INDICATIONS = {
     "antimalarial": "antimalarial|malaria",
 }
 # Phrases that announce a traditional use.
+#: What the phrases begin with.
+USE_BEGINNINGS = ("traditional", "used in ", "in ayurveda", "in traditional chinese", "in chinese", "in tcm", "ethnomedicin", "ethnopharmacolog")
 USE_PHRASES = r"(?i)(?:traditionall?y used(?: in [^,;.]+)? to\s+[^.;:]+|used in (?:folk|traditional) medicine(?: to)?\s+[^.;:]+|in ayurveda|in (?:traditional )?chinese medicine|in tcm|ethnomedicin[a-z]*|ethnopharmacolog[a-z]*)"
 
 
+def _any_of(text: Column, words: list[str]) -> Column:
+    """Whether the text contains one of the words; those that contain another aren't looked for."""
+    least = [w for w in words if not any(x != w and x in w for x in words)]
+    return reduce(lambda a, b: a | b, [text.contains(w) for w in least])
+
+
 def traditional_uses(text: Column, most: int = 5, length: int = 120) -> Column:
     """Up to `most` entries, sorted: phrases that announce a use, each of at most `length` characters, and one list of the indications that the text names."""
-    phrases = F.transform(F.regexp_extract_all(text, F.lit(USE_PHRASES), F.lit(0)), lambda x: F.substring(terms.squeeze(x), 1, length))
-    low = F.lower(text)
-    labels = F.array_compact(F.array(*[F.when(low.rlike(rx), F.lit(label)) for label, rx in sorted(INDICATIONS.items())]))
-    listed = F.when(F.size(labels) > 0, F.array(F.array_join(labels, "; "))).otherwise(F.array().cast("array<string>"))
-    return F.slice(F.array_sort(F.array_distinct(F.concat(phrases, listed))), 1, most)
+
+    def uses(text: Column, low: Column) -> Column:
+        # expressions are slow on long texts: they begin where the first phrase may, and plain words are looked for as such
+        first = F.least(*[F.nullif(F.instr(low, F.lit(x)), F.lit(0)) for x in USE_BEGINNINGS])
+        rest = F.when(F.length(low) == F.length(text), F.substring(text, F.coalesce(first, F.length(text) + 1), F.length(text))).otherwise(text)  # some letters become two
+        phrases = F.transform(F.regexp_extract_all(rest, F.lit(USE_PHRASES), F.lit(0)), lambda x: F.substring(terms.squeeze(x), 1, length))
+        labels = F.concat_ws("; ", *[F.when(_any_of(low, rx.split("|")), F.lit(label)) for label, rx in sorted(INDICATIONS.items())])
+        listed = F.array_remove(F.array(labels), "")
+        return F.slice(F.array_sort(F.array_distinct(F.concat(phrases, listed))), 1, most)
+
+    # a text is made lower once
+    return F.get(F.transform(F.array(F.struct(text.alias("text"), F.lower(text).alias("low"))), lambda d: uses(d["text"], d["low"])), F.lit(0))
 
 
 def compounds(text: Column, chemicals: Column | None = None) -> Column:
