@@ -8,17 +8,53 @@ of chunks where all of them meet. Within a chunk the numbers are intersected fro
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Names in a chunk, about, and folders of postings.
 CHUNK_NAMES, BUCKETS = 50_000, 64
+#: Numbers of names that a task holds while it makes postings.
+MOST_HELD = 2_000_000
 
 
 def _trigrams(text: str) -> list[str]:
     return sorted({text[i : i + 3] for i in range(len(text) - 2)})
 
 
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, no, name) to (gram, chunk, nos): names that come one after another share lists, which end with the chunk or when there is much in them."""
+    codes, nos, held, at = [], [], 0, None
+
+    def flush() -> pa.RecordBatch:
+        code = np.concatenate(codes)
+        order = np.argsort(code, kind="stable")
+        code, no = code[order], np.repeat(np.array(nos, np.int32), [len(x) for x in codes])[order]
+        begins = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        own = code[begins]
+        letters = np.stack([own >> np.uint64(42), own >> np.uint64(21) & np.uint64(0x1FFFFF), own & np.uint64(0x1FFFFF)], axis=1).astype("<u4").tobytes().decode("utf-32-le")
+        grams = [letters[i : i + 3] for i in range(0, len(letters), 3)]
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[begins, len(code)].astype(np.int32)), pa.array(no))
+        return pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(np.full(len(grams), at, np.int32)), lists], names=["gram", "chunk", "nos"])
+
+    for b in batches:
+        for chunk, no, name in zip(*[b.column(c).to_pylist() for c in ("chunk", "no", "name")], strict=True):
+            if codes and (chunk != at or held > MOST_HELD):
+                yield flush()
+                codes, nos, held = [], [], 0
+            x = np.frombuffer(name.encode("utf-32-le"), "<u4").astype(np.uint64)
+            own = pd.unique(x[:-2] << np.uint64(42) | x[1:-1] << np.uint64(21) | x[2:])  # 21 bits a letter
+            codes.append(own)
+            nos.append(no)
+            held, at = held + len(own), chunk
+    if codes:
+        yield flush()
+
+
 def _bucket(gram: Column, buckets: int) -> Column:
     return F.pmod(F.crc32(gram.cast("binary")), F.lit(buckets)).cast("int")
 
@@ -32,11 +68,10 @@ def build(names: DataFrame, path: str, chunk_names: int = CHUNK_NAMES, buckets:
     rows = rows.withColumn("no", F.row_number().over(Window.partitionBy("chunk").orderBy("name", "id")) - 1)
     rows.sortWithinPartitions("chunk", "no").write.partitionBy("chunk").parquet(f"{path}/names")
     # what was written is read: ties of equal rows are numbered once
-    letters = spark.read.schema(rows.schema).parquet(f"{path}/names").where(F.length(F.lower("name")) > 2).select("chunk", "no", F.split(F.lower("name"), "").alias("c"))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("c") - 3), lambda i: F.concat(F.get("c", i), F.get("c", i + 1), F.get("c", i + 2))))
-    have = letters.select("chunk", "no", F.explode(grams).alias("gram"))
+    letters = spark.read.schema(rows.schema).parquet(f"{path}/names").where(F.length(F.lower("name")) > 2).select("chunk", "no", F.lower("name").alias("name"))
+    have = letters.mapInArrow(_postings, "gram string, chunk int, nos array<int>")
     # at most a chunk's names in a list
-    postings = have.groupBy("gram", "chunk").agg(F.array_sort(F.collect_list("no")).alias("nos")).select("gram", "chunk", F.size("nos").alias("n"), "nos", _bucket(F.col("gram"), buckets).alias("bucket"))
+    postings = have.groupBy("gram", "chunk").agg(F.array_sort(F.flatten(F.collect_list("nos"))).alias("nos")).select("gram", "chunk", F.size("nos").alias("n"), "nos", _bucket(F.col("gram"), buckets).alias("bucket"))
     writer = postings.repartition("bucket").sortWithinPartitions("bucket", "gram", "chunk").write.partitionBy("bucket")
     # differences of numbers in order, bit-packed
     writer.option("parquet.enable.dictionary", "false").option("parquet.writer.version", "PARQUET_2_0").parquet(f"{path}/postings")
