@@ -62,7 +62,8 @@ def merge(t: DataFrame, merged: DataFrame, label: str | None = None, alternative
 
     A redirected label becomes an alternative. A redirected single-valued property goes if the keeper has one of its own.
     """
-    m = merged.select(F.col("node").alias("__node"), F.col("keep").alias("__keep"))
+    # the merged nodes of a part are hashed, so that its triples needn't be sorted
+    m = merged.select(F.col("node").alias("__node"), F.col("keep").alias("__keep")).hint("shuffle_hash")
     t = t.select("s", "p", "o").join(m, F.col("s") == F.col("__node"), "left")
     if single:
         own = t.where(F.col("p").isin(*single)).select(F.col("s").alias("__k"), F.col("p").alias("__p")).distinct()
