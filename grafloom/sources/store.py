@@ -17,6 +17,11 @@ SPO = ["s", "p", "o"]
 SCHEMA = "s string, p string, o string, op string, bucket int"
 
 
+def _by_bucket(rows: DataFrame) -> DataFrame:
+    """The rows dealt by bucket; Spark cuts large buckets into several tasks, and so files."""
+    return rows.hint("rebalance", "bucket")
+
+
 class TripleStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -49,7 +54,7 @@ class TripleStore:
         """A new store of the triples, as a set, in so many buckets."""
         store = cls(t.sparkSession, root)
         rows = t.select(*SPO).distinct().withColumn("bucket", store._bucket(F.col("s"), buckets))
-        rows.repartition("bucket").write.partitionBy("bucket").parquet(f"{store.root}/base/gen=0")
+        _by_bucket(rows).write.partitionBy("bucket").parquet(f"{store.root}/base/gen=0")
         store._mark("base", seq=0, buckets=list(range(buckets)), of=buckets)
         return store
 
@@ -72,9 +77,9 @@ class TripleStore:
             rows = rows.unionByName(x)
         seq = max([0, *(x["seq"] for x in self._markers("delta"))]) + 1
         path = f"{self.root}/delta/seq={seq}"
-        rows.distinct().withColumn("bucket", self._bucket(F.col("s"), of)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        _by_bucket(rows.distinct().withColumn("bucket", self._bucket(F.col("s"), of))).write.mode("overwrite").partitionBy("bucket").parquet(path)
         touched = [r["bucket"] for r in self.spark.read.schema(SCHEMA).parquet(path).select("bucket").distinct().collect()]
-        self._mark("delta", seq=seq, buckets=touched)
+        self._mark("delta", seq=seq, buckets=touched, drops=drop_subjects is not None)
 
     def replace_subjects(self, rows: DataFrame) -> None:
         """The rows' subjects have just these triples from now on."""
@@ -83,7 +88,8 @@ class TripleStore:
     def remove_nodes(self, nodes: DataFrame) -> None:
         """All triples with one of the nodes (node) as subject or object go. Those that refer to a node are looked for in all buckets."""
         gone = nodes.select(F.col("node").alias("s")).distinct()
-        referring = self.read().join(gone.withColumnRenamed("s", "o"), "o", "left_semi").select(*SPO)
+        # of triples that came, also those that went since: to remove them again changes nothing, and nothing is merged
+        referring = self._rows(*self._state()).where("op = 'add'").join(gone.withColumnRenamed("s", "o"), "o", "left_semi").select(*SPO)
         self.edit(remove=referring, drop_subjects=gone)
 
     # ---- reading ----
@@ -110,17 +116,26 @@ class TripleStore:
                 out = out.unionByName(whole.where(F.col("bucket").isin(own)))
         return out
 
-    def _merged(self, gen: dict[int, int], since: dict[int, list[int]]) -> DataFrame:
-        """(s, p, o, bucket) of the touched buckets: the last word on a triple counts."""
-        rows = self._base(gen, sorted(since)).withColumn("at", F.lit(0).cast("long")).withColumn("op", F.lit("add"))
+    def _rows(self, gen: dict[int, int], since: dict[int, list[int]], buckets: list[int] | None = None) -> DataFrame:
+        """(s, p, o, bucket, at, op): the base of the buckets, all if not given, and the deltas since then, in order of `at`."""
+        rows = self._base(gen, list(gen) if buckets is None else buckets).withColumn("at", F.lit(0).cast("long")).withColumn("op", F.lit("add"))
         for seq in sorted({x for xs in since.values() for x in xs}):
             own = [b for b, xs in since.items() if seq in xs]
             delta = self.spark.read.schema(SCHEMA).parquet(f"{self.root}/delta/seq={seq}").where(F.col("bucket").isin(own))
             # of one edit, what is added comes last
             rows = rows.unionByName(delta.withColumn("at", (F.lit(2 * seq) + (F.col("op") == "add").cast("int")).cast("long")))
-        drops = rows.where("op = 'drop'").groupBy("s").agg(F.max("at").alias("dropped"))
-        last = rows.where("op <> 'drop'").groupBy(*SPO, "bucket").agg(F.max(F.struct("at", "op")).alias("x")).where("x.op = 'add'")
-        return last.join(drops, "s", "left").where(F.col("dropped").isNull() | (F.col("x.at") > F.col("dropped"))).select(*SPO, "bucket")
+        return rows
+
+    def _merged(self, gen: dict[int, int], since: dict[int, list[int]]) -> DataFrame:
+        """(s, p, o, bucket) of the touched buckets: the last word on a triple counts."""
+        rows = self._rows(gen, since, sorted(since))
+        drops, words = rows.where("op = 'drop'").groupBy("s").agg(F.max("at").alias("dropped")), rows.where("op <> 'drop'")
+        seen = {x for xs in since.values() for x in xs}
+        if any(x.get("drops", True) for x in self._markers("delta") if x["seq"] in seen):
+            words = words.join(drops, "s", "left").where(F.col("dropped").isNull() | (F.col("at") > F.col("dropped")))
+        # a number, unlike a pair with the word itself, is aggregated without a sort; odd ones add, and so does the base
+        last = words.groupBy(*SPO, "bucket").agg(F.max("at").alias("at"))
+        return last.where("at = 0 or at % 2 = 1").select(*SPO, "bucket")
 
     def read(self, subjects: list[str] | None = None) -> DataFrame:
         """(s, p, o) as they stand; of certain subjects only, if given, which opens their buckets alone."""
@@ -141,6 +156,6 @@ class TripleStore:
         if not since:
             return []
         seq = max(x for xs in since.values() for x in xs)
-        self._merged(gen, since).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/base/gen={seq}")
+        _by_bucket(self._merged(gen, since)).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/base/gen={seq}")
         self._mark("base", seq=seq, buckets=sorted(since))
         return sorted(since)
