@@ -16,6 +16,8 @@ Literals, tokens that begin with a quotation mark, are never subjects.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,7 @@ def fixpoint(t: DataFrame, rules: DataFrame, type_predicate: str = "<http://www.
     every = ways[0]
     for x in ways[1:]:
         every = every.unionByName(x)
+    spark = t.sparkSession
     # a row a property, so that a round reads its facts once
     by_property = materialise(every.groupBy(F.col("a").alias("p")).agg(F.collect_set(F.struct("b", "how")).alias("to")), "rules")
     by_class = materialise(rules.where("kind = 'subclass'").groupBy("a").agg(F.collect_set("b").alias("classes")), "rules")
@@ -56,6 +59,13 @@ def fixpoint(t: DataFrame, rules: DataFrame, type_predicate: str = "<http://www.
     heads = every.select(F.when(F.col("how").isin("same", "turned"), F.col("b")).otherwise(F.lit(type_predicate)).alias("p")).union(over).union(by_class.limit(1).select(F.lit(type_predicate).alias("p")))
     first = materialise(t.select("s", "p", "o").distinct(), "facts")
     known = [materialise(first.join(heads.distinct(), "p", "left_semi").select("s", "p", "o"), "heads")]
+    # which properties a round can find follows from those of the round before; both are a schema's
+    leads: dict[str, set[str]] = {}
+    for a, b in every.select("a", F.when(F.col("how").isin("same", "turned"), F.col("b")).otherwise(F.lit(type_predicate))).union(over.select("p", "p")).union(by_class.limit(1).select(F.lit(type_predicate), F.lit(type_predicate))).distinct().collect():
+        leads.setdefault(a, set()).add(b)
+    named = spark.createDataFrame([(p,) for p in {*leads, *(b for x in leads.values() for b in x)}], "p string")
+    now = {r["p"] for r in first.select("p").distinct().join(F.broadcast(named), "p", "left_semi").collect()}
+    held = [now]
     found, delta, any_over = [], first, not over.isEmpty()
     steps = materialise(first.join(over, "p", "left_semi").select("s", "p", "o"), "steps") if any_over else None
     for n in range(1, most_rounds + 2):
@@ -66,16 +76,18 @@ def fixpoint(t: DataFrame, rules: DataFrame, type_predicate: str = "<http://www.
                 steps = steps.unionByName(last)
             onward = lambda a, b: a.select("s", "p", F.col("o").alias("m")).join(b.select(F.col("s").alias("m"), "p", "o"), ["p", "m"]).select("s", "p", "o")
             new = new.unionByName(onward(last, steps)).unionByName(onward(steps, last))
-        before = known[0]
-        for x in known[1:]:
-            before = before.unionByName(x)
-        delta = materialise(new.distinct().join(before, ["s", "p", "o"], "left_anti"), "facts")
+        now = {b for a in now for b in leads.get(a, ())}
+        # facts of other properties can't equal the new ones
+        before = [x.where(F.col("p").isin(*(now & of))) for x, of in zip(known, held, strict=True) if now & of]
+        new = new.distinct()
+        delta = materialise(new.join(reduce(DataFrame.unionByName, before), ["s", "p", "o"], "left_anti") if before else new, "facts")
         if delta.isEmpty():
             break
         if n > most_rounds:
             raise RuntimeError(f"rules lead on after {most_rounds} rounds")
         found.append(delta.withColumn("round", F.lit(n)))
         known.append(delta)
+        held.append(now)
     out = first.withColumn("round", F.lit(0))
     for x in found:
         out = out.unionByName(x)

@@ -143,7 +143,7 @@ RULES = [
 def closed_rules(spark, d):
     """All that follows from rules that feed each other, round by round from new facts only."""
     r = spark.createDataFrame(RULES, "kind string, a string, b string")
-    return rules.fixpoint(V.stored_edges(spark, d), r, "type").where("round > 0").select("s", "p", "o")
+    return rules.fixpoint(V.edges(spark, d), r, "type").where("round > 0").select("s", "p", "o")
 
 
 # ---- samples and sketches ----
